@@ -47,3 +47,178 @@ SELECT DISTINCT field, subject_id, session_id, region FROM (
   UNION ALL
   SELECT field, subject_id, session_id, region FROM stuck) t
 """
+
+SQL["p2_found"] = f"""
+WITH {CANONICAL}
+SELECT subject_id, session_id, region, measure_type FROM obs
+WHERE value IS NOT NULL AND NOT isnan(value)
+GROUP BY ALL HAVING count(DISTINCT value) > 1
+"""
+
+#: every schema change: columns with their place and type per file, compared with the file before
+SQL["p3_found"] = """
+WITH f AS (SELECT DISTINCT ON (file_id) * FROM parsed_files ORDER BY file_id, received_at),
+o AS (SELECT *, lag(file_id) OVER (PARTITION BY stream_id ORDER BY seq, file_id) AS prev FROM f),
+heads AS (SELECT file_id, unnest(col_headers) AS field, generate_subscripts(col_headers, 1) AS place FROM f),
+rows_ AS (SELECT file_id, unnest(data_rows) AS r FROM f),
+cells AS (SELECT h.file_id, h.field, h.place, r.r[h.place] AS c FROM heads h LEFT JOIN rows_ r USING (file_id)),
+meas AS (SELECT file_id, unnest(map_keys(header_measures)) AS field, unnest(map_values(header_measures)) AS c FROM f),
+typed AS (
+  SELECT file_id, part_of, field, place,
+         coalesce(max(CASE WHEN regexp_full_match(c, '[0-9]+') THEN 0 WHEN regexp_full_match(c, '[0-9]+\\.[0-9]*|\\.[0-9]+') THEN 1
+                           WHEN c IS NOT NULL THEN 2 END), 0) AS tag
+  FROM (SELECT file_id, 'column' AS part_of, field, place, c FROM cells
+        UNION ALL SELECT file_id, 'measure', field, 0, c FROM meas) t GROUP BY ALL),
+was AS (SELECT o.file_id, t.part_of, t.field, t.place, t.tag FROM o JOIN typed t ON t.file_id = o.prev),
+now AS (SELECT t.* FROM typed t JOIN o USING (file_id) WHERE o.prev IS NOT NULL),
+gone AS (SELECT * FROM was ANTI JOIN now USING (file_id, part_of, field)),
+come AS (SELECT * FROM now ANTI JOIN was USING (file_id, part_of, field)),
+single AS (SELECT file_id FROM gone WHERE part_of = 'measure' GROUP BY 1 HAVING count(*) = 1
+           INTERSECT SELECT file_id FROM come WHERE part_of = 'measure' GROUP BY 1 HAVING count(*) = 1),
+renamed AS (
+  SELECT g.file_id, g.part_of, g.field, c.field AS new_field FROM gone g JOIN come c USING (file_id, part_of)
+  WHERE (g.part_of = 'column' AND g.place = c.place AND g.tag = c.tag)
+     OR (g.part_of = 'measure' AND g.file_id IN (SELECT file_id FROM single)))
+SELECT file_id, part_of, 'renamed' AS change, field, new_field FROM renamed
+UNION ALL SELECT file_id, part_of, 'removed', field, '' FROM gone ANTI JOIN renamed USING (file_id, part_of, field)
+UNION ALL SELECT file_id, part_of, 'added', field, '' FROM come
+  ANTI JOIN (SELECT file_id, part_of, new_field AS field FROM renamed) r USING (file_id, part_of, field)
+UNION ALL SELECT n.file_id, n.part_of, 'type_changed', n.field, '' FROM now n JOIN was w USING (file_id, part_of, field) WHERE n.tag <> w.tag
+"""
+
+SQL["p3_fused_schema"] = """
+WITH f AS (SELECT DISTINCT ON (file_id) * FROM parsed_files ORDER BY file_id, received_at),
+heads AS (SELECT file_id, unnest(col_headers) AS field, generate_subscripts(col_headers, 1) AS place FROM f),
+rows_ AS (SELECT file_id, unnest(data_rows) AS r FROM f),
+all_ AS (SELECT h.file_id, 'column' AS part_of, h.field, r.r[h.place] AS c FROM heads h LEFT JOIN rows_ r USING (file_id)
+         UNION ALL SELECT file_id, 'measure', unnest(map_keys(header_measures)), unnest(map_values(header_measures)) FROM f),
+typed AS (SELECT file_id, part_of, field,
+                 coalesce(max(CASE WHEN regexp_full_match(c, '[0-9]+') THEN 0 WHEN regexp_full_match(c, '[0-9]+\\.[0-9]*|\\.[0-9]+') THEN 1
+                                   WHEN c IS NOT NULL THEN 2 END), 0) AS tag FROM all_ GROUP BY ALL)
+SELECT part_of, field, string_agg(DISTINCT CASE tag WHEN 2 THEN 'text' WHEN 1 THEN 'decimal' ELSE 'int' END, '|'
+         ORDER BY CASE tag WHEN 2 THEN 'text' WHEN 1 THEN 'decimal' ELSE 'int' END) AS alternatives,
+       count(*) AS n_files, min(file_id) AS first_file
+FROM typed GROUP BY part_of, field
+"""
+
+#: lines of raw_stats with their kind, fields and the columns that hold for their file
+LINES = r"""
+l AS (SELECT file_id, source_file, content, unnest(regexp_split_to_array(content, '\r?\n')) AS line,
+             generate_subscripts(regexp_split_to_array(content, '\r?\n'), 1) AS n FROM raw_stats),
+k AS (SELECT *, CASE WHEN regexp_matches(line, '^#[ \t]*ColHeaders([ \t]|$)') THEN 'head' WHEN regexp_matches(line, '^#[ \t]*Measure([ \t]|$)') THEN 'measure'
+                     WHEN line NOT LIKE '#%' AND regexp_matches(line, '[^ \t]') THEN 'row' END AS kind FROM l),
+heads AS (SELECT file_id, arg_min(line, n) AS line FROM k WHERE kind = 'head' GROUP BY 1),
+cols AS (
+  SELECT r.file_id, CASE WHEN h.line IS NOT NULL
+           THEN regexp_extract_all(regexp_replace(h.line, '^#[ \t]*ColHeaders', ''), '[^ \t"]+')
+         WHEN regexp_matches(lower(source_file), 'aseg[^/]*$') THEN
+           ['Index', 'SegId', 'NVoxels', 'Volume_mm3', 'StructName', 'normMean', 'normStdDev', 'normMin', 'normMax', 'normRange'] END AS cols
+  FROM raw_stats r LEFT JOIN heads h USING (file_id)),
+whole AS (
+  SELECT r.file_id, CASE WHEN content IS NULL OR NOT regexp_matches(content, '\S') THEN 'EMPTY_FILE' WHEN cols IS NULL THEN 'NO_COLHEADERS'
+    WHEN r.file_id NOT IN (SELECT file_id FROM k WHERE kind = 'row') THEN 'NO_DATA_ROWS' END AS code
+  FROM raw_stats r JOIN cols USING (file_id)),
+b AS (SELECT k.file_id, n, kind, cols, line, CASE WHEN kind = 'measure' THEN regexp_replace(line, '^#[ \t]*Measure', '') ELSE line END AS body
+      FROM k JOIN whole w USING (file_id) JOIN cols USING (file_id) WHERE w.code IS NULL AND kind IN ('row', 'measure')),
+p AS (SELECT *, CASE WHEN kind = 'row' THEN regexp_full_match(body, '[ \t]*("[^"]*"|[^ \t"]+)([ \t]+("[^"]*"|[^ \t"]+))*[ \t]*')
+                     ELSE regexp_full_match(body, '[ \t]*("[^"]*"|[^",]*)[ \t]*(,[ \t]*("[^"]*"|[^",]*)[ \t]*)*') END AS sound,
+      CASE WHEN kind = 'row' THEN list_transform(regexp_extract_all(body, '"[^"]*"|[^ \t"]+'), lambda x: replace(x, '"', ''))
+           ELSE list_transform(regexp_extract_all(body, '(?:^|,)([ \t]*"[^"]*"[ \t]*|[^,]*)', 1), lambda x: replace(trim(x, chr(9) || ' '), '"', '')) END AS fields
+      FROM b),
+c AS (SELECT *, CASE WHEN NOT sound THEN 'BROKEN_QUOTING'
+   WHEN kind = 'row' AND len(fields) < len(cols) THEN 'TRUNCATED_ROW' WHEN kind = 'row' AND len(fields) > len(cols) THEN 'COLUMN_COUNT_MISMATCH'
+   WHEN kind = 'row' AND len(list_filter(list_zip(cols, fields), lambda x: x[1] <> 'StructName'
+        AND NOT regexp_full_match(x[2], '[+-]?([0-9]+[.,]?[0-9]*|[.,][0-9]+)([eE][+-]?[0-9]+)?'))) > 0 THEN 'UNPARSEABLE_NUMERIC'
+   WHEN kind = 'measure' AND (fields[1] = '' OR len(list_filter(fields[2:],
+        lambda x: regexp_full_match(x, '[+-]?([0-9]+[.,]?[0-9]*|[.,][0-9]+)([eE][+-]?[0-9]+)?'))) = 0) THEN 'MALFORMED_MEASURE' END AS code FROM p)
+"""
+
+SQL["p4_found"] = f"""
+WITH {LINES}
+SELECT file_id, 0::BIGINT AS line_number, code AS failure_code FROM whole WHERE code IS NOT NULL
+UNION ALL SELECT file_id, n::BIGINT, code FROM c WHERE code IS NOT NULL
+"""
+
+SQL["p4_loaded_rows"] = f"""
+WITH {LINES},
+v AS (SELECT file_id, n, list_zip(cols, fields) AS z FROM c WHERE kind = 'row' AND code IS NULL),
+e AS (SELECT file_id, n, list_filter(z, lambda x: x[1] = 'StructName')[1][2] AS struct_name, unnest(z) AS x FROM v)
+SELECT file_id, n::BIGINT AS line_number, struct_name, x[1] AS column_name, replace(x[2], ',', '.')::DOUBLE AS value
+FROM e WHERE x[1] <> 'StructName'
+"""
+
+SQL["p4_loaded_measures"] = f"""
+WITH {LINES}
+SELECT file_id, n::BIGINT AS line_number, fields[1] AS measure,
+       replace(list_last(list_filter(fields[2:], lambda x: regexp_full_match(x, '[+-]?([0-9]+[.,]?[0-9]*|[.,][0-9]+)([eE][+-]?[0-9]+)?'))), ',', '.')::DOUBLE AS value,
+       list_last(fields) AS unit
+FROM c WHERE kind = 'measure' AND code IS NULL
+"""
+
+PROFILE = """
+cells AS (
+  SELECT dataset_version, 'surface_holes_lh' AS column_name, surface_holes_lh AS num, NULL::VARCHAR AS txt FROM observations
+  UNION ALL SELECT dataset_version, 'field_strength_tesla', field_strength_tesla, NULL FROM observations
+  UNION ALL SELECT dataset_version, 'freesurfer_version', NULL, freesurfer_version FROM observations
+  UNION ALL SELECT dataset_version, 'sex', NULL, sex FROM observations)
+"""
+
+SQL["p5_found"] = f"""
+WITH {PROFILE},
+s AS (
+  SELECT dataset_version, c.column_name, count(*) AS n, count(*) FILTER (num IS NULL AND txt IS NULL) AS n_null,
+         count(DISTINCT num) + count(DISTINCT txt) AS n_distinct, median(num) FILTER (NOT isnan(num)) AS med,
+         count(*) FILTER (num < min_value OR num > max_value) AS outside,
+         count(*) FILTER (NOT regexp_full_match(txt, value_pattern)) AS bad,
+         count(*) FILTER (txt = top_value) AS top
+  FROM cells c LEFT JOIN profile_baseline b USING (column_name) GROUP BY ALL)
+SELECT dataset_version, column_name, finding FROM (
+  SELECT dataset_version, column_name, unnest([
+    CASE WHEN abs(s.n_null / n - b.null_share) > 0.08 THEN 'null_rate' END,
+    CASE WHEN s.n_distinct > 2 * b.n_distinct THEN 'distinct' END,
+    CASE WHEN b.min_value IS NOT NULL AND outside / nullif(n - n_null, 0) > 0.01 THEN 'range' END,
+    CASE WHEN b.value_pattern IS NOT NULL AND bad / nullif(n - n_null, 0) > 0.01 THEN 'pattern' END,
+    CASE WHEN b.median_value IS NOT NULL AND abs(med - b.median_value) > 0.5 * b.iqr_value THEN 'shift'
+         WHEN b.median_value IS NULL AND abs(top / nullif(n - n_null, 0) - b.top_share) > 0.15 THEN 'shift' END]) AS finding
+  FROM s JOIN profile_baseline b USING (column_name)) t
+WHERE finding IS NOT NULL
+"""
+
+SQL["p5_profile"] = f"""
+WITH {PROFILE},
+v AS (SELECT dataset_version, column_name, num, txt, count(*) AS k FROM cells GROUP BY ALL),
+t AS (SELECT dataset_version, column_name, k, coalesce(num::VARCHAR, txt) AS shown FROM v WHERE num IS NOT NULL OR txt IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY dataset_version, column_name ORDER BY k DESC, coalesce(num::VARCHAR, txt) DESC) = 1),
+s AS (SELECT dataset_version, column_name, count(*) AS n_rows, count(*) FILTER (num IS NULL AND txt IS NULL) AS n_null,
+             count(DISTINCT num) + count(DISTINCT txt) AS n_distinct, min(num) AS min_num, max(num) AS max_num, min(txt) AS min_txt,
+             max(txt) AS max_txt, quantile_cont(num, 0.25) AS q1, median(num) AS median, quantile_cont(num, 0.75) AS q3
+      FROM cells GROUP BY ALL)
+SELECT s.*, shown AS top_value, round(k / (n_rows - n_null), 6) AS top_share FROM s LEFT JOIN t USING (dataset_version, column_name)
+"""
+
+ORPHANS = """
+parents AS (
+  SELECT 'subjects' AS ref_table, lower(trim(subject_id)) AS ref_id, registered_at AS since, withdrawn_at AS until FROM subjects
+  UNION ALL SELECT 'sessions', lower(trim(subject_id)) || chr(1) || lower(trim(session_id)), registered_at, withdrawn_at FROM sessions
+  UNION ALL SELECT 'file_manifest', lower(trim(source_file)), received_at, withdrawn_at FROM file_manifest),
+children AS (
+  SELECT discovery_id, discovered_at AS at_, 'subjects' AS ref_table, lower(trim(subject_id)) AS ref_id, lower(trim(subject_id)) AS ref_key FROM subject_sessions
+  UNION ALL SELECT discovery_id, discovered_at, 'sessions', lower(trim(subject_id)) || chr(1) || lower(trim(session_id)), lower(trim(session_id)) FROM subject_sessions
+  UNION ALL SELECT DISTINCT discovery_id, at_, 'file_manifest', f, f FROM (
+    SELECT discovery_id, discovered_at AS at_, lower(trim(unnest(stats_files))) AS f FROM subject_sessions) u),
+verdict AS (
+  SELECT c.discovery_id, c.ref_table, c.ref_key, c.at_,
+         CASE WHEN count(p.ref_id) = 0 THEN 'missing'
+              WHEN bool_or(p.since <= c.at_ AND coalesce(p.until > c.at_, true)) THEN NULL
+              WHEN bool_or(p.since <= c.at_) THEN 'deleted' ELSE 'late' END AS state
+  FROM children c LEFT JOIN parents p USING (ref_table, ref_id) WHERE c.ref_id IS NOT NULL
+  GROUP BY c.discovery_id, c.ref_table, c.ref_id, c.ref_key, c.at_)
+"""
+
+SQL["p6_found"] = f"WITH {ORPHANS} SELECT discovery_id, ref_table, ref_key, state FROM verdict WHERE state IS NOT NULL"
+
+SQL["p6_report"] = f"""
+WITH {ORPHANS}
+SELECT ref_table, strftime(at_, '%Y-%m') AS period, state, count(*) AS n_references, count(DISTINCT ref_key) AS n_keys
+FROM verdict WHERE state IS NOT NULL GROUP BY ALL
+"""

@@ -187,6 +187,15 @@ def shared_anchors(documents: DataFrame, length: int, buckets: int) -> DataFrame
     return sent.groupBy("bucket").applyInPandas(_shared_in_bucket, "doc_id bigint, k bigint")
 
 
+def _placed(docs: pd.Series, parts: list[tuple], names: tuple[str, ...]) -> pd.DataFrame:
+    """One frame for a batch: the arrays of each record one after another, with doc_id and n_chars repeated."""
+    sizes = [len(x[0]) for x in parts]
+    out = {name: np.concatenate([x[i] for x in parts]) if parts else [] for i, name in enumerate(names)}
+    out["doc_id"] = np.repeat(docs.to_numpy(), sizes)
+    out["n_chars"] = np.repeat([x[-1] for x in parts], sizes)
+    return pd.DataFrame(out)
+
+
 def _in_two_records(rows: DataFrame, key: str) -> DataFrame:
     """The rows whose key stands in two or more records; counts first, so that hot keys are combined early."""
     spread = rows.groupBy(key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
@@ -204,27 +213,24 @@ def shared_windows(documents: DataFrame, length: int = 300, whole_coverage: bool
     docs = documents.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = max(32, -(-docs.count() // DOCS_PER_BUCKET))
     found = shared_anchors(docs, length, buckets)
-    lists = found.groupBy("doc_id").agg(F.collect_set("k").alias("keys"))
+    lists = found.groupBy("doc_id").agg(F.array_sort(F.collect_set("k")).alias("keys"))
     # the texts travel once, to those records that share an anchor; later passes read this copy
     candidates = materialize(docs.join(lists, "doc_id"), "candidates")
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         anchors = Anchors(length)
         for batch in batches:
-            out = []
-            for doc, text, keys in zip(batch["doc_id"].to_numpy(), batch["text"], batch["keys"]):
+            parts = []
+            for text, keys in zip(batch["text"], batch["keys"]):
                 codes, at, h = anchors.of(text)
                 k = _key(h, buckets)[1]
-                hit = np.isin(k, keys)
+                hit = keys[np.minimum(np.searchsorted(keys, k), len(keys) - 1)] == k
                 at, k = at[hit], k[hit]
                 fits = at + length <= len(codes)
                 window = np.zeros(len(at), dtype=np.uint64)
                 window[fits] = anchors.hasher.hashes(codes, at[fits], length)
-                part = pd.DataFrame({"pos": at, "k": k, "window": window.view(np.int64), "fits": fits})
-                part["doc_id"], part["n_chars"] = doc, len(codes)
-                out.append(part)
-            if out:
-                yield pd.concat(out)
+                parts.append((at, k, window.view(np.int64), fits, len(codes)))
+            yield _placed(batch["doc_id"], parts, ("pos", "k", "window", "fits"))
 
     anchored = materialize(
         candidates.mapInPandas(place, "pos bigint, k bigint, window bigint, fits boolean, doc_id bigint, n_chars bigint"), "anchored"
@@ -259,16 +265,13 @@ def shared_windows(documents: DataFrame, length: int = 300, whole_coverage: bool
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WindowHasher()
         for batch in batches:
-            out = []
-            for doc, text, places in zip(batch["doc_id"].to_numpy(), batch["text"], batch["places"]):
+            parts = []
+            for text, places in zip(batch["text"], batch["places"]):
                 codes = hasher.codes(text)
-                starts = (np.asarray(places)[:, None] + np.arange(-reach, 1)[None, :]).ravel()
+                starts = (places[:, None] + np.arange(-reach, 1)[None, :]).ravel()
                 starts = np.unique(starts[(starts >= 0) & (starts + length <= len(codes))])
-                part = pd.DataFrame({"pos": starts, "window": hasher.hashes(codes, starts, length).view(np.int64)})
-                part["doc_id"], part["n_chars"] = doc, len(codes)
-                out.append(part)
-            if out:
-                yield pd.concat(out)
+                parts.append((starts, hasher.hashes(codes, starts, length).view(np.int64), len(codes)))
+            yield _placed(batch["doc_id"], parts, ("pos", "window"))
 
     windows = materialize(
         candidates.select("doc_id", "text").join(around, "doc_id").mapInPandas(extend, "pos bigint, window bigint, doc_id bigint, n_chars bigint"),

@@ -1,13 +1,48 @@
-"""Queries of the operators for language-model data (p7 to p10) over the tables of one folder."""
+"""Queries of the operators for language-model data (p7 to p10) over the tables of one folder, and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflux.llm import spans
+from strataflux.llm import digests, mixing, packing, spans
+from strataflux.plans.oracles import CANONICAL
 from strataflux.sources.tables import table
 
 
+def p7_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    values = digests.stored_cells(table(spark, folder, "observations"), table(spark, folder, "region_set"))
+    return digests.certified_percentiles(values, digests.GROUP)
+
+
+def p7_certified(spark: SparkSession, folder: str) -> DataFrame:
+    """What a percentile is certified for, without the estimates, which no SQL engine gives in the same way."""
+    return p7_percentiles(spark, folder).select(*digests.GROUP, "percentile", "n", "certified")
+
+
+def p7_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """One stored digest per group and load; any set of them can be merged later."""
+    cells = digests.distinct_cells(table(spark, folder, "observations"), table(spark, folder, "region_set"))
+    keys = [*digests.GROUP, "load"]
+    return digests.pack_digests(digests.merge_digests(digests.build_digests(cells, keys), keys), keys)
+
+
+def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(packing.token_sizes(table(spark, folder, "documents")), table(spark, folder, "pack_limits"))
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packing_report(p8_packed(spark, folder))
+
+
+def p9_blend(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(packing.token_sizes(table(spark, folder, "documents")), table(spark, folder, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    sizes, targets = packing.token_sizes(table(spark, folder, "documents")), table(spark, folder, "mix_targets")
+    return mixing.reached_shares(mixing.mix(sizes, targets), sizes, targets)
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return spans.records_with_shared_spans(table(spark, folder, "documents"))
 
@@ -16,5 +51,16 @@ def p10_shared_shares(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_shares(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p10_found, p10_shared_shares)}
+QUERIES = {
+    f.__name__: f
+    for f in (p7_percentiles, p7_certified, p7_digests, p8_packed, p8_report, p9_blend, p9_shares, p10_found, p10_shared_shares)
+}
+
 SQL: dict[str, str] = {}
+
+SQL["p7_certified"] = f"""
+WITH {CANONICAL},
+cells AS (SELECT DISTINCT subject_id, session_id, site, region, measure_type, value FROM obs WHERE value IS NOT NULL AND isfinite(value))
+SELECT site, region, measure_type, p::DOUBLE AS percentile, count(*) AS n, true AS certified
+FROM cells, unnest([{", ".join(map(str, digests.PERCENTILES))}]) AS t(p) GROUP BY ALL
+"""

@@ -24,7 +24,7 @@ PRIMARY = "time:dx_baseline[T.patient]"
 SECONDARY = ("time", "dx_baseline[T.patient]", "age_baseline")
 P = len(TERMS)
 MIN_SUBJECTS = 3
-SEARCH_PASSES = 24
+SEARCH_PASSES = 48
 REGION_LIMIT = 10_000
 
 
@@ -167,7 +167,7 @@ def fit_regions(observations: DataFrame, passes: int = SEARCH_PASSES) -> DataFra
         for key, s in state.items():
             if step == 0:
                 asked[key] = start
-            elif s["step"] > 1e-4:
+            elif s["step"] > 2e-3:
                 around = s["at"] + moves * s["step"] * np.maximum(np.abs(s["at"]), 0.05)
                 around[:, [0, 2]] = np.maximum(around[:, [0, 2]], 0.0)
                 asked[key] = around

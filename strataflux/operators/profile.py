@@ -17,6 +17,9 @@ from strataflux.operators.scaling import grouped_quantiles, null_safe_join
 from strataflux.session import materialize
 
 KEYS = ["load", "column_name"]
+ACCEPTED = (
+    "column_name", "null_share", "n_distinct", "min_value", "max_value", "median_value", "iqr_value", "value_pattern", "top_value", "top_share",
+)
 
 
 def long_values(df: DataFrame, load: str, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
@@ -146,6 +149,7 @@ def profile(df: DataFrame, load: str, numeric: Sequence[str], text: Sequence[str
     own. An empty input gives an empty profile; extra columns are ignored. `accepted` has the columns of
     the accepted profile; a column that it lacks is profiled without departures.
     """
+    accepted = accepted.select(*ACCEPTED)
     long = long_values(df, load, numeric, text)
     counts = materialize(value_counts(long), "values")
     is_value = F.col("num").isNotNull() | F.col("txt").isNotNull()
@@ -192,7 +196,7 @@ def departures(
     shift_iqr: float = 0.5, shift_share: float = 0.15,
 ) -> DataFrame:
     """(load, column_name, finding) for every figure of a profile that departs from the accepted one."""
-    base = accepted.select(*[F.col(c).alias("column_name" if c == "column_name" else f"was_{c}") for c in accepted.columns])
+    base = accepted.select(*[F.col(c).alias("column_name" if c == "column_name" else f"was_{c}") for c in ACCEPTED])
     moved = F.abs(F.col("median") - F.col("was_median_value")) > shift_iqr * F.col("was_iqr_value")
     shared = F.abs(F.col("accepted_top_share") - F.col("was_top_share")) > shift_share
     tests = {

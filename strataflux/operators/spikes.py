@@ -126,22 +126,23 @@ def _autoregression(scored: DataFrame, rules: SpikeRules) -> tuple[DataFrame, Da
     A round is one scan that adds moments per source and time bucket; everything after it works on
     that small table. Rows that the round before took for additive outliers are left out of the next.
     """
-    tested, shifts = scored.withColumns({"spike": F.lit(False), "phi": F.lit(0.0), "level": F.lit(0.0)}), None
+    tested, shifts = scored.withColumn("spike", F.lit(False)), None
     for _ in range(rules.rounds):
-        x, y = F.col("prev") - F.col("level"), F.col("soft") - F.col("level")
+        x, y = F.when(F.col("has_prev"), F.col("prev")), F.when(F.col("has_prev"), F.col("soft"))
         moments = materialize(
             tested.filter(~F.col("spike"))
             .groupBy("sid", "bucket")
             .agg(
-                F.count(F.lit(1)).alias("n"), F.sum("soft").alias("s"), F.sum(y * y).alias("yy"),
-                F.sum(F.when(F.col("has_prev"), x * x)).alias("xx"), F.sum(F.when(F.col("has_prev"), x * y)).alias("xy"),
+                F.count(F.lit(1)).alias("n"), F.sum("soft").alias("s"), F.coalesce(F.var_pop("soft"), F.lit(0.0)).alias("v"),
+                F.count(x).alias("m"), F.var_pop(x).alias("xx"), F.covar_pop(x, y).alias("xy"),
             ),
             "moments",
         )
-        slope = F.coalesce(F.try_divide(F.sum("xy"), F.sum("xx")), F.lit(0.0))
+        # about the means of the buckets, so that a level shift doesn't look like autocorrelation
+        slope = F.coalesce(F.try_divide(F.sum(F.col("m") * F.col("xy")), F.sum(F.col("m") * F.col("xx"))), F.lit(0.0))
         fit = moments.groupBy("sid").agg(
             F.greatest(F.lit(-rules.phi_limit), F.least(F.lit(rules.phi_limit), slope)).alias("phi"),
-            F.sqrt(F.sum("yy") / F.sum("n")).alias("sd"),
+            F.sqrt(F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("sd"),
         )
         in_time = Window.partitionBy("sid").orderBy("bucket")
         mean = F.col("s") / F.col("n")
@@ -152,12 +153,9 @@ def _autoregression(scored: DataFrame, rules: SpikeRules) -> tuple[DataFrame, Da
         score = F.try_divide(F.abs(F.col("mean") - F.col("mean_before")), error)
         enough = F.least("n", "n_before") >= rules.stuck
         shifts = steps.withColumn("score", score).filter((F.col("score") > rules.shift) & enough)
-        levels = shifts.select("sid", "bucket", F.col("mean").alias("level"))
         tested = (
             scored.join(fit.select("sid", "phi"), "sid", "left")
-            .join(levels, ["sid", "bucket"], "left")
-            .withColumns({"phi": F.coalesce("phi", F.lit(0.0)), "level": F.coalesce("level", F.lit(0.0))})
-            .withColumn("innovation", F.col("z") - F.col("phi") * F.col("prev"))
+            .withColumn("innovation", F.col("z") - F.coalesce("phi", F.lit(0.0)) * F.col("prev"))
             .withColumn("spike", F.abs("innovation") > rules.innovation)
         )
     return tested, shifts.select("sid", F.col("bucket").alias("since"), "score", "mean", "mean_before")

@@ -222,3 +222,310 @@ WITH {ORPHANS}
 SELECT ref_table, strftime(at_, '%Y-%m') AS period, state, count(*) AS n_references, count(DISTINCT ref_key) AS n_keys
 FROM verdict WHERE state IS NOT NULL GROUP BY ALL
 """
+
+FINITE = ", ".join(
+    f"CASE WHEN isfinite({c}) THEN {c} END AS {c}"
+    for c in (
+        "time_from_baseline_years", "field_strength_tesla", "value", "age_at_session", "age_baseline", "etiv", "etiv_baseline", "surface_holes_lh",
+        "surface_holes_rh",
+    )
+)
+
+#: one row per primary key: the row ingested last, the greater value on a tie
+CANON = f"""
+{CANONICAL},
+clean AS (SELECT * REPLACE ({FINITE}, CASE WHEN region LIKE 'lh-%' THEN 'lh' WHEN region LIKE 'rh-%' THEN 'rh' ELSE hemisphere END AS hemisphere) FROM obs),
+canon AS (SELECT * FROM clean QUALIFY row_number() OVER (PARTITION BY dataset, subject_id, session_id, region, measure_type
+          ORDER BY ingested_at DESC NULLS LAST, value DESC NULLS LAST, source_file_checksum NULLS LAST) = 1)
+"""
+KEY = "dataset, subject_id, session_id, region, measure_type"
+COUNT = "count(*) AS n"
+
+SQL["canonical_long"] = f"WITH {CANON} SELECT {KEY}, hemisphere, site, value, etiv, surface_holes_lh, unit, ingested_at FROM canon"
+SQL["dup_keys"] = f"WITH {CANONICAL} SELECT {KEY}, {COUNT} FROM obs GROUP BY ALL HAVING count(*) > 1"
+REQUIRED = (
+    "dataset", "dataset_version", "subject_id", "session_id", "region", "measure_type", "source_file", "source_file_checksum", "parser_version",
+    "ingested_at",
+)
+SQL["null_violations"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS n_null FROM observations" for c in REQUIRED
+)
+SQL["value_counts_null"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS field, coalesce({c}, '<null>') AS value, {COUNT} FROM observations GROUP BY ALL"
+    for c in ("site", "sex", "dx_baseline", "hemisphere", "freesurfer_version")
+)
+SQL["sessions_per_subject"] = """
+SELECT n_sessions, count(*) AS n_subjects
+FROM (SELECT subject_id, count(DISTINCT session_id) AS n_sessions FROM observations GROUP BY 1) t GROUP BY 1
+"""
+SQL["metadata_coverage"] = f"WITH {CANON} " + " UNION ALL ".join(
+    f"SELECT count(*) AS n_rows, '{c}' AS field, count({c}) AS n_present, count({c}) / count(*) AS coverage FROM canon"
+    for c in ("scanner_manufacturer", "scanner_model", "field_strength_tesla", "freesurfer_version", "etiv")
+)
+
+ROSTER = """
+roster AS (SELECT * FROM sessions QUALIFY row_number() OVER (PARTITION BY subject_id, session_id ORDER BY registered_at, visit_index, site) = 1),
+disc AS (SELECT upper(trim(subject_id)) AS subject_id, lower(trim(session_id)) AS session_id,
+                list_distinct(flatten(list(coalesce(stats_files, [])))) AS files FROM subject_sessions GROUP BY ALL),
+undiscovered AS (SELECT r.*, CASE WHEN missing_cause = 'missing_acquisition' THEN missing_cause ELSE 'undocumented_absence' END AS cause
+                 FROM roster r ANTI JOIN disc d USING (subject_id, session_id))
+"""
+CLASSES = """
+found AS (SELECT DISTINCT subject_id, session_id, 1 AS hit FROM observations),
+classes AS (SELECT subject_id, count(*) AS expected, count(hit) AS observed,
+   CASE WHEN count(hit) = 0 THEN 'absent' WHEN count(hit) = count(*) THEN 'completer' ELSE 'partial' END AS class
+   FROM roster LEFT JOIN found USING (subject_id, session_id) GROUP BY 1)
+"""
+SQL["expected_vs_found"] = f"WITH {ROSTER}, {CLASSES} SELECT * FROM classes"
+SQL["missing_by_site"] = f"WITH {ROSTER} SELECT coalesce(site, 'unknown') AS \"group\", cause, {COUNT} FROM undiscovered GROUP BY ALL"
+SQL["missing_by_time"] = f"WITH {ROSTER} SELECT coalesce(visit_index::VARCHAR, 'unknown') AS \"group\", cause, {COUNT} FROM undiscovered GROUP BY ALL"
+
+LOST_REGIONS = """
+present AS (SELECT DISTINCT subject_id, session_id, region FROM canon WHERE region IN (SELECT region FROM region_set)),
+producing AS (SELECT DISTINCT subject_id, session_id FROM present),
+lost AS (SELECT p.subject_id, p.session_id, v.region,
+  CASE WHEN d.files IS NULL THEN 'observation_loss_cause_unavailable'
+       WHEN list_contains(list_transform(d.files, lambda f: lower(regexp_extract(f, '[^/]*$'))),
+            CASE WHEN v.measure_type = 'volume' THEN 'aseg.stats' ELSE v.hemisphere || '.aparc.stats' END) THEN 'absent_from_source'
+       ELSE 'source_unavailable' END AS cause
+  FROM producing p CROSS JOIN region_set v ANTI JOIN present q ON q.subject_id = p.subject_id AND q.session_id = p.session_id AND q.region = v.region
+  LEFT JOIN disc d ON d.subject_id = p.subject_id AND d.session_id = p.session_id)
+"""
+SQL["region_loss_causes"] = f"WITH {CANON}, {ROSTER}, {LOST_REGIONS} SELECT region, cause, {COUNT} FROM lost GROUP BY ALL"
+
+BASE_ORDER = "(time_from_baseline_years, session_id, region, measure_type)"
+CODED = """
+coded AS (SELECT * REPLACE (CASE WHEN lower(trim(sex)) IN ('f', 'female', '2') THEN 'F' WHEN lower(trim(sex)) IN ('m', 'male', '1') THEN 'M' END AS sex)
+          FROM canon)
+"""
+
+
+def _first(columns: tuple[str, ...], source: str) -> str:
+    order = "time_from_baseline_years NULLS FIRST, session_id, region, measure_type"
+    firsts = ", ".join(f"first({c} ORDER BY {order}) FILTER ({c} IS NOT NULL) AS {c}" for c in columns)
+    return f"base AS (SELECT subject_id, {firsts} FROM {source} GROUP BY 1)"
+
+
+SQL["baseline_first"] = f"WITH {CANON}, {_first(('site', 'age_baseline', 'sex', 'dx_baseline', 'etiv_baseline'), 'canon')} SELECT * FROM base"
+COMPLETERS = f"""
+{CANON}, {CODED}, {ROSTER}, {CLASSES}, {_first(("age_baseline", "sex", "dx_baseline", "etiv_baseline"), "coded")},
+members AS (SELECT base.*, class FROM base JOIN classes USING (subject_id)),
+long AS (SELECT class, 'age_baseline' AS field, age_baseline AS x FROM members UNION ALL SELECT class, 'etiv_baseline', etiv_baseline FROM members),
+summary AS (SELECT class, field, count(x) AS n, avg(x) AS mean, CASE WHEN count(x) = 1 THEN 0 ELSE stddev_samp(x) END AS sd
+            FROM long WHERE x IS NOT NULL GROUP BY ALL)
+"""
+SQL["completer_smd"] = f"""
+WITH {COMPLETERS},
+s AS (SELECT coalesce(a.field, b.field) AS field, a.n AS n_a, b.n AS n_b, (a.mean - b.mean) / nullif(sqrt((a.sd * a.sd + b.sd * b.sd) / 2), 0) AS smd
+      FROM (SELECT * FROM summary WHERE class = 'completer') a FULL JOIN (SELECT * FROM summary WHERE class = 'partial') b ON a.field = b.field)
+SELECT *, coalesce(abs(smd) >= 0.1, false) AS notable FROM s
+"""
+SQL["category_share"] = f"""
+WITH {COMPLETERS}
+SELECT class, sex AS level, {COUNT}, count(*) / sum(count(*)) OVER (PARTITION BY class) AS share FROM members WHERE sex IS NOT NULL GROUP BY 1, 2
+"""
+SQL["batch_sizes"] = f"""
+WITH {CANON} SELECT site AS batch, count(*) AS n_observations, count(DISTINCT subject_id) AS n_subjects, count(DISTINCT subject_id) < 60 AS small
+FROM canon WHERE site IS NOT NULL GROUP BY 1
+"""
+SQL["small_batch_composition"] = f"""
+WITH {CANON}, {CODED},
+s AS (SELECT * FROM coded WHERE site IS NOT NULL QUALIFY row_number() OVER (PARTITION BY site, subject_id
+      ORDER BY time_from_baseline_years NULLS FIRST, session_id, region) = 1)
+SELECT site AS batch, count(*) AS n_subjects, count(*) FILTER (sex = 'F') AS n_female, count(*) FILTER (sex = 'M') AS n_male,
+       count(*) FILTER (dx_baseline = 'patient') AS n_patient, count(*) FILTER (dx_baseline = 'control') AS n_control,
+       avg(age_baseline) AS age_mean, stddev_samp(age_baseline) AS age_sd
+FROM s GROUP BY 1 HAVING count(*) < 60
+"""
+
+QUALITY = """
+zc AS (SELECT site, region, measure_type, median(value) AS c FROM canon GROUP BY ALL),
+zm AS (SELECT k.site, k.region, k.measure_type, any_value(c) AS c, median(abs(value - c)) AS m FROM canon k
+       JOIN zc ON k.site IS NOT DISTINCT FROM zc.site AND k.region = zc.region AND k.measure_type = zc.measure_type GROUP BY ALL),
+scored AS (SELECT k.*, CASE WHEN m IS NULL OR m = 0 THEN 0 ELSE (value - c) / (1.4826 * m) END AS z FROM canon k
+           JOIN zm ON k.site IS NOT DISTINCT FROM zm.site AND k.region = zm.region AND k.measure_type = zm.measure_type),
+sess AS (SELECT dataset, subject_id, session_id, max(site) AS site, max(etiv) AS etiv,
+                least(2 - 2 * max(surface_holes_lh), 2 - 2 * max(surface_holes_rh)) AS euler FROM canon GROUP BY ALL),
+ec AS (SELECT site, median(euler) AS c FROM sess GROUP BY 1),
+em AS (SELECT s.site, any_value(c) AS c, median(abs(euler - c)) AS m FROM sess s JOIN ec ON s.site IS NOT DISTINCT FROM ec.site GROUP BY 1),
+sflags AS (SELECT s.*, CASE WHEN euler IS NULL THEN NULL WHEN m IS NULL OR m = 0 THEN 0 ELSE (euler - c) / (1.4826 * m) END AS euler_z,
+                  coalesce(etiv < 1.1e6 OR etiv > 1.9e6, false) AS etiv_implausible
+           FROM sess s JOIN em ON s.site IS NOT DISTINCT FROM em.site),
+sflag AS (SELECT *, coalesce(euler < -40 OR euler_z < -4, false) AS euler_low FROM sflags),
+sided AS (SELECT *, CASE WHEN region LIKE hemisphere || '-%' THEN substr(region, length(hemisphere) + 2) ELSE region END AS structure FROM scored),
+pairs AS (SELECT dataset, subject_id, session_id, structure, measure_type, max(site) AS site, max(value) FILTER (hemisphere = 'lh') AS lh,
+                 max(value) FILTER (hemisphere = 'rh') AS rh FROM sided WHERE hemisphere IN ('lh', 'rh') GROUP BY ALL HAVING lh IS NOT NULL AND rh IS NOT NULL),
+ai AS (SELECT *, (lh - rh) / nullif((lh + rh) / 2, 0) AS asymmetry FROM pairs),
+ac AS (SELECT site, structure, measure_type, median(asymmetry) AS c FROM ai GROUP BY ALL),
+am AS (SELECT a.site, a.structure, a.measure_type, any_value(c) AS c, median(abs(asymmetry - c)) AS m FROM ai a
+       JOIN ac ON a.site IS NOT DISTINCT FROM ac.site AND a.structure = ac.structure AND a.measure_type = ac.measure_type GROUP BY ALL),
+asym AS (SELECT a.*, CASE WHEN m IS NULL OR m = 0 THEN 0 ELSE (asymmetry - c) / (1.4826 * m) END AS asymmetry_z FROM ai a
+         JOIN am ON a.site IS NOT DISTINCT FROM am.site AND a.structure = am.structure AND a.measure_type = am.measure_type),
+qflags AS (SELECT s.*, f.etiv_implausible, f.euler_low, coalesce(abs(z) > 4, false) AS region_outlier,
+                  coalesce(abs(a.asymmetry_z) > 4, false) AS asymmetry_outlier
+           FROM sided s JOIN sflag f USING (dataset, subject_id, session_id) LEFT JOIN asym a USING (dataset, subject_id, session_id, structure, measure_type)),
+qc AS (SELECT * EXCLUDE (qc_status, qc_flags, qc_score, qc_notes, analysis_included),
+  CASE WHEN etiv_implausible THEN 'FAIL' WHEN euler_low OR region_outlier OR asymmetry_outlier THEN 'WARNING' ELSE 'PASS' END AS qc_status,
+  list_filter([CASE WHEN etiv_implausible THEN 'etiv_implausible' END, CASE WHEN euler_low THEN 'euler_low' END,
+               CASE WHEN region_outlier THEN 'region_outlier' END, CASE WHEN asymmetry_outlier THEN 'asymmetry_outlier' END], lambda x: x IS NOT NULL) AS flags
+  FROM qflags)
+"""
+SQL["robust_z"] = f"WITH {CANON}, {QUALITY} SELECT {KEY}, round(z, 6) AS z FROM scored"
+SQL["etiv_euler_flags"] = f"""
+WITH {CANON}, {QUALITY} SELECT subject_id, session_id, site, euler, round(euler_z, 6) AS euler_z, etiv_implausible, euler_low FROM sflag
+"""
+SQL["asymmetry_flags"] = f"""
+WITH {CANON}, {QUALITY} SELECT subject_id, session_id, structure, measure_type, round(asymmetry, 8) AS asymmetry, round(asymmetry_z, 6) AS asymmetry_z,
+  coalesce(abs(asymmetry_z) > 4, false) AS asymmetry_outlier FROM asym
+"""
+SQL["qc_flags"] = f"""
+WITH {CANON}, {QUALITY} SELECT {KEY}, qc_status, array_to_string(flags, '; ') AS flags, round(abs(z), 6) AS qc_score,
+  CASE WHEN len(flags) = 0 THEN 'no QC flag triggered' ELSE array_to_string(flags, '; ') END AS qc_notes, qc_status = 'PASS' AS analysis_included FROM qc
+"""
+SQL["qc_flag_counts"] = f"WITH {CANON}, {QUALITY} SELECT flag, {COUNT} FROM (SELECT unnest(flags) AS flag FROM qc) t GROUP BY 1"
+SQL["qc_status_by_site"] = f"""
+WITH {CANON}, {QUALITY} SELECT site, qc_status, {COUNT}, count(DISTINCT (subject_id, session_id)) AS n_sessions FROM qc GROUP BY ALL
+"""
+SQL["inclusion_policy"] = f"""
+WITH {CANON}, {QUALITY} SELECT measure_type, count(*) FILTER (qc_status IN ('PASS', 'WARNING')) AS n_included,
+  count(*) FILTER (qc_status = 'PASS') AS n_pass, {COUNT} FROM qc GROUP BY 1
+"""
+SQL["qc_confusion"] = f"""
+WITH {CANON}, {QUALITY},
+truth AS (SELECT subject_id, session_id, bool_or(coalesce(surface_holes_lh < 0 OR surface_holes_lh > 80 OR etiv < 6e5 OR etiv > 2.5e6, false)) AS bad
+          FROM observations GROUP BY ALL),
+j AS (SELECT (etiv_implausible OR euler_low) AS p, coalesce(bad, false) AS t FROM sflag LEFT JOIN truth USING (subject_id, session_id)),
+c AS (SELECT count(*) FILTER (p AND t) AS tp, count(*) FILTER (p AND NOT t) AS fp, count(*) FILTER (NOT p AND t) AS fn, count(*) FILTER (NOT p AND NOT t) AS tn FROM j)
+SELECT *, tp / nullif(tp + fn, 0) AS recall, fp / nullif(fp + tn, 0) AS false_positive_rate, tp / nullif(tp + fp, 0) AS precision FROM c
+"""
+
+KNOWN_TIME = "FROM canon WHERE site IS NOT NULL AND time_from_baseline_years IS NOT NULL"
+SQL["time_crosstab"] = f"""
+WITH {CANON},
+r AS (SELECT min(time_from_baseline_years) AS lo, max(time_from_baseline_years) AS hi {KNOWN_TIME}),
+b AS (SELECT site, CASE WHEN time_from_baseline_years <= lo + (hi - lo) / 4 THEN 0 WHEN time_from_baseline_years <= lo + (hi - lo) * 2 / 4 THEN 1
+        WHEN time_from_baseline_years <= lo + (hi - lo) * 3 / 4 THEN 2 ELSE 3 END AS bin FROM canon, r WHERE site IS NOT NULL AND time_from_baseline_years IS NOT NULL)
+SELECT site AS batch, count(*) FILTER (bin = 0) AS bin_0, count(*) FILTER (bin = 1) AS bin_1, count(*) FILTER (bin = 2) AS bin_2, count(*) FILTER (bin = 3) AS bin_3
+FROM b GROUP BY 1
+"""
+SQL["confound_r2"] = f"""
+WITH {CANON},
+rows_ AS (SELECT 'site' AS batch_column, site AS b, time_from_baseline_years AS t FROM canon
+          UNION ALL SELECT 'era', CASE WHEN time_from_baseline_years >= 0.5 THEN 'late' ELSE site END, time_from_baseline_years FROM canon),
+known AS (SELECT *, dense_rank() OVER (PARTITION BY batch_column ORDER BY b) AS code, avg(t) OVER (PARTITION BY batch_column, b) AS m,
+                 avg(t) OVER (PARTITION BY batch_column) AS g FROM rows_ WHERE b IS NOT NULL AND t IS NOT NULL),
+s AS (SELECT batch_column, count(DISTINCT b) AS n_batches, sum((m - g) * (m - g)) / nullif(sum((t - g) * (t - g)), 0) AS r2, coalesce(corr(code, t), 0) AS r FROM known GROUP BY 1)
+SELECT batch_column, n_batches, round(r2, 8) AS r2, round(r, 8) AS correlation, severity, severity IN ('none', 'mild') AS interpretable FROM (
+  SELECT *, CASE WHEN n_batches < 2 THEN 'not_assessable' WHEN r2 IS NULL THEN 'unknown' WHEN r2 >= 0.5 THEN 'severe' WHEN r2 >= 0.2 THEN 'moderate'
+    WHEN r2 >= 0.05 THEN 'mild' ELSE 'none' END AS severity FROM s) t
+"""
+SQL["pool_signature"] = f"""
+WITH {CANON},
+small AS (SELECT site FROM canon WHERE site IS NOT NULL GROUP BY 1 HAVING count(DISTINCT subject_id) < 150),
+f AS (SELECT site AS batch, coalesce(scanner_manufacturer, '?') || '/' || coalesce(scanner_model, '?') || '/' || coalesce(field_strength_tesla::VARCHAR, '?') AS signature
+      FROM canon WHERE site IN (SELECT site FROM small) QUALIFY row_number() OVER (PARTITION BY site ORDER BY subject_id, session_id, region, measure_type) = 1),
+g AS (SELECT signature, count(*) AS k, string_agg(batch, '+' ORDER BY batch) AS members FROM f GROUP BY 1)
+SELECT batch, signature, CASE WHEN k > 1 THEN 'pool:' || members END AS pool FROM f JOIN g USING (signature)
+"""
+SQL["batch_policy_mask"] = f"""
+WITH {CANON}, big AS (SELECT site FROM canon WHERE site IS NOT NULL GROUP BY 1 HAVING count(DISTINCT subject_id) >= 60)
+SELECT site AS batch, coalesce(site IN (SELECT site FROM big), false) AS estimable, {COUNT} FROM canon GROUP BY ALL
+"""
+
+MODELED = f"""
+{CANON}, {CODED}, modeled AS (SELECT * FROM coded WHERE measure_type IN ('volume', 'thickness')),
+enough AS (SELECT site FROM modeled WHERE site IS NOT NULL GROUP BY 1 HAVING count(DISTINCT subject_id) >= 20),
+mom AS (SELECT region, measure_type, site AS batch, {COUNT}, avg(value) AS y, var_pop(value) AS yy FROM modeled
+        WHERE value IS NOT NULL AND site IN (SELECT site FROM enough) GROUP BY ALL),
+feat AS (SELECT region, measure_type, sum(n * y) / sum(n) AS grand, sqrt(sum(n * yy) / sum(n)) AS sigma FROM mom WHERE n >= 2 GROUP BY ALL),
+par AS (SELECT mom.*, grand, sigma, (y - grand) / sigma AS gamma, yy * n / (n - 1) / (sigma * sigma) AS delta FROM mom JOIN feat USING (region, measure_type) WHERE n >= 2)
+"""
+SQL["combat_moments"] = f"WITH {MODELED} SELECT region, measure_type, batch, n, round(y, 8) AS mean, round(yy, 8) AS variance FROM mom"
+SQL["combat_no_eb"] = f"""
+WITH {MODELED} SELECT region, measure_type, batch, n, round(grand, 6) AS grand, round(sigma, 6) AS sigma, round(gamma, 6) AS gamma, round(delta, 6) AS delta FROM par
+"""
+SQL["combat_priors"] = f"""
+WITH {MODELED} SELECT batch, count(*) AS n_features, round(avg(gamma), 6) AS gamma_mean, round(var_samp(gamma), 6) AS gamma_var,
+  round(avg(delta), 6) AS delta_mean, round(var_samp(delta), 6) AS delta_var FROM par GROUP BY 1
+"""
+SQL["ols_slope_by_region"] = f"""
+WITH {MODELED} SELECT region, measure_type, {COUNT}, round(regr_slope(value, time_from_baseline_years), 6) AS slope,
+  round(regr_intercept(value, time_from_baseline_years), 4) AS intercept
+FROM modeled WHERE value IS NOT NULL AND time_from_baseline_years IS NOT NULL GROUP BY ALL
+"""
+SQL["bh_fdr"] = f"""
+WITH {MODELED},
+v AS (SELECT * FROM modeled WHERE value IS NOT NULL AND site IS NOT NULL),
+w AS (SELECT region, avg(value) AS gm, stddev_pop(value) AS sd FROM v GROUP BY 1),
+t AS (SELECT v.region, site, abs(avg(value) - any_value(gm)) / (any_value(sd) / sqrt(count(*))) AS z FROM v JOIN w ON v.region = w.region GROUP BY 1, 2),
+p AS (SELECT region, site, round(1 / (1 + z * z), 9) AS p_value FROM t),
+r AS (SELECT *, p_value * count(*) OVER (PARTITION BY region) / count(*) OVER (PARTITION BY region ORDER BY p_value) AS raw FROM p)
+SELECT region, site, p_value, round(least(1, min(raw) OVER (PARTITION BY region ORDER BY p_value DESC)), 8) AS q_value FROM r
+"""
+SQL["model_exclusions"] = f"""
+WITH {CANON}, {QUALITY},
+q AS (SELECT *, CASE WHEN lower(trim(sex)) IN ('f', 'female', '2') THEN 'F' WHEN lower(trim(sex)) IN ('m', 'male', '1') THEN 'M' END AS s FROM qc WHERE qc_status = 'PASS'),
+c AS (SELECT *, coalesce(value IS NOT NULL AND time_from_baseline_years IS NOT NULL AND age_baseline IS NOT NULL AND s IS NOT NULL
+        AND dx_baseline IN ('patient', 'control') AND etiv_baseline IS NOT NULL, false) AS complete FROM q),
+f AS (SELECT region, measure_type, count(DISTINCT subject_id) >= 3 AS estimable FROM c WHERE complete AND measure_type IN ('volume', 'thickness') GROUP BY ALL),
+e AS (SELECT CASE WHEN estimable IS NULL THEN 'outside_modeled_region_set' WHEN NOT estimable THEN 'design_not_identifiable'
+             WHEN NOT complete THEN 'incomplete_model_covariates' END AS cause FROM c LEFT JOIN f USING (region, measure_type))
+SELECT cause, {COUNT} FROM e WHERE cause IS NOT NULL GROUP BY 1
+"""
+SQL["funnel"] = f"""
+WITH {CANON}, {QUALITY}, {ROSTER},
+expected AS (SELECT d.* FROM disc d SEMI JOIN roster USING (subject_id, session_id)),
+judged AS (SELECT q.* FROM qc q SEMI JOIN region_set USING (region, measure_type) SEMI JOIN expected USING (subject_id, session_id)),
+present AS (SELECT DISTINCT subject_id, session_id, region FROM judged),
+producing AS (SELECT DISTINCT subject_id, session_id FROM judged),
+lost4 AS (SELECT CASE WHEN list_contains(list_transform(d.files, lambda f: lower(regexp_extract(f, '[^/]*$'))),
+            CASE WHEN v.measure_type = 'volume' THEN 'aseg.stats' ELSE v.hemisphere || '.aparc.stats' END) THEN 'absent_from_source' ELSE 'source_unavailable' END AS cause
+  FROM producing p CROSS JOIN region_set v ANTI JOIN present q ON q.subject_id = p.subject_id AND q.session_id = p.session_id AND q.region = v.region
+  JOIN disc d ON d.subject_id = p.subject_id AND d.session_id = p.session_id),
+losses AS (
+  SELECT 2 AS i, cause FROM undiscovered UNION ALL
+  SELECT 3, CASE WHEN len(files) = 0 THEN 'missing_derivative' ELSE 'no_recognised_regions' END FROM expected ANTI JOIN producing USING (subject_id, session_id) UNION ALL
+  SELECT 4, cause FROM lost4 UNION ALL SELECT 5, 'excluded_qc' FROM judged WHERE qc_status <> 'PASS'),
+causes AS (SELECT i, sum(k) AS lost, string_agg(cause || '=' || k, '; ' ORDER BY cause || '=' || k) AS causes FROM (SELECT i, cause, count(*) AS k FROM losses GROUP BY ALL) t GROUP BY 1),
+steps AS (
+  SELECT 1 AS i, 'expected sessions' AS boundary, 'sessions' AS unit, count(*) AS "count" FROM roster UNION ALL
+  SELECT 2, 'discovered sessions', 'sessions', count(*) FROM expected UNION ALL
+  SELECT 3, 'sessions with observations', 'sessions', count(*) FROM producing UNION ALL
+  SELECT 4, 'canonical observations', 'observations', count(*) FROM judged UNION ALL
+  SELECT 5, 'QC-passing observations', 'observations', count(*) FROM judged WHERE qc_status = 'PASS')
+SELECT boundary, unit, "count", coalesce(lost, 0)::BIGINT AS lost, coalesce(causes, '') AS causes FROM steps LEFT JOIN causes USING (i)
+"""
+SQL["merge_counters"] = f"SELECT 'rows_by_measure' AS metric, lower(trim(measure_type)) AS key, {COUNT} FROM observations GROUP BY ALL"
+SQL["checksum"] = "SELECT file_id, sha256(content) AS checksum, strlen(content)::BIGINT AS size_bytes FROM raw_stats"
+SQL["header_kv"] = r"""
+WITH l AS (SELECT file_id, unnest(regexp_split_to_array(content, '\r?\n')) AS line FROM raw_stats)
+SELECT file_id, regexp_extract(line, '^#[ \t]*([A-Za-z_]+)[ \t]+(.*?)[ \t]*$', 1) AS key, regexp_extract(line, '^#[ \t]*([A-Za-z_]+)[ \t]+(.*?)[ \t]*$', 2) AS value
+FROM l WHERE regexp_matches(line, '^#[ \t]*[A-Za-z_]+[ \t]+\S') AND NOT regexp_matches(line, '^#[ \t]*(Measure|ColHeaders)\b') AND NOT regexp_matches(line, '^#[ \t]*note[ \t]')
+"""
+SQL["file_versions"] = rf"""
+WITH h AS ({SQL["header_kv"].strip()})
+SELECT value AS declaration, nullif(regexp_extract(value, '^(\d+(?:\.\d+)*)', 1), '') AS version, count(*) AS n_files FROM h WHERE key = 'cvs_version' GROUP BY ALL
+"""
+FATAL = "('EMPTY_FILE', 'NO_COLHEADERS', 'NO_DATA_ROWS', 'TRUNCATED_ROW', 'COLUMN_COUNT_MISMATCH')"
+VERDICTS = f"""
+{LINES},
+bad AS (SELECT file_id, code, 0 AS n FROM whole WHERE code IS NOT NULL UNION ALL SELECT file_id, code, n FROM c WHERE code IN {FATAL}),
+verdicts AS (SELECT file_id, arg_min(code, n) AS failure_code, min(n)::BIGINT AS line_number FROM bad GROUP BY 1)
+"""
+SQL["parse_failures"] = f"WITH {VERDICTS} SELECT * FROM verdicts"
+SQL["parsed_rows"] = rf"""
+WITH {VERDICTS},
+v AS (SELECT c.file_id, r.source_file, list_zip(cols, fields) AS z FROM c JOIN raw_stats r USING (file_id) ANTI JOIN verdicts USING (file_id) WHERE kind = 'row' AND code IS NULL),
+e AS (SELECT file_id, source_file, regexp_matches(source_file, 'aseg[^/]*$') AS sub, nullif(regexp_extract(source_file, '(lh|rh)\.[^/]*$', 1), '') AS side,
+             replace(replace(lower(trim(list_filter(z, lambda x: x[1] = 'StructName')[1][2])), '_', '-'), ' ', '-') AS alias, unnest(z) AS x FROM v),
+names AS (SELECT DISTINCT replace(lower(trim(a)), '_', '-') AS alias, side, canon FROM (
+    SELECT unnest(list_prepend(region, source_names)) AS a, '' AS side, region AS canon FROM region_set UNION ALL SELECT structure, hemisphere, region FROM region_set) t)
+SELECT e.file_id, e.source_file, s.region, s.hemisphere, s.measure_type, s.unit, replace(x[2], ',', '.')::DOUBLE AS value
+FROM e JOIN names ON names.alias = e.alias AND names.side = CASE WHEN sub THEN '' ELSE e.side END JOIN region_set s ON s.region = canon
+WHERE x[1] = CASE WHEN sub THEN 'Volume_mm3' ELSE 'ThickAvg' END AND s.measure_type = CASE WHEN sub THEN 'volume' ELSE 'thickness' END
+"""
+SQL["wide_to_long"] = f"WITH {CANON}, " + """
+s AS (SELECT subject_id, session_id, max(etiv) AS etiv, max(surface_holes_lh) AS holes_lh, max(surface_holes_rh) AS holes_rh FROM canon GROUP BY ALL)
+SELECT * FROM (SELECT subject_id, session_id, 'etiv' AS field, etiv AS x FROM s UNION ALL SELECT subject_id, session_id, 'holes_lh', holes_lh FROM s
+               UNION ALL SELECT subject_id, session_id, 'holes_rh', holes_rh FROM s) t WHERE x IS NOT NULL
+"""

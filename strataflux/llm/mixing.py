@@ -44,7 +44,8 @@ def mix(sizes: DataFrame, targets: DataFrame, budget: float | None = None, seed:
     is taken that reaches the target shares. Sources without texts, and texts of sources without a target, null
     sources or no tokens, take no part. Repeated rows are texts of their own. Empty inputs give an empty blend.
     """
-    table, most = weights(sizes, targets)
+    sizes = sizes.select("doc_id", "source", "n_tokens")
+    table, most = weights(sizes, targets.select("source", "target_share", "max_repeats"))
     budget = most if budget is None else float(budget)
     rounds = F.least(F.col("max_repeats"), F.greatest(F.lit(1), F.ceil(F.lit(budget) * F.col("weight") / F.col("available")).cast("int")))
     drawn = (
@@ -65,13 +66,13 @@ def mix(sizes: DataFrame, targets: DataFrame, budget: float | None = None, seed:
     )
 
 
-def reached_shares(blend: DataFrame, sizes: DataFrame, targets: DataFrame) -> DataFrame:
+def reached_shares(blend: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, max_repeats, n_tokens, reached_share, times_used) for every source with a target."""
     used = blend.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.max("repeat").alias("times_used"))
     total = used.agg(F.sum("n_tokens").alias("total"))
     # one row of totals beside one row per source
     with_total = used.join(total, F.lit(True), "inner")
-    return targets.join(with_total, "source", "left").select(
+    return targets.select("source", "target_share", "max_repeats").join(with_total, "source", "left").select(
         "source", "target_share", "max_repeats", F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"),
         F.coalesce(F.col("n_tokens") / F.col("total"), F.lit(0.0)).alias("reached_share"), F.coalesce("times_used", F.lit(0)).alias("times_used"),
     )

@@ -40,7 +40,7 @@ def p9_blend(spark: SparkSession, folder: str) -> DataFrame:
 
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     sizes, targets = packing.token_sizes(table(spark, folder, "documents")), table(spark, folder, "mix_targets")
-    return mixing.reached_shares(mixing.mix(sizes, targets), sizes, targets)
+    return mixing.reached_shares(mixing.mix(sizes, targets), targets)
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -68,8 +68,9 @@ def time_correlation(df: DataFrame, batch: str) -> DataFrame:
     known = df.filter(F.col(batch).isNotNull() & F.col(TIME).isNotNull()).select(F.col(batch).alias("batch"), TIME)
     # one row per batch, so ranking them in one task is bounded by their number
     codes = known.select("batch").distinct().withColumn("code", F.dense_rank().over(Window.orderBy("batch")) - 1)
-    r = known.join(codes, "batch").agg(F.corr("code", TIME).alias("r"))
-    return r.select(F.coalesce(F.when(~F.isnan("r"), F.col("r")), F.lit(0.0)).alias("correlation"))
+    joined = known.join(codes, "batch")
+    r = joined.agg(F.covar_pop("code", TIME).alias("c"), (F.stddev_pop("code") * F.stddev_pop(TIME)).alias("s"))
+    return r.select(F.coalesce(F.try_divide(F.col("c"), F.col("s")), F.lit(0.0)).alias("correlation"))
 
 
 def time_bins(df: DataFrame, bins: int = 4) -> DataFrame:

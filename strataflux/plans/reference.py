@@ -230,8 +230,11 @@ def site_r2_after(spark: SparkSession, folder: str) -> DataFrame:
 
 def ols_slope_by_region(spark: SparkSession, folder: str) -> DataFrame:
     rows = _modeled(spark, folder).filter("value IS NOT NULL AND time_from_baseline_years IS NOT NULL")
-    slope = F.regr_slope("value", "time_from_baseline_years")
-    return rows.groupBy("region", "measure_type").agg(F.count(F.lit(1)).alias("n"), F.round(slope, 6).alias("slope"), F.round(F.regr_intercept("value", "time_from_baseline_years"), 4).alias("intercept"))
+    time = F.col("time_from_baseline_years")
+    slope = F.try_divide(F.covar_pop(time, "value"), F.var_pop(time))
+    return rows.groupBy("region", "measure_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(slope, 6).alias("slope"), F.round(F.avg("value") - slope * F.avg(time), 4).alias("intercept")
+    )
 
 
 def reml_fit(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,7 +21,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.stats") -> Data
     """
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-        .select(F.col("path").alias("source_file"), F.coalesce(F.try_validate_utf8(F.decode("content", "UTF-8")), F.decode("content", "ISO-8859-1")).alias("content"),
+        .select(F.col("path").alias("source_file"), F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.decode("content", "ISO-8859-1")).alias("content"),
                 F.sha2("content", 256).alias("source_file_checksum"), F.col("length").alias("size_bytes"))
     )
     jvm = spark._jvm

@@ -1,7 +1,12 @@
+import sys
+from pathlib import Path
+
 import pytest
 
 from strataflux.session import local_session
 
+sys.path.insert(0, str(Path(__file__).parent))
+
 
 @pytest.fixture(scope="session")
 def spark():

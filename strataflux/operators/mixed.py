@@ -24,7 +24,7 @@ PRIMARY = "time:dx_baseline[T.patient]"
 SECONDARY = ("time", "dx_baseline[T.patient]", "age_baseline")
 P = len(TERMS)
 MIN_SUBJECTS = 3
-SEARCH_PASSES = 48
+SEARCH_PASSES = 30
 REGION_LIMIT = 10_000
 
 
@@ -123,6 +123,29 @@ def _evaluate(sums: DataFrame, candidates: dict[tuple[str, str], np.ndarray]) ->
     return found
 
 
+def _allowed(factors: np.ndarray) -> np.ndarray:
+    """The diagonal of a factor isn't negative."""
+    factors = np.array(factors, dtype=float)
+    factors[..., [0, 2]] = np.maximum(factors[..., [0, 2]], 0.0)
+    return factors
+
+
+def _next_center(points: np.ndarray, values: np.ndarray, best: np.ndarray, step: float) -> tuple[np.ndarray, float]:
+    """Where to look next: the minimum of a quadratic through the grid's values, else the best point so far."""
+    center, scale = points[0], step * np.maximum(np.abs(points[0]), 0.05)
+    u = (points - center) / scale
+    if np.isfinite(values).all():
+        cross = [u[:, i] * u[:, j] for i in range(3) for j in range(i, 3)]
+        c = np.linalg.lstsq(np.stack([np.ones(len(u)), *u.T, *cross], 1), values, rcond=None)[0]
+        h = np.array([[2 * c[4], c[5], c[6]], [c[5], 2 * c[7], c[8]], [c[6], c[8], 2 * c[9]]])
+        if np.linalg.eigvalsh(h)[0] > 0:
+            move = -np.linalg.solve(h, c[1:4])
+            if np.abs(move).max() <= 1.5:
+                return _allowed(center + move * scale), step / 3
+    edge = np.abs((best - center) / scale).max() >= 0.99
+    return best, step if edge else step / 3
+
+
 FITS = (
     "region string, measure_type string, n_observations bigint, n_subjects bigint, estimable boolean, converged boolean, "
     "random_slope_dropped boolean, reason string, sigma2 double, var_intercept double, cov_slope double, var_slope double, "
@@ -135,7 +158,8 @@ def fit_regions(observations: DataFrame, passes: int = SEARCH_PASSES) -> DataFra
 
     Regions with fewer than three subjects, or with constant time or a singular design, are not estimable and
     give one row with term null. The search over the three entries of the random effects' factor starts from a
-    coarse set and halves its step whenever a pass brings nothing better; a fit converges when the step is small.
+    coarse set; each pass evaluates a grid of 27 points, aims at the minimum of a quadratic through them and narrows
+    the grid; a fit converges when the grid is small.
     A slope whose variance ends at zero counts as dropped.
     """
     sums = materialize(subject_sums(model_rows(observations)), "subject-sums")
@@ -159,18 +183,16 @@ def fit_regions(observations: DataFrame, passes: int = SEARCH_PASSES) -> DataFra
             n = 0 if reason == "constant_time" else int(r.n)
             rows.append((r.region, r.measure_type, n, r.subjects, False, False, False, reason, *[None] * 8))
         else:
-            state[(r.region, r.measure_type)] = {"n": r.n, "subjects": r.subjects, "center": r.center, "best": math.inf, "at": None, "step": 1.0, "sum": None}
+            state[(r.region, r.measure_type)] = {"n": r.n, "subjects": r.subjects, "center": r.center, "best": math.inf, "at": None, "aim": None, "step": 1.0, "sum": None}
     start = np.array([(a, b, c) for a in (0.3, 1.0, 3.0) for b in (0.0,) for c in (0.03, 0.3, 1.0)] + [(0.0, 0.0, 0.0), (1.0, 0.0, 0.0)])
-    moves = np.array([m for m in itertools.product((-1, 0, 1), repeat=3) if any(m)], dtype=float)
+    moves = np.array(list(itertools.product((0, -1, 1), repeat=3)), dtype=float)  # the centre itself comes first
     for step in range(passes):
         asked = {}
         for key, s in state.items():
             if step == 0:
                 asked[key] = start
             elif s["step"] > 2e-3:
-                around = s["at"] + moves * s["step"] * np.maximum(np.abs(s["at"]), 0.05)
-                around[:, [0, 2]] = np.maximum(around[:, [0, 2]], 0.0)
-                asked[key] = around
+                asked[key] = _allowed(s["aim"] + moves * s["step"] * np.maximum(np.abs(s["aim"]), 0.05))
         if not asked:
             break
         for key, totals in _evaluate(sums, asked).items():
@@ -179,10 +201,10 @@ def fit_regions(observations: DataFrame, passes: int = SEARCH_PASSES) -> DataFra
             i = int(np.argmin(values))
             if values[i] < s["best"] - 1e-9:
                 s.update(best=values[i], at=asked[key][i].copy(), sum=totals[i])
-            elif step:
-                s["step"] /= 3
             if step == 0:
-                s["step"] = 0.6
+                s.update(aim=s["at"], step=0.6)
+            elif s["at"] is not None:
+                s["aim"], s["step"] = _next_center(asked[key], values, s["at"], s["step"])
     for (region, measure), s in state.items():
         if not math.isfinite(s["best"]):
             rows.append((region, measure, 0, s["subjects"], False, False, False, "singular_design", *[None] * 8))

@@ -183,6 +183,13 @@ def _batched(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(confound.batch_policy(_modeled(spark, folder), "site", 20, "report_and_exclude"), "batched")
 
 
+def _included(spark: SparkSession, folder: str) -> DataFrame:
+    """What models are fitted on: rows that pass quality control, with decoded covariates and their batch."""
+    rows = _qc(spark, folder).filter(F.col("analysis_included") & F.col("measure_type").isin("volume", "thickness"))
+    labelled = confound.batch_policy(materialize(canonical.covariate_codes(rows), "included"), "site", 20, "report_and_exclude")
+    return materialize(labelled, "batched")
+
+
 def combat_moments(spark: SparkSession, folder: str) -> DataFrame:
     rows = harmonize.moments(_batched(spark, folder).filter("estimable"), harmonize.Design((), {}))
     return rows.select("region", "measure_type", "batch", "n", F.round("y", 8).alias("mean"), F.round("yy", 8).alias("variance"))
@@ -203,12 +210,12 @@ def combat_priors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def combat_eb(spark: SparkSession, folder: str) -> DataFrame:
-    _, params, _ = harmonize.combat(_batched(spark, folder), COVARIATES, estimate_on="estimable")
+    _, params, _ = harmonize.combat(_included(spark, folder), COVARIATES, estimate_on="estimable")
     return params.select("region", "measure_type", "batch", "n", "grand", "sigma", "gamma", "gamma_star", "delta", "delta_star", "iterations", "converged", "skip")
 
 
 def harmonized(spark: SparkSession, folder: str) -> DataFrame:
-    adjusted, _, _ = harmonize.combat(_batched(spark, folder), COVARIATES, estimate_on="estimable")
+    adjusted, _, _ = harmonize.combat(_included(spark, folder), COVARIATES, estimate_on="estimable")
     return adjusted.select(*schema.KEY, "site", "value", "value_adjusted")
 
 
@@ -238,7 +245,7 @@ def ols_slope_by_region(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reml_fit(spark: SparkSession, folder: str) -> DataFrame:
-    return mixed.fit_regions(_modeled(spark, folder))
+    return mixed.fit_regions(_included(spark, folder))
 
 
 def results_pivot(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,7 +254,7 @@ def results_pivot(spark: SparkSession, folder: str) -> DataFrame:
 
 def arms_compare(spark: SparkSession, folder: str) -> DataFrame:
     """The primary effect with and without harmonization."""
-    rows = _batched(spark, folder)
+    rows = _included(spark, folder)
     adjusted, _, _ = harmonize.combat(rows, COVARIATES, estimate_on="estimable")
     other = adjusted.withColumn("value", F.col("value_adjusted"))
     return mixed.compare_arms(mixed.results_table(mixed.fit_regions(other)), mixed.results_table(mixed.fit_regions(rows)))

@@ -21,9 +21,11 @@ from strataflux.session import materialize
 GROUP = ["site", "region", "measure_type"]
 #: clusters per digest are at most half of it; one clustering moves a rank by at most pi / compression
 COMPRESSION = 1_000
-#: the stated error, as a share of the group's values: two clusterings, rounded up
+#: the stated error, as a share of the group's values: three clusterings, rounded up
 RANK_ERROR = 0.01
 ROWS_PER_DIGEST = 500_000
+#: digests of one hot group are first merged in so many folds, so that no task clusters all of them
+FOLDS = 256
 PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 
 
@@ -50,7 +52,8 @@ def build_digests(values: DataFrame, keys: Sequence[str], value: str = "value",
     """(keys, mean, weight, low, high): centroid rows of one or more digests per group.
 
     Equal values are counted first. A group of more than `rows_per_digest` different values is dealt out to
-    several digests by a hash of the value, so no task sorts a whole hot group; `merge_digests` makes one of them.
+    several digests by a hash of the value, so no task sorts a whole hot group; these are merged to FOLDS digests
+    at most, of which `merge_digests` makes one.
     """
     keys = list(keys)
     points = values.groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("w"))
@@ -59,7 +62,7 @@ def build_digests(values: DataFrame, keys: Sequence[str], value: str = "value",
     order = Window.partitionBy(*keys, "part").orderBy("v")
     upto = F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, 0))
     q = (upto - F.col("w") / 2) / F.sum("w").over(Window.partitionBy(*keys, "part"))
-    return (
+    parts = (
         salted.withColumn("c", _cluster(q, compression))
         .groupBy(*keys, "part", "c")
         .agg(
@@ -68,8 +71,10 @@ def build_digests(values: DataFrame, keys: Sequence[str], value: str = "value",
             F.min("v").alias("low"),
             F.max("v").alias("high"),
         )
-        .drop("part", "c")
+        .drop("c")
     )
+    folded = parts.withColumn("fold", F.pmod("part", F.lit(FOLDS))).drop("part")
+    return merge_digests(folded, [*keys, "fold"], compression).drop("fold")
 
 
 def merge_digests(centroids: DataFrame, keys: Sequence[str], compression: int = COMPRESSION) -> DataFrame:

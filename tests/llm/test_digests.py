@@ -26,6 +26,7 @@ def test_hot_groups_are_split_and_merge_again(spark):
     rng = np.random.default_rng(7)
     rows = [("hot", "l", float(x)) for x in rng.normal(size=6_000)]
     parts = digests.build_digests(frame(spark, rows), ["k"], compression=200, rows_per_digest=1_000)
+    assert digests.build_digests(frame(spark, rows), ["k"], compression=200, rows_per_digest=10).count() > 1_000  # 600 parts in 256 folds
     merged = digests.merge_digests(parts, ["k"], 200).collect()
     assert sum(r.weight for r in merged) == 6_000 and len(merged) <= 101
     assert parts.count() > 400

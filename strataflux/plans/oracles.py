@@ -55,6 +55,16 @@ WHERE value IS NOT NULL AND NOT isnan(value)
 GROUP BY ALL HAVING count(DISTINCT value) > 1
 """
 
+SQL["p2_wide_table"] = f"""
+WITH {CANONICAL},
+v AS (SELECT subject_id, session_id, translate(coalesce(region, 'unknown') || '__' || coalesce(measure_type, 'unknown'), '-.', '__') AS col,
+             CASE WHEN NOT isnan(value) THEN value END AS value, ingested_at FROM obs),
+cells AS (SELECT subject_id, session_id, col, first(value ORDER BY ingested_at DESC NULLS LAST, value DESC) FILTER (value IS NOT NULL) AS value,
+                 count(DISTINCT value) > 1 AS conflict FROM v GROUP BY ALL),
+marked AS (SELECT subject_id, session_id, col, value, sum(conflict::INT) OVER (PARTITION BY subject_id, session_id)::BIGINT AS n_conflicts FROM cells)
+PIVOT marked ON col USING max(value) GROUP BY subject_id, session_id, n_conflicts
+"""
+
 #: every schema change: columns with their place and type per file, compared with the file before
 SQL["p3_found"] = """
 WITH f AS (SELECT DISTINCT ON (file_id) * FROM parsed_files ORDER BY file_id, received_at),
@@ -155,6 +165,18 @@ SELECT file_id, n::BIGINT AS line_number, fields[1] AS measure,
 FROM c WHERE kind = 'measure' AND code IS NULL
 """
 
+SQL["file_globals"] = rf"""
+WITH {LINES},
+m AS (SELECT file_id, fields[1] AS measure,
+             replace(list_last(list_filter(fields[2:], lambda x: regexp_full_match(x, '[+-]?([0-9]+[.,]?[0-9]*|[.,][0-9]+)([eE][+-]?[0-9]+)?'))), ',', '.')::DOUBLE AS value
+      FROM c WHERE kind = 'measure' AND code IS NULL),
+g AS (SELECT file_id, coalesce(max(value) FILTER (measure = 'EstimatedTotalIntraCranialVol'), max(value) FILTER (measure = 'eTIV'),
+             max(value) FILTER (measure = 'IntraCranialVol'), max(value) FILTER (measure = 'ICV')) AS etiv,
+             max(value) FILTER (measure = 'lhSurfaceHoles') AS surface_holes_lh, max(value) FILTER (measure = 'rhSurfaceHoles') AS surface_holes_rh FROM m GROUP BY 1),
+w AS (SELECT file_id, min(nullif(regexp_extract(line, '^#[ \t]*cvs_version[ \t]+[^0-9]*(\d+(?:\.\d+)*)', 1), '')) AS freesurfer_version FROM l GROUP BY 1)
+SELECT r.file_id, etiv, surface_holes_lh, surface_holes_rh, freesurfer_version FROM raw_stats r LEFT JOIN g USING (file_id) LEFT JOIN w USING (file_id)
+"""
+
 PROFILE = """
 cells AS (
   SELECT dataset_version, 'surface_holes_lh' AS column_name, surface_holes_lh AS num, NULL::VARCHAR AS txt FROM observations

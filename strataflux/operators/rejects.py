@@ -18,9 +18,10 @@ NUMBER = r"^[+-]?([0-9]+[.,]?[0-9]*|[.,][0-9]+)([eE][+-]?[0-9]+)?$"
 NAME_COLUMN = "StructName"
 #: a data field is a run without blanks and quotes, or whatever two quotes at its ends enclose
 FIELD = r'"[^"]*"|[^ \t"]+'
-LEGAL_ROW = rf"^[ \t]*({FIELD})([ \t]+({FIELD}))*[ \t]*$"
+#: possessive groups: their matching is a loop, where a plain one recurses per field and overflows on long lines
+LEGAL_ROW = rf"^[ \t]*({FIELD})([ \t]+({FIELD}))*+[ \t]*$"
 #: a measure field lies between commas; quoted, it may hold commas itself
-LEGAL_MEASURE = r'^[ \t]*("[^"]*"|[^",]*)[ \t]*(,[ \t]*("[^"]*"|[^",]*)[ \t]*)*$'
+LEGAL_MEASURE = r'^[ \t]*("[^"]*"|[^",]*)[ \t]*(,[ \t]*("[^"]*"|[^",]*)[ \t]*)*+$'
 MEASURE_FIELD = r'(?:^|,)([ \t]*"[^"]*"[ \t]*|[^,]*)'
 HEADER, MEASURE = r"^#[ \t]*ColHeaders(?:[ \t]+(.*))?$", r"^#[ \t]*Measure(?:[ \t]+(.*))?$"
 
@@ -104,7 +105,7 @@ def read_permissively(raw: DataFrame) -> DataFrame:
         .when(~numbers_ok, "UNPARSEABLE_NUMERIC")
     )
     first_empty = F.coalesce(F.get("fields", F.lit(0)), F.lit("")) == ""
-    has_number = F.exists(F.slice("fields", 2, 1_000_000), is_number)
+    has_number = F.exists(F.slice("fields", F.lit(2), F.size("fields")), is_number)
     of_measure = F.when(first_empty | ~has_number, "MALFORMED_MEASURE")
     code = F.when(~F.col("quotes_ok"), "BROKEN_QUOTING").when(F.col("kind") == "row", of_row).otherwise(of_measure)
     out = parsed.withColumn("failure_code", code).select(
@@ -136,7 +137,7 @@ def loaded_rows(lines: DataFrame) -> DataFrame:
 def loaded_measures(lines: DataFrame) -> DataFrame:
     """Valid header measures: file_id, line_number, measure (short name), value (last number), unit (last field)."""
     valid = lines.filter("kind = 'measure' AND failure_code IS NULL")
-    numbers = F.filter(F.slice("fields", 2, 1_000_000), is_number)
+    numbers = F.filter(F.slice("fields", F.lit(2), F.size("fields")), is_number)
     return valid.select(
         "file_id", F.col("line_number").cast("bigint").alias("line_number"), F.get("fields", F.lit(0)).alias("measure"),
         as_number(F.element_at(numbers, -1)).alias("value"), F.element_at("fields", -1).alias("unit"),

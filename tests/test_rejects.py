@@ -44,6 +44,11 @@ def test_measure_codes(spark):
 def test_empty_table_and_long_line(spark):
     bad, _ = cases(spark, [HEAD + "s " + "9" * 200_000 + " 2"])
     assert bad == []
+    many = "s 1 2" + " 2.5" * 100_000
+    measure = "# Measure a" + ", x" * 100_000 + ", 1"
+    bad, lines = cases(spark, [measure + "\n" + HEAD + many + '\n' + many + ' "x'])
+    assert bad == [(0, 3, "COLUMN_COUNT_MISMATCH"), (0, 4, "BROKEN_QUOTING")]
+    assert [r.value for r in rejects.loaded_measures(lines).collect()] == [1.0]
     empty = rejects.read_permissively(spark.createDataFrame([], RAW))
     assert empty.count() == 0 and rejects.loaded_rows(empty).count() == 0
 

@@ -7,6 +7,9 @@ attributes; `unionByName(allowMissingColumns=True)` puts them together.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,22 @@ def cells_of(observations: DataFrame, region_set: DataFrame) -> DataFrame:
     return with_canonical_names(rows, region_set).drop("hemisphere")
 
 
+def column_names(keys: Iterable[str]) -> dict[str, str]:
+    """Column name per attribute key (JSON of region and measure_type); names that would clash, also by
+    letter case only, are numbered in the order of the keys."""
+    names, taken = {}, set()
+    for key in sorted(keys):
+        attribute = json.loads(key)
+        base = "__".join(attribute.get(part, "unknown") for part in ("region", "measure_type")).replace("-", "_").replace(".", "_")
+        name, n = base, 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{base}_{n}"
+        taken.add(name.lower())
+        names[key] = name
+    return names
+
+
 def widen(cells: DataFrame, dense_tables: int = 16, max_attributes: int = 5_000) -> DataFrame:
     """One row per (subject_id, session_id): a double column `<region>__<measure>` per attribute found,
     `signature` (hash of the attribute set), `n_attributes` and `conflicts`, the cells for which the rows
@@ -30,7 +49,8 @@ def widen(cells: DataFrame, dense_tables: int = 16, max_attributes: int = 5_000)
     A cell's value is that of the row ingested last, the greater one on a tie; null and NaN values are
     no values, but a row with one still makes the attribute part of the entity. Rows that repeat a cell
     with the same value change nothing. Null entity ids form an entity of their own, null regions or
-    measures become the attribute `unknown`. An empty input gives an empty table without attribute
+    measures become the attribute `unknown`. Attributes whose column names would be the same (`a-b` and `a.b`)
+    stay apart: the later ones get `_2`, `_3` and so on. An empty input gives an empty table without attribute
     columns; extra columns are ignored. `dense_tables` bounds how many signatures get a table of their
     own, never which entities appear; more than `max_attributes` attributes raise an error, since the
     result could not be a table of columns.
@@ -44,16 +64,16 @@ def widen(cells: DataFrame, dense_tables: int = 16, max_attributes: int = 5_000)
             F.coalesce(F.max("v") != F.min("v"), F.lit(False)).alias("conflict"),
         )
     )
-    column = F.translate(F.concat_ws("__", F.coalesce("region", F.lit("unknown")), F.coalesce("measure_type", F.lit("unknown"))), "-.", "__")
-    cell = F.struct(column.alias("name"), F.struct("region", "measure_type").alias("a"), "value", "conflict")
+    cell = F.struct(F.struct("region", "measure_type").alias("a"), "value", "conflict")
     packed = materialize(
         resolved.groupBy(*ENTITY)
         .agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+        .withColumn("names", F.transform("cells", lambda x: F.to_json(x["a"])))
         .select(
             *ENTITY,
-            F.xxhash64("cells.name").alias("signature"),
+            F.xxhash64("names").alias("signature"),
             F.size("cells").alias("n_attributes"),
-            F.col("cells.name").alias("names"),
+            "names",
             F.col("cells.value").alias("values"),
             F.transform(F.filter("cells", lambda x: x["conflict"]), lambda x: x["a"]).alias("conflicts"),
         ),
@@ -65,16 +85,16 @@ def widen(cells: DataFrame, dense_tables: int = 16, max_attributes: int = 5_000)
     known = signatures.select(F.explode("names").alias("name")).distinct().limit(max_attributes + 1).collect()
     if len(known) > max_attributes:
         raise ValueError(f"more than {max_attributes} attributes: not a table of columns")
-    everything = sorted(r.name for r in known)
+    columns = column_names(r.name for r in known)
     frequent = signatures.orderBy(F.desc("n"), "signature").limit(dense_tables).collect()
 
     head = [*ENTITY, "signature", "n_attributes", "conflicts"]
     rest = packed.filter(~F.col("signature").isin([r.signature for r in frequent])) if frequent else packed
     cell_of = F.col("cell_of")
-    wide = rest.withColumn("cell_of", F.map_from_arrays("names", "values")).select(*head, *[cell_of[n].alias(n) for n in everything])
+    wide = rest.withColumn("cell_of", F.map_from_arrays("names", "values")).select(*head, *[cell_of[k].alias(n) for k, n in sorted(columns.items(), key=lambda x: x[1])])
     for r in frequent:
         # names are sorted, so the place of an attribute is the same in every row of a signature
-        values = [F.get("values", F.lit(i)).alias(n) for i, n in enumerate(r.names)]
+        values = [F.get("values", F.lit(i)).alias(columns[k]) for i, k in enumerate(r.names)]
         wide = wide.unionByName(packed.filter(F.col("signature") == r.signature).select(*head, *values), allowMissingColumns=True)
     return wide
 

@@ -24,6 +24,17 @@ def test_widen_typed_columns_and_conflicts(spark):
         assert bad == {("b", "lh-x", "volume"), ("d", "lh-x", "volume")}
 
 
+def test_widen_keeps_clashing_names_apart(spark):
+    regions = ["a.b", "a-b", "A-b", None, "unknown", ""]
+    rows = [("s", "1", r, "volume", float(i), "t", "s", 1) for i, r in enumerate(regions)]
+    for dense in (0, 2):
+        wide = widen.widen(spark.createDataFrame(rows, CELLS), dense_tables=dense)
+        got = wide.collect()[0].asDict()
+        names = ["a_b__volume_3", "a_b__volume_2", "A_b__volume", "unknown__volume", "unknown__volume_2", "__volume"]
+        assert [got[n] for n in names] == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
+        assert got["n_attributes"] == 6 and got["conflicts"] == []
+
+
 def test_widen_nothing(spark):
     wide = widen.widen(spark.createDataFrame([], CELLS))
     assert wide.count() == 0 and widen.conflicting_cells(wide).count() == 0

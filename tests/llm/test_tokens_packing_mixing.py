@@ -51,6 +51,15 @@ def test_pack_keeps_every_token_once(spark):
     assert report["large"].cost_max < 3 * report["large"].cost_mean
 
 
+def test_rows_of_one_id_spread_over_shards(spark):
+    limits = spark.createDataFrame([("small", 100)], "limit_name string, capacity_tokens int")
+    rows = [(None, "s", 10)] * 2_000 + [(7, "s", 10)] * 2_000
+    packed = packing.pack(sizes_of(spark, rows), limits, texts_per_shard=400).toPandas()
+    assert packed.n_tokens.sum() == 40_000
+    shard = packed.container // packing.CONTAINERS_PER_SHARD
+    assert shard.nunique() == 10 and shard.value_counts().max() < 600
+
+
 def test_pack_edge_inputs(spark):
     limits = spark.createDataFrame([("small", 100)], "limit_name string, capacity_tokens int")
     assert packing.pack(sizes_of(spark, []), limits).count() == 0

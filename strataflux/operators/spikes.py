@@ -2,8 +2,8 @@
 
 Method: robust autoregression per source. A source is a (field, site, region, measure_type) series
 ordered by time. Readings are standardised by the source's median and MAD, an AR(1) coefficient is
-fitted to Huber-clipped pairs, additive outliers are tested on the innovations, level shifts on the
-means of successive time buckets; both are taken out and the fit is repeated. Physical limits and
+fitted to Huber-clipped pairs, additive outliers are tested on the innovations, level shifts at every
+reading on the means of the readings before and after it; both are taken out and the fit is repeated. Physical limits and
 runs of one repeated reading are separate tests.
 """
 
@@ -21,6 +21,9 @@ from strataflux.session import materialize
 SOURCE = ["field", "site", "region", "measure_type"]
 SESSION = ["subject_id", "session_id"]
 MAD_TO_SIGMA = 1.4826
+#: lengths of the windows whose means are compared, and readings of a source that one task tests
+SPANS = tuple(5 * 2**k for k in range(11))
+CHUNK = 32_768
 ORDER = ["acquired_at", "subject_id", "session_id", "reading"]
 
 
@@ -32,7 +35,7 @@ class SpikeRules:
     clip: float = 3.0  # Huber clip of the standardised deviation
     phi_limit: float = 0.95
     innovation: float = 5.0  # additive-outlier threshold; must stay below mad_factor - phi_limit * clip
-    shift: float = 6.0  # level-shift threshold, in standard errors of a bucket mean
+    shift: float = 6.0  # level-shift threshold, in standard errors of the difference of two means
     rounds: int = 2
     stuck: int = 5  # least length of a stuck run
     bucket: str = "month"  # time bucket over which one source is spread
@@ -120,45 +123,112 @@ def _stuck_runs(rows: DataFrame, rules: SpikeRules) -> DataFrame:
     )
 
 
+def _window_shifts(rows: DataFrame, fit: DataFrame, rules: SpikeRules) -> DataFrame:
+    """(sid, pos, at, score, mean, mean_before): the mean changes at this reading.
+
+    Every position of a source with at least `rules.stuck` readings on both sides is tested, between equal
+    windows of all lengths in SPANS, which end where the source does. Of the tests that pass, the one with the
+    highest score within the length of its window stays. Chunks of a source carry so many of their
+    neighbours' readings that windows at their ends are whole.
+    """
+    far = 2 * SPANS[-1]
+    chunk = lambda by: F.floor((F.col("pos") + by) / CHUNK)
+    copies = rows.select("sid", "pos", "at", "z", "y", "used", chunk(0).alias("own"), F.explode(F.array_distinct(F.array(F.greatest(chunk(-far), F.lit(0)), chunk(0), chunk(far)))).alias("part"))
+    w = Window.partitionBy("sid", "part").orderBy("pos")
+    kept = lambda x: F.sum(F.when(F.col("used"), x).otherwise(F.lit(0.0))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    whole = Window.partitionBy("sid", "part")
+    soft = F.greatest(F.lit(-rules.clip), F.least(F.lit(rules.clip), F.col("z")))
+    sums = copies.withColumn("p", F.struct(kept(F.lit(1.0)).alias("n"), kept(F.col("y")).alias("y"), kept(soft).alias("z")))
+    sums = sums.withColumns({"all": F.max_by("p", "pos").over(whole)} | {f"b{s}": F.lag("p", s + 1).over(w) for s in SPANS} | {f"a{s}": F.lead("p", s - 1).over(w) for s in SPANS} | {"here": F.lag("p").over(w)})
+    sides = F.array(*[F.struct(F.lit(s).alias("span"), F.col(f"b{s}").alias("b"), F.col(f"a{s}").alias("a")) for s in SPANS])
+    tests = sums.filter("here IS NOT NULL").select("sid", "part", "own", "pos", "at", "here", "all", F.explode(sides).alias("t"))
+    edges = tests.select(
+        "sid", "part", "own", "pos", "at", "here", "t.span", F.coalesce("t.a", "all").alias("a"),
+        F.coalesce("t.b", F.struct(*[F.lit(0.0).alias(c) for c in ("n", "y", "z")])).alias("b"),
+    )
+    held = edges.withColumns({"n": F.col("a.n") - F.col("here.n"), "n_before": F.col("here.n") - F.col("b.n")}).filter(F.least("n", "n_before") >= rules.stuck).join(fit, "sid")
+    error = F.col("sd") * F.sqrt((1 + F.col("phi")) / (1 - F.col("phi")) * (1 / F.col("n") + 1 / F.col("n_before")))
+    gap = F.abs((F.col("a.y") - F.col("here.y")) / F.col("n") - (F.col("here.y") - F.col("b.y")) / F.col("n_before"))
+    passing = held.select(
+        "sid", "part", "own", "pos", "at", "span", F.try_divide(gap, error).alias("score"), ((F.col("a.z") - F.col("here.z")) / F.col("n")).alias("mean"),
+        ((F.col("here.z") - F.col("b.z")) / F.col("n_before")).alias("mean_before"),
+    ).filter(F.col("score") > rules.shift)
+    rank = F.struct("score", -F.col("pos"), -F.col("span"))
+    beside = Window.partitionBy("sid", "part", "span").orderBy("pos").rangeBetween(1 - SPANS[0], SPANS[0] - 1)
+    local = passing.withColumn("top", F.max(rank).over(beside)).filter(F.col("top") == rank)  # few are left for the wide frames
+    near = {f"near{s}": F.max(rank).over(w.rangeBetween(1 - s, s - 1)) for s in SPANS}
+    highest = F.coalesce(*[F.when(F.col("span") == s, F.col(f"near{s}")) for s in SPANS])
+    peaks = local.withColumns(near).filter((highest == rank) & (F.col("own") == F.col("part")))
+    return peaks.select("sid", "pos", "at", "score", "mean", "mean_before")
+
+
+def _month_shifts(rows: DataFrame, fit: DataFrame, rules: SpikeRules) -> DataFrame:
+    """As `_window_shifts`, between adjacent time buckets that hold more readings than its longest window."""
+    soft = F.greatest(F.lit(-rules.clip), F.least(F.lit(rules.clip), F.col("z")))
+    used = rows.filter("used").groupBy("sid", "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("y").alias("y"), F.avg(soft).alias("mean"), F.min("pos").alias("pos"), F.min_by("at", "pos").alias("at")
+    )
+    w = Window.partitionBy("sid").orderBy("bucket")
+    steps = used.withColumns({f"{c}_before": F.lag(c).over(w) for c in ("n", "y", "mean")}).filter(F.least("n", "n_before") > SPANS[-1]).filter("n_before IS NOT NULL").join(fit, "sid")
+    error = F.col("sd") * F.sqrt((1 + F.col("phi")) / (1 - F.col("phi")) * (1 / F.col("n") + 1 / F.col("n_before")))
+    score = F.try_divide(F.abs(F.col("y") - F.col("y_before")), error)
+    return steps.select("sid", "pos", "at", score.alias("score"), "mean", "mean_before").filter(F.col("score") > rules.shift)
+
+
 def _autoregression(scored: DataFrame, rules: SpikeRules) -> tuple[DataFrame, DataFrame]:
     """(rows with their innovation, level shifts): repeated fit, outlier test and level-shift test.
 
-    A round is one scan that adds moments per source and time bucket; everything after it works on
-    that small table. Rows that the round before took for additive outliers are left out of the next.
+    Rows that the round before took for additive outliers are left out of the next, and the levels between
+    accepted shifts are subtracted from the readings and their predecessors. The innovation that is returned
+    is about the source's median, since the exact rule is.
     """
-    tested, shifts = scored.withColumn("spike", F.lit(False)), None
-    for _ in range(rules.rounds):
-        x, y = F.when(F.col("has_prev"), F.col("prev")), F.when(F.col("has_prev"), F.col("soft"))
-        moments = materialize(
-            tested.filter(~F.col("spike"))
-            .groupBy("sid", "bucket")
-            .agg(
-                F.count(F.lit(1)).alias("n"), F.sum("soft").alias("s"), F.coalesce(F.var_pop("soft"), F.lit(0.0)).alias("v"),
-                F.count(x).alias("m"), F.var_pop(x).alias("xx"), F.covar_pop(x, y).alias("xy"),
-            ),
-            "moments",
+    clipped = lambda x: F.greatest(F.lit(-rules.clip), F.least(F.lit(rules.clip), x))
+    chunk = F.floor(F.col("pos") / CHUNK)
+    rows = scored.withColumns({"used": F.lit(True), "level": F.lit(0.0), "level_before": F.lit(0.0)})
+    shifts = None
+    for k in range(rules.rounds):
+        rows = rows.withColumns({"y": clipped(F.col("z") - F.col("level")), "x": clipped(F.col("prev_z") - F.col("level_before"))})
+        x, y = F.when(F.col("prev_z").isNotNull(), F.col("x")), F.when(F.col("prev_z").isNotNull(), F.col("y"))
+        # about the means of short blocks, so that a level shift doesn't look like autocorrelation
+        moments = rows.filter("used").groupBy("sid", F.floor(F.col("pos") / (2 * rules.stuck)).alias("block")).agg(
+            F.count(F.lit(1)).alias("n"), F.var_pop("y").alias("v"), F.count(x).alias("m"), F.var_pop(x).alias("xx"), F.covar_pop(x, y).alias("xy")
         )
-        # about the means of the buckets, so that a level shift doesn't look like autocorrelation
         slope = F.coalesce(F.try_divide(F.sum(F.col("m") * F.col("xy")), F.sum(F.col("m") * F.col("xx"))), F.lit(0.0))
-        fit = moments.groupBy("sid").agg(
-            F.greatest(F.lit(-rules.phi_limit), F.least(F.lit(rules.phi_limit), slope)).alias("phi"),
-            F.sqrt(F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("sd"),
+        fit = materialize(
+            moments.groupBy("sid").agg(
+                F.greatest(F.lit(-rules.phi_limit), F.least(F.lit(rules.phi_limit), slope)).alias("phi"),
+                F.sqrt(F.try_divide(F.sum(F.col("n") * F.col("v")), F.sum(F.col("n") - 1))).alias("sd"),
+            ),
+            "fit",
+        )
+        new = _window_shifts(rows, fit, rules).unionByName(_month_shifts(rows, fit, rules))
+        shifts = new if shifts is None else shifts.unionByName(new.join(shifts.select("sid", "pos"), ["sid", "pos"], "left_anti"))
+        if k + 1 == rules.rounds:
+            break
+        shifts = materialize(shifts.groupBy("sid", "pos").agg(*[F.max_by(c, "score").alias(c) for c in ("at", "mean", "mean_before")], F.max("score").alias("score")), "shifts")
+        innovation = F.col("z") - F.col("level") - F.coalesce("phi", F.lit(0.0)) * F.coalesce("x", F.lit(0.0))
+        opened = materialize(
+            rows.join(fit.select("sid", "phi"), "sid", "left")
+            .withColumn("used", F.abs(innovation) <= rules.innovation)
+            .join(shifts.select("sid", "pos", F.lit(1).cast("bigint").alias("opens")), ["sid", "pos"], "left")
+            .select(*scored.columns, "used", F.coalesce("opens", F.lit(0)).cast("bigint").alias("opens"), chunk.alias("chunk")),
+            "opened",
         )
-        in_time = Window.partitionBy("sid").orderBy("bucket")
-        mean = F.col("s") / F.col("n")
-        steps = moments.withColumns(
-            {"mean": mean, "mean_before": F.lag(mean).over(in_time), "n_before": F.lag("n").over(in_time)}
-        ).join(fit, "sid")
-        error = F.col("sd") * F.sqrt((1 + F.col("phi")) / (1 - F.col("phi")) * (1 / F.col("n") + 1 / F.col("n_before")))
-        score = F.try_divide(F.abs(F.col("mean") - F.col("mean_before")), error)
-        enough = F.least("n", "n_before") >= rules.stuck
-        shifts = steps.withColumn("score", score).filter((F.col("score") > rules.shift) & enough)
-        tested = (
-            scored.join(fit.select("sid", "phi"), "sid", "left")
-            .withColumn("innovation", F.col("z") - F.coalesce("phi", F.lit(0.0)) * F.col("prev"))
-            .withColumn("spike", F.abs("innovation") > rules.innovation)
+        parted = running_total(opened, ["sid"], "chunk", ["pos"], "opens", "segment")
+        soft = clipped(F.col("z"))
+        means = parted.groupBy("sid", "segment").agg(F.coalesce(F.avg(F.when(F.col("used"), soft)), F.avg(soft)).alias("level"))
+        before = F.lag("level", 1, 0.0).over(Window.partitionBy("sid").orderBy("segment"))
+        levelled = parted.join(means.withColumn("earlier", before), ["sid", "segment"])
+        rows = materialize(
+            levelled.withColumn("level_before", F.when(F.col("opens") == 1, F.col("earlier")).otherwise(F.col("level"))).select(*scored.columns, "used", "level", "level_before"),
+            "levelled",
         )
-    return tested, shifts.select("sid", F.col("bucket").alias("since"), "score", "mean", "mean_before")
+    tested = (
+        scored.join(fit.select("sid", "phi"), "sid", "left")
+        .withColumn("innovation", F.col("z") - F.coalesce("phi", F.lit(0.0)) * F.coalesce(clipped(F.col("prev_z")), F.lit(0.0)))
+        .withColumn("spike", F.abs("innovation") > rules.innovation)
+    )
+    return tested, shifts.select("sid", F.col("at").alias("since"), "score", "mean", "mean_before")
 
 
 def implausible_readings(readings: DataFrame, rules: SpikeRules = SpikeRules()) -> tuple[DataFrame, DataFrame]:
@@ -172,9 +242,10 @@ def implausible_readings(readings: DataFrame, rules: SpikeRules = SpikeRules())
       * `stuck`: part of a run of `stuck` or more equal readings of one source and dataset_version.
     One reading may have several kinds. Null readings are no readings; NaN and infinite ones can only be
     `limit` or `stuck`. A source with MAD 0 flags every reading that differs from its median. The first
-    reading of a time bucket has no predecessor and is tested against the source's median. Ties in time
+    reading of a source has no predecessor and is tested against the source's median. Ties in time
     are ordered by subject and session, an empty input gives empty results, extra columns are ignored.
-    level shifts: SOURCE, since (start of the bucket), score, mean, mean_before, in robust sigmas.
+    level shifts: SOURCE, since (day of the first reading of the new level), score, mean, mean_before, in robust
+    sigmas. A source of fewer than 2 x `stuck` finite readings has no position that can be tested.
     """
     rows = readings.select(
         F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0001")) for c in SOURCE]).alias("sid"),
@@ -193,18 +264,12 @@ def implausible_readings(readings: DataFrame, rules: SpikeRules = SpikeRules())
     distance = F.col("reading") - F.col("center")
     sigma = F.col("mad") * MAD_TO_SIGMA
     z = F.when(F.col("mad") > 0, distance / sigma).when(distance == 0, F.lit(0.0)).otherwise(F.signum(distance) * 1e12)
-    w = Window.partitionBy("sid", "bucket").orderBy(*ORDER)
+    series = materialize(
+        base.filter(finite(F.col("reading"))).select("sid", "bucket", *ORDER).join(stats, "sid").withColumns({"z": z, "one": F.lit(1).cast("bigint")}), "standardised"
+    )
+    numbered = running_total(previous_in_group(series, ["sid"], "bucket", ORDER, ["z"]), ["sid"], "bucket", ORDER, "one", "pos")
     scored = materialize(
-        base.filter(finite(F.col("reading")))
-        .select("sid", "bucket", *ORDER)
-        .join(stats, "sid")
-        .withColumn("z", z)
-        .withColumn("soft", F.greatest(F.lit(-rules.clip), F.least(F.lit(rules.clip), F.col("z"))))
-        .withColumn("lagged", F.lag("soft").over(w))
-        .select(
-            "sid", "bucket", *SESSION, "reading", "center", "mad", "z", "soft",
-            F.coalesce("lagged", F.lit(0.0)).alias("prev"), F.col("lagged").isNotNull().alias("has_prev"),
-        ),
+        numbered.select("sid", "bucket", *SESSION, "reading", "center", "mad", "z", "prev_z", "pos", F.coalesce(F.to_date("acquired_at"), F.col("bucket")).alias("at")),
         "series",
     )
     tested, shifts = _autoregression(scored, rules)

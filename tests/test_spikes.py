@@ -82,3 +82,28 @@ def test_empty(spark):
 def test_threshold_may_not_lose_cases():
     with pytest.raises(ValueError):
         spikes.SpikeRules(innovation=7.0)
+
+
+def sparse(values, days):
+    """One reading every `days` days, so that no month holds five of them."""
+    t = datetime(2020, 1, 28)
+    return [(*r[:4], t + timedelta(days=i * days), *r[5:]) for i, r in enumerate(rows_of(values))]
+
+
+def test_level_shift_between_thin_months_and_inside_one(spark):
+    step = lambda n: [100.0 + (i * 7) % 5 for i in range(n)] + [106.0 + (i * 7) % 5 for i in range(n)]
+    up_and_down = [100.0 + (i * 7) % 5 + [0, 8, 4][i // 40] for i in range(120)]
+    # in site T all but eight readings lie in February
+    _, shifts = found(spark, sparse(step(40), 10) + [("T", *r[1:]) for r in sparse(step(28), 0.5)] + [("U", *r[1:]) for r in sparse(up_and_down, 10)])
+    day = lambda n: (datetime(2020, 1, 28) + timedelta(days=n)).date()
+    assert sorted((r.site, r.since) for r in shifts) == [("S", day(400)), ("T", day(14)), ("U", day(400)), ("U", day(800))]
+
+
+def test_predecessor_is_taken_across_months(spark):
+    values = [100.0 + (i * 7) % 13 for i in range(60)]
+    values[40] = 500.0
+    rows = sparse(values, 31)  # one reading a month
+    readings = spikes.readings_of(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(VOCABULARY, REGIONS))
+    flag = [r for r in spikes.implausible_readings(readings)[0].collect() if r.kind == "spike"]
+    med, mad = 106.0, 3.0
+    assert len(flag) == 1 and abs(flag[0].score - (500 - med) / (1.4826 * mad)) > 1e-6

@@ -37,18 +37,30 @@ def adapter_of(spark: SparkSession, config: RunConfig, subject: str | None = Non
     return build_adapter(spark, config.dataset.adapter, config.dataset.root, subject, config.dataset.phenotype)
 
 
+def unmatched_files(listed: DataFrame, owned: DataFrame, whole: bool) -> DataFrame:
+    """(source_file, failure_code, line_number) of files that the join of discovery and reading would lose.
+
+    `UNCLAIMED_FILE` belongs to no discovered session (in a run over one subject, other subjects' files do not count),
+    `NOT_READ` was discovered but is not among the files that were read.
+    """
+    names = lambda a, b: a.select("source_file").join(b.select("source_file"), "source_file", "left_anti")
+    code = lambda df, c: df.select("source_file", F.lit(c).alias("failure_code"), F.lit(0).cast("bigint").alias("line_number"))
+    missing = code(names(owned, listed), "NOT_READ")
+    return missing.unionByName(code(names(listed, owned), "UNCLAIMED_FILE")) if whole else missing
+
+
 def ingest(spark: SparkSession, config: RunConfig, region_set: DataFrame, outdir: str, subject: str | None = None) -> DataFrame:
     """observations, parse_failures, discovered, roster and counters from the files of a dataset."""
     adapter = adapter_of(spark, config, subject)
     discovered = save(adapter.discover(), outdir, "discovered")
     save(adapter.roster(), outdir, "roster")
-    path = F.regexp_replace("source_file", "^file:/*", "/")
-    raw = stats_files.list_files(spark, config.dataset.root).withColumn("source_file", path).withColumn("file_id", F.xxhash64("source_file"))
+    listed = stats_files.list_files(spark, config.dataset.root).withColumn("file_id", F.xxhash64("source_file"))
     owned = discovered.select(*ID, F.explode("files").alias("source_file"))
-    raw = save(raw.join(owned, "source_file"), outdir, "raw_files")
+    lost = unmatched_files(listed, owned, whole=subject is None)
+    raw = save(listed.join(owned, "source_file"), outdir, "raw_files")
     lines = rejects.read_permissively(raw)
     failures = stats_files.file_verdicts(lines).join(raw.select("file_id", "source_file"), "file_id").select("source_file", "failure_code", "line_number")
-    failures = save(failures, outdir, "parse_failures")
+    failures = save(failures.unionByName(lost), outdir, "parse_failures")
     per_file = stats_files.session_globals(raw, lines).join(raw.select("file_id", *ID), "file_id")
     values = per_file.groupBy(*ID).agg(*[F.max(c).alias(c) for c in ("etiv", "surface_holes_lh", "surface_holes_rh", "freesurfer_version")])
     rows = stats_files.canonical_rows(raw, region_set).join(raw.select("file_id", *ID, "source_file_checksum"), "file_id")

@@ -24,10 +24,10 @@ CORE_TABLES = ("aseg.stats", "lh.aparc.stats", "rh.aparc.stats")
 
 
 def _listing(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a pattern; directories and files are metadata, so the driver lists them."""
+    """Full URIs that match a pattern, as the scans name them; directories and files are metadata, so the driver lists them."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(f.getPath().toUri().getPath() for f in (found or []))
+    return sorted(f.getPath().toString() for f in (found or []))
 
 
 class Adapter(ABC):

@@ -89,3 +89,21 @@ def test_stream_counters_equal_the_batch(spark, tiny, tmp_path):
     got = {(r.start, r.site, r.measure_type): (r.n, r.n_null) for r in spark.table("arrived").collect()}
     batch = counters.window_counts(spark.read.parquet(f"{tiny}/observations.parquet"))
     assert got == {(r.start, r.site, r.measure_type): (r.n, r.n_null) for r in batch.collect()} and len(got) > 3
+
+
+def test_discovered_and_read_files_have_one_name(spark, tmp_path):
+    from strataflux.sources import stats_files
+
+    for folder in ("derivatives/freesurfer/s1/v1/stats", "elsewhere"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "aseg.stats").write_text("x")
+    (tmp_path / "elsewhere" / "lh.aparc.stats").write_text("")
+    listed = stats_files.list_files(spark, str(tmp_path))
+    owned = build_adapter(spark, "nested", str(tmp_path)).discover().selectExpr("explode(files) AS source_file")
+    assert listed.join(owned, "source_file").count() == 1
+    gone = spark.createDataFrame([("s3a://bucket/s2/aseg.stats",)], "source_file string")
+    lost = pipeline.unmatched_files(listed, owned.unionByName(gone), whole=True)
+    assert sorted((r.source_file.rpartition("/")[2], r.failure_code) for r in lost.collect()) == [
+        ("aseg.stats", "NOT_READ"), ("aseg.stats", "UNCLAIMED_FILE"), ("lh.aparc.stats", "UNCLAIMED_FILE")
+    ]
+    assert not pipeline.unmatched_files(listed, owned, whole=False).count()

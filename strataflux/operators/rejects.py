@@ -57,6 +57,10 @@ def tagged_lines(raw: DataFrame) -> DataFrame:
     base = raw.select("file_id", "source_file", "content", lines.alias("lines"))
     declared = F.get(F.filter("lines", lambda x: x.rlike(HEADER)), F.lit(0))
     subcortical = F.coalesce(F.lower("source_file").rlike(r"aseg[^/]*$"), F.lit(False))
+    head = F.lower(F.substring(F.coalesce("content", F.lit("")), 1, 4000))
+    named = F.coalesce(F.lower(F.substring_index("source_file", "/", -1)).rlike("aparc|aseg"), F.lit(False))
+    cortical = head.contains("mris_anatomical_stats") | head.contains("aparc.annot")
+    subcortical = subcortical | (~named & ~cortical & (head.contains("mri_segstats") | head.contains("aseg.mgz")))
     default = F.array(*[F.lit(c) for c in DEFAULT_COLUMNS])
     read = base.withColumn("declared", declared).withColumn(
         "cols",

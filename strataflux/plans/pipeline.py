@@ -59,7 +59,7 @@ def ingest(spark: SparkSession, config: RunConfig, region_set: DataFrame, outdir
     lost = unmatched_files(listed, owned, whole=subject is None)
     raw = save(listed.join(owned, "source_file"), outdir, "raw_files")
     lines = rejects.read_permissively(raw)
-    failures = stats_files.file_verdicts(lines).join(raw.select("file_id", "source_file"), "file_id").select("source_file", "failure_code", "line_number")
+    failures = stats_files.all_verdicts(raw, lines).join(raw.select("file_id", "source_file"), "file_id").select("source_file", "failure_code", "line_number")
     failures = save(failures.unionByName(lost), outdir, "parse_failures")
     per_file = stats_files.session_globals(raw, lines).join(raw.select("file_id", *ID), "file_id")
     values = per_file.groupBy(*ID).agg(*[F.max(c).alias(c) for c in ("etiv", "surface_holes_lh", "surface_holes_rh", "freesurfer_version")])

@@ -311,7 +311,8 @@ def file_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parse_failures(spark: SparkSession, folder: str) -> DataFrame:
-    return stats_files.file_verdicts(rejects.read_permissively(table(spark, folder, "raw_stats")))
+    raw = table(spark, folder, "raw_stats")
+    return stats_files.all_verdicts(raw, rejects.read_permissively(raw))
 
 
 def parsed_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -35,14 +35,31 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.stats") -> Data
     return found.unionByName(spark.createDataFrame(empty, found.schema)) if empty else found
 
 
-def table_type(source_file: Column) -> Column:
-    name = F.lower(F.substring_index(source_file, "/", -1))
-    return F.when(name.contains("aseg"), "aseg").when(name.contains("aparc"), "aparc")
+def _name(source_file: Column) -> Column:
+    return F.coalesce(F.lower(F.substring_index(source_file, "/", -1)), F.lit(""))
 
 
-def hemisphere(source_file: Column) -> Column:
-    side = F.regexp_extract(F.lower(F.substring_index(source_file, "/", -1)), r"^(lh|rh)\.", 1)
-    return F.when(side != "", side)
+def _head(content: Column) -> Column:
+    return F.lower(F.substring(F.coalesce(content, F.lit("")), 1, 4000))
+
+
+def table_type(source_file: Column, content: Column) -> Column:
+    """aparc or aseg by the file's name, else by the command that its header names, else null."""
+    name, head = _name(source_file), _head(content)
+    return (
+        F.when(name.contains("aparc"), "aparc").when(name.contains("aseg"), "aseg")
+        .when(head.contains("mris_anatomical_stats") | head.contains("aparc.annot"), "aparc")
+        .when(head.contains("mri_segstats") | head.contains("aseg.mgz"), "aseg")
+    )
+
+
+def hemisphere(source_file: Column, content: Column) -> Column:
+    """lh or rh by the prefix of the file's name, else by the header line `hemi`, else by the command, else null."""
+    sides = (
+        F.regexp_extract(_name(source_file), r"^(lh|rh)\.", 1), F.regexp_extract(_head(content), r"(?m)^#[ \t]*hemi[ \t]+(lh|rh)[ \t\r]*$", 1),
+        F.regexp_extract(_head(content), r"(?: |hemi )(lh|rh) ", 1),
+    )
+    return F.coalesce(*[F.when(s != "", s) for s in sides])
 
 
 def header_fields(raw: DataFrame) -> DataFrame:
@@ -67,6 +84,14 @@ def file_verdicts(lines: DataFrame) -> DataFrame:
     return first.select("file_id", "f.failure_code", F.col("f.line_number").cast("bigint").alias("line_number"))
 
 
+def all_verdicts(raw: DataFrame, lines: DataFrame) -> DataFrame:
+    """`file_verdicts`, and UNKNOWN_TABLE_TYPE for readable files of which neither name nor header tells the table, or the side of a cortical one."""
+    bad = file_verdicts(lines)
+    kind, side = table_type(F.col("source_file"), F.col("content")), hemisphere(F.col("source_file"), F.col("content"))
+    unknown = raw.filter(kind.isNull() | ((kind == "aparc") & side.isNull())).join(bad, "file_id", "left_anti")
+    return bad.unionByName(unknown.select("file_id", F.lit("UNKNOWN_TABLE_TYPE").alias("failure_code"), F.lit(0).cast("bigint").alias("line_number")))
+
+
 def session_globals(raw: DataFrame, lines: DataFrame) -> DataFrame:
     """(file_id, etiv, surface_holes_lh, surface_holes_rh, freesurfer_version) per file; an absent count is null, never 0."""
     measures = rejects.loaded_measures(lines)
@@ -88,8 +113,9 @@ def canonical_rows(raw: DataFrame, region_set: DataFrame) -> DataFrame:
     """
     lines = rejects.read_permissively(raw)
     cells = rejects.loaded_rows(lines).filter(F.col("column_name").isin("Volume_mm3", "ThickAvg"))
-    files = raw.select("file_id", "source_file", table_type(F.col("source_file")).alias("kind"), hemisphere(F.col("source_file")).alias("side"))
-    sound = files.join(file_verdicts(lines), "file_id", "left_anti")
+    kind, side = table_type(F.col("source_file"), F.col("content")), hemisphere(F.col("source_file"), F.col("content"))
+    files = raw.select("file_id", "source_file", kind.alias("kind"), side.alias("side"))
+    sound = files.join(all_verdicts(raw, lines), "file_id", "left_anti")
     typed = cells.join(sound, "file_id").filter(
         ((F.col("kind") == "aseg") & (F.col("column_name") == "Volume_mm3")) | ((F.col("kind") == "aparc") & (F.col("column_name") == "ThickAvg"))
     )

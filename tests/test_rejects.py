@@ -59,3 +59,20 @@ def test_any_text_gives_a_verdict(spark, texts):
     bad, lines = cases(spark, [HEAD + t for t in texts])
     assert all(c for _, _, c in bad)
     assert lines.filter("kind <> 'file' AND failure_code IS NULL AND size(fields) = 0").count() == 0
+
+
+def test_table_and_side_come_from_the_header_where_the_name_is_silent(spark):
+    from strataflux.sources import stats_files
+
+    rows = "# ColHeaders StructName ThickAvg\nentorhinal 2.5\n"
+    files = [
+        ("a", "/d/sub1_lh.aparc.stats", "# hemi lh\n" + rows), ("b", "/d/stats1.stats", "# cmdline mris_anatomical_stats -b sub1 rh white\n" + rows),
+        ("c", "/d/stats2.stats", "# cmdline mri_segstats --seg aseg.mgz\n1 17 100 4000.5 Left-Hippocampus 80 8 40 120 80\n"),
+        ("d", "/d/stats3.stats", rows), ("e", "/d/aparc.stats", rows), ("f", "/d/lh.aparc.stats", rows),
+    ]
+    raw = spark.createDataFrame(files, "file_id string, source_file string, content string")
+    regions = spark.read.parquet("/root/testdata/sf0.001/region_set.parquet")
+    got = {(r.file_id, r.region, r.value) for r in stats_files.canonical_rows(raw, regions).collect()}
+    assert got == {("a", "lh-entorhinal", 2.5), ("b", "rh-entorhinal", 2.5), ("c", "lh-hippocampus", 4000.5), ("f", "lh-entorhinal", 2.5)}
+    verdicts = stats_files.all_verdicts(raw, rejects.read_permissively(raw))
+    assert {(r.file_id, r.failure_code) for r in verdicts.collect()} == {("d", "UNKNOWN_TABLE_TYPE"), ("e", "UNKNOWN_TABLE_TYPE")}

@@ -103,6 +103,14 @@ def file_for(measure: Column, hemisphere: Column) -> Column:
     return F.when(measure == "volume", F.lit("aseg.stats")).otherwise(F.concat(hemisphere, F.lit(".aparc.stats")))
 
 
+def sound_files(discovered: DataFrame, failures: DataFrame) -> DataFrame:
+    """`discovered` with only those files that have no verdict, and `n_files`, the number of all."""
+    bad = failures.select(F.col("source_file").alias("file"), F.lit(True).alias("bad")).distinct()
+    files = discovered.select(*ID, F.explode("files").alias("file")).join(bad, "file", "left")
+    kept = files.groupBy(*ID).agg(F.collect_set(F.when(F.col("bad").isNull(), F.col("file"))).alias("sound"))
+    return discovered.withColumn("n_files", F.size("files")).join(kept, ID, "left").withColumn("files", F.coalesce("sound", F.array().cast("array<string>"))).drop("sound")
+
+
 def region_losses(observations: DataFrame, discovered: DataFrame, region_set: DataFrame) -> DataFrame:
     """(subject_id, session_id, region, cause) of every region of the vocabulary that a producing session lacks.
 
@@ -135,8 +143,10 @@ def discovery_losses(roster: DataFrame, discovered: DataFrame) -> DataFrame:
 
 
 def resolution_losses(discovered: DataFrame, observations: DataFrame) -> DataFrame:
-    """(subject_id, session_id, cause) of found sessions without observations."""
+    """(subject_id, session_id, cause) of found sessions without observations; all_files_rejected needs `n_files` of `sound_files`."""
     cause = F.when(F.size("files") == 0, "missing_derivative").otherwise("no_recognised_regions")
+    if "n_files" in discovered.columns:
+        cause = F.when((F.col("n_files") > 0) & (F.size("files") == 0), "all_files_rejected").otherwise(cause)
     return discovered.join(observations.select(*ID).distinct(), ID, "left_anti").select(*ID, cause.alias("cause"))
 
 
@@ -154,7 +164,8 @@ def model_exclusions(qc: DataFrame, fits: DataFrame, complete: Column) -> DataFr
 
 def boundary(position: int, name: str, unit: str, count: DataFrame, losses: DataFrame | None) -> DataFrame:
     """One funnel row: (position, boundary, unit, count, lost, causes, explained); `losses` has one row per lost unit, or a count `n`."""
-    n = count.agg(F.count(F.lit(1)).alias("count")).withColumn("k", F.lit(1))
+    units = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint") if "n" in count.columns else F.count(F.lit(1))
+    n = count.agg(units.alias("count")).withColumn("k", F.lit(1))
     if losses is None:
         caused = n.select("k", F.lit(0).cast("bigint").alias("lost"), F.lit("").alias("causes"))
     else:
@@ -165,32 +176,51 @@ def boundary(position: int, name: str, unit: str, count: DataFrame, losses: Data
     return n.join(caused, "k").select(F.lit(position).alias("position"), F.lit(name).alias("boundary"), F.lit(unit).alias("unit"), "count", "lost", "causes")
 
 
-def funnel(roster: DataFrame, discovered: DataFrame, observations: DataFrame, qc: DataFrame, region_set: DataFrame) -> DataFrame:
-    """The loss funnel from expected sessions to observations that pass quality control.
+def funnel(
+    roster: DataFrame, discovered: DataFrame, observations: DataFrame, qc: DataFrame, region_set: DataFrame,
+    failures: DataFrame | None = None, modeled: DataFrame | None = None, exclusions: DataFrame | None = None,
+) -> DataFrame:
+    """The loss funnel from expected sessions to modeled observations.
 
+    Parsed files are a boundary where `failures` (source_file, failure_code) is given, and only files without a verdict
+    then make a region's source available; modeled observations are one where `modeled` (n, per fit) and
+    `exclusions` (cause, n) are given. They count all rows that the inclusion policy lets into the models.
     Sessions that were found but not expected, and observations outside the vocabulary, are none of its units.
     """
     expected = discovered.join(roster.select(*ID), ID, "left_semi")
     known = observations.join(region_set.select("region", "measure_type"), ["region", "measure_type"], "left_semi").join(expected.select(*ID), ID, "left_semi")
     judged = qc.join(region_set.select("region", "measure_type"), ["region", "measure_type"], "left_semi").join(expected.select(*ID), ID, "left_semi")
+    found, parsed = discovered, expected
+    if failures is not None:
+        found, parsed = sound_files(discovered, failures), sound_files(expected, failures)
     passing = F.coalesce(F.col("qc_status") == "PASS", F.lit(False))
     parts = [
         boundary(1, "expected sessions", "sessions", roster, None),
         boundary(2, "discovered sessions", "sessions", expected, discovery_losses(roster, discovered)),
-        boundary(3, "sessions with observations", "sessions", known.select(*ID).distinct(), resolution_losses(expected, known)),
-        boundary(4, "canonical observations", "observations", known, region_losses(known, discovered, region_set)),
+        boundary(3, "sessions with observations", "sessions", known.select(*ID).distinct(), resolution_losses(parsed, known)),
+        boundary(4, "canonical observations", "observations", known, region_losses(known, found, region_set)),
         boundary(5, "QC-passing observations", "observations", judged.filter(passing), judged.filter(~passing).select(F.lit("excluded_qc").alias("cause"))),
     ]
+    if failures is not None:
+        files = expected.select(F.explode("files").alias("source_file"))
+        rejects = failures.groupBy("source_file").agg(F.min("failure_code").alias("cause")).join(files, "source_file", "left_semi")
+        parts.append(boundary(6, "parsed files", "files", parsed.select(F.explode("files")), rejects.select("cause")))
+    if modeled is not None:
+        parts.append(boundary(7, "modeled observations", "observations", modeled, exclusions))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def reconcile(funnel_rows: DataFrame, regions: int) -> list[str]:
-    """Messages for every boundary where the count before, less the counted losses, isn't the count after."""
+def reconcile(funnel_rows: DataFrame, regions: int, files: int | None = None, included: int | None = None) -> list[str]:
+    """Messages for every boundary where the count before, less the counted losses, isn't the count after.
+
+    `files` and `included` are the units before the boundaries of parsed files and of modeled observations.
+    """
     rows = {r.position: r for r in funnel_rows.collect()}
     wanted = {2: rows[1]["count"], 3: rows[2]["count"], 4: rows[3]["count"] * regions, 5: rows[4]["count"]}
+    wanted |= {i: n for i, n in ((6, files), (7, included)) if i in rows and n is not None}
     return [
         f"{rows[i].boundary}: {before} before, {rows[i].lost} lost, {rows[i]['count']} after"
         for i, before in wanted.items()

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflux.session import materialize
@@ -41,6 +41,15 @@ def model_rows(observations: DataFrame) -> DataFrame:
     ).dropna()
 
 
+def is_complete() -> Column:
+    """True for rows that `model_rows` keeps."""
+    numbers = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in ("value", "time_from_baseline_years", "age_baseline", "etiv_baseline")]
+    known = F.col("dx_baseline").isin("patient", "control") & F.col("sex").isin("M", "F")
+    for n in numbers:
+        known = known & n
+    return F.coalesce(known, F.lit(False)) & F.col("region").isNotNull() & F.col("measure_type").isNotNull() & F.col("subject_id").isNotNull()
+
+
 def subject_sums(rows: DataFrame) -> DataFrame:
     """Six sums per region, subject and covariate values; values are centred per region.
 

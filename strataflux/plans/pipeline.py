@@ -16,7 +16,7 @@ from strataflux import __version__, schema
 from strataflux.config import RunConfig
 from strataflux.operators import confound, harmonize, ledger, mixed, quality, rejects
 from strataflux.sources import stats_files
-from strataflux.sources.adapters import Adapter, build_adapter
+from strataflux.sources.adapters import Adapter, build_adapter, listing
 
 ID = ["subject_id", "session_id"]
 
@@ -127,8 +127,17 @@ def run_accounting(spark: SparkSession, config: RunConfig, region_set: DataFrame
     roster = load(spark, outdir, "roster")
     if roster.isEmpty():
         roster = discovered.select(*ID, F.lit(None).cast("string").alias("missing_cause"), F.lit(None).cast("string").alias("site"))
-    rows = save(ledger.funnel(roster, discovered, qc, qc, region_set), outdir, "accounting_funnel")
-    return ledger.reconcile(rows, region_set.count())
+    failures = load(spark, outdir, "parse_failures")
+    files = discovered.join(roster.select(*ID), ID, "left_semi").select(F.explode("files").alias("file")).distinct().count()
+    modeled = exclusions = included = None
+    if listing(spark, f"{outdir}/model_results.parquet"):
+        fits = load(spark, outdir, "model_results")
+        modeled = fits.filter("estimable").groupBy("region", "measure_type").agg(F.max("n_observations").alias("n"))
+        taken = load(spark, outdir, "harmonized_observations")
+        exclusions = ledger.model_exclusions(taken, fits, mixed.is_complete())
+        included = taken.filter(F.coalesce("analysis_included", F.lit(False))).count()
+    rows = save(ledger.funnel(roster, discovered, qc, qc, region_set, failures, modeled, exclusions), outdir, "accounting_funnel")
+    return ledger.reconcile(rows, region_set.count(), files, included)
 
 
 def _git(*args: str) -> str | None:

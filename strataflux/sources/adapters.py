@@ -23,7 +23,7 @@ DX_CODES = {"1": "patient", "2": "control"}
 CORE_TABLES = ("aseg.stats", "lh.aparc.stats", "rh.aparc.stats")
 
 
-def _listing(spark: SparkSession, pattern: str) -> list[str]:
+def listing(spark: SparkSession, pattern: str) -> list[str]:
     """Full URIs that match a pattern, as the scans name them; directories and files are metadata, so the driver lists them."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
@@ -52,7 +52,7 @@ class Adapter(ABC):
     def discover(self) -> DataFrame:
         """(subject_id, session_id, files array<string>); sessions without files have an empty array."""
         rows = [
-            (s, v, [f for f in _listing(self.spark, f"{folder}/*") if self.accepts(f.rpartition("/")[2])])
+            (s, v, [f for f in listing(self.spark, f"{folder}/*") if self.accepts(f.rpartition("/")[2])])
             for s, v, folder in self.sessions()
             if self.subject in (None, s)
         ]
@@ -63,11 +63,11 @@ class NestedAdapter(Adapter):
     """<root>/derivatives/freesurfer/<subject>/<session>/stats, with subjects.parquet and sessions.parquet beside, if there are any."""
 
     def sessions(self) -> list[tuple[str, str, str]]:
-        found = _listing(self.spark, f"{self.root}/derivatives/freesurfer/*/*/stats")
+        found = listing(self.spark, f"{self.root}/derivatives/freesurfer/*/*/stats")
         return [(p.split("/")[-3], p.split("/")[-2], p) for p in found]
 
     def _truth(self, name: str, schema: str) -> DataFrame:
-        present = _listing(self.spark, f"{self.root}/{name}.parquet")
+        present = listing(self.spark, f"{self.root}/{name}.parquet")
         return self.spark.read.parquet(f"{self.root}/{name}.parquet") if present else self.spark.createDataFrame([], schema)
 
     def metadata(self, sessions: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ class FlatAdapter(Adapter):
         self.phenotype_path = phenotype
 
     def sessions(self) -> list[tuple[str, str, str]]:
-        return [(p.split("/")[-2], "1", p) for p in _listing(self.spark, f"{self.root}/*/stats")]
+        return [(p.split("/")[-2], "1", p) for p in listing(self.spark, f"{self.root}/*/stats")]
 
     def accepts(self, name: str) -> bool:
         return name in CORE_TABLES
@@ -109,7 +109,7 @@ class FlatAdapter(Adapter):
     def phenotype(self) -> DataFrame:
         """(subject_number, site, age, sex, dx); empty without a usable table. Column names match in any letter case."""
         schema = "subject_number bigint, site string, age double, sex string, dx string"
-        if not self.phenotype_path or not _listing(self.spark, self.phenotype_path):
+        if not self.phenotype_path or not listing(self.spark, self.phenotype_path):
             return self.spark.createDataFrame([], schema)
         raw = self.spark.read.csv(self.phenotype_path, header=True)
         names = {c.strip().lower(): c for c in raw.columns}

@@ -133,3 +133,22 @@ def test_core_does_not_need_the_llm_package():
     for path in root.rglob("*.py"):
         if "llm" not in path.relative_to(root).parts:
             assert "strataflux.llm" not in path.read_text(), path
+
+
+def test_funnel_has_files_and_models(spark):
+    files = lambda s: [f"file:/d/{s}/{n}" for n in ("aseg.stats", "lh.aparc.stats")]
+    discovered = spark.createDataFrame([("p", s, files(s)) for s in "abc"], "subject_id string, session_id string, files array<string>")
+    roster = discovered.select("subject_id", "session_id").withColumn("missing_cause", F.lit(None).cast("string"))
+    failures = spark.createDataFrame([(files("a")[0], "EMPTY_FILE"), *[(f, "NO_DATA_ROWS") for f in files("b")]], "source_file string, failure_code string")
+    regions = spark.createDataFrame([("lh-x", "lh", "thickness"), ("lh-y", "lh", "volume")], "region string, hemisphere string, measure_type string")
+    # session c has files without a verdict but no region of the vocabulary
+    qc = spark.createDataFrame([("p", "a", "lh-x", "thickness", "PASS", True)], "subject_id string, session_id string, region string, measure_type string, qc_status string, analysis_included boolean")
+    fits = spark.createDataFrame([("lh-x", "thickness", False)], "region string, measure_type string, estimable boolean")
+    modeled = spark.createDataFrame([], "n bigint")
+    out = ledger.funnel(roster, discovered, qc, qc, regions, failures, modeled, ledger.model_exclusions(qc, fits, F.lit(True)))
+    rows = {r.boundary: (r["count"], r.lost, r.causes) for r in out.collect()}
+    assert rows["parsed files"] == (3, 3, "EMPTY_FILE=1; NO_DATA_ROWS=2")
+    assert rows["sessions with observations"] == (1, 2, "all_files_rejected=1; no_recognised_regions=1")
+    assert rows["canonical observations"] == (1, 1, "source_unavailable=1")
+    assert rows["modeled observations"] == (0, 1, "design_not_identifiable=1")
+    assert ledger.reconcile(out, 2, files=6, included=1) == [] and len(ledger.reconcile(out, 2, files=7, included=2)) == 2

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from strataflux.config import RunConfig
 from strataflux.operators import confound
 
-#: rows of one summary that a report shows at most; all of them are aggregates over sites, regions or codes
-SUMMARY_ROWS = 2_000
+#: rows of one summary that the driver takes; more of them raise an error, since none is left out. All are aggregates over sites, regions or codes
+SUMMARY_ROWS = 200_000
 WIDTH, BAR = 520, 18
 COLORS = ("#2f6f9f", "#d08a2e", "#a63d40", "#6b8e4e", "#7a5c99")
 
 
 def _rows(df: DataFrame) -> list[dict]:
-    return [r.asDict() for r in df.limit(SUMMARY_ROWS).collect()]
+    rows = df.limit(SUMMARY_ROWS + 1).collect()
+    if len(rows) > SUMMARY_ROWS:
+        raise ValueError(f"a summary of the report has more than {SUMMARY_ROWS} rows ({', '.join(df.columns)})")
+    return [r.asDict() for r in rows]
 
 
 def collect_summaries(spark: SparkSession, config: RunConfig, outdir: str) -> dict[str, list[dict]]:

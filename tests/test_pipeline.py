@@ -107,3 +107,13 @@ def test_discovered_and_read_files_have_one_name(spark, tmp_path):
         ("aseg.stats", "NOT_READ"), ("aseg.stats", "UNCLAIMED_FILE"), ("lh.aparc.stats", "UNCLAIMED_FILE")
     ]
     assert not pipeline.unmatched_files(listed, owned, whole=False).count()
+
+
+def test_report_leaves_no_row_out(spark, monkeypatch):
+    from strataflux.plans import report
+
+    assert len(report._rows(spark.range(2_500))) == 2_500
+    monkeypatch.setattr(report, "SUMMARY_ROWS", 10)
+    assert len(report._rows(spark.range(10))) == 10
+    with pytest.raises(ValueError, match="more than 10 rows"):
+        report._rows(spark.range(11))

@@ -261,7 +261,8 @@ def arms_compare(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bh_fdr(spark: SparkSession, folder: str) -> DataFrame:
-    """Adjusted p values of one family: is the mean volume or thickness of a site that of the region."""
+    """The Benjamini-Hochberg step over one family per region. `p_value` is a score 1 / (1 + z * z) of how far a site's mean
+    lies from the region's, not a tail probability, so `q_value` is no false discovery rate."""
     rows = _modeled(spark, folder).filter("value IS NOT NULL AND site IS NOT NULL")
     per = rows.groupBy("region", "site").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"))
     whole = rows.groupBy("region").agg(F.avg("value").alias("gm"), F.stddev_pop("value").alias("sd"))

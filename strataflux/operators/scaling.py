@@ -1,6 +1,6 @@
 """Order-dependent building blocks that never put one whole group into one task.
 
-* `grouped_quantiles`: exact percentiles per group from a mergeable sketch and one counting pass.
+* `grouped_quantiles`, `median_and_mad`: exact percentiles per group from a mergeable sketch and counting passes.
 * `previous_in_group`: lag over a group that is cut into order-preserving buckets.
 * `running_total`: prefix sum over a group that is cut into order-preserving buckets.
 """
@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflux.session import materialize
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on `keys` where null equals null; the right side's key columns are dropped."""
@@ -23,71 +25,123 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def grouped_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: dict[str, float],
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """One row per group: the keys, `n` and an exact, linearly interpolated percentile per entry of `probs`.
+#: groups of fewer values are ranked whole; brackets of others are cut into so many bins
+SMALL_GROUP = 2_000
+BINS = 256
+
+
+def _sketch(rows: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """(keys, n, low, high, q): one approximate percentile per entry of `probs`, from a mergeable sketch of bounded size."""
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"),
+        F.percentile_approx("__v", [float(p) for p in probs], F.lit(accuracy)).alias("__q"),
+    )
+
 
-    Pass 1 brackets every wanted rank by two values of a bounded, mergeable sketch whose rank error
-    is at most n / accuracy. Pass 2 counts rows: those outside all brackets fold into one row per side,
-    those inside are counted per value, so a hot group leaves about 4 / accuracy of its values for
-    the ranking. Null and NaN values are left out; groups without values don't appear.
-    A bracket that misses its rank (impossible while the sketch keeps its bound) raises an error.
+def _bin(low: Column, high: Column, v: Column) -> Column:
+    """The bin of a value inside its bracket; a bracket without finite width has one bin."""
+    width = high - low
+    return F.when((width > 0) & (width < float("inf")), F.floor((v - low) / width * BINS)).otherwise(F.lit(0)).cast("int")
+
+
+def _ranked(rows: DataFrame, keys: list[str], brackets: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(keys, n, r): the exact interpolated percentiles of `__v`, of which brackets[i] holds the two values around rank i.
+
+    `brackets` has keys, n and b, an array of struct<low, high>. The first pass counts bins of each bracket, which
+    are BINS at most, and whatever lies below it; the second counts the values of the one or two bins that hold the
+    rank. So a group of any size leaves a bounded number of rows to be ranked.
     """
-    keys = list(keys)
-    rows = df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    names = list(probs)
-    margin = 2.0 / accuracy
-    wanted: list[float] = []
-    for name in names:
-        wanted += [max(0.0, probs[name] - margin), min(1.0, probs[name] + margin)]
-    bounds = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("__v", [float(x) for x in wanted], F.lit(accuracy)).alias("__b"),
+    place = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    joined = null_safe_join(rows, brackets, keys, "inner")
+    v, spots = F.col("__v"), range(len(probs))
+
+    def cell(i: int, code: Column) -> Column:
+        return F.struct(F.lit(i).alias("i"), code.alias("x"))
+
+    def bracket(i: int) -> tuple[Column, Column, Column]:
+        low, high = F.col("__b")[i]["low"], F.col("__b")[i]["high"]
+        return low, high, _bin(low, high, v)
+
+    def counted(i: int) -> Column:
+        low, high, code = bracket(i)
+        return F.when(v < low, cell(i, F.lit(-1))).when(v <= high, cell(i, code))
+
+    rank = lambda i: F.get(F.array(*place), i)
+    bins = joined.select(*keys, "n", F.explode(F.array_compact(F.array(*[counted(i) for i in spots]))).alias("__c")).groupBy(*keys, "n", "__c").agg(F.count(F.lit(1)).alias("__k"))
+    order = Window.partitionBy(*keys, "__c.i").orderBy("__c.x").rowsBetween(Window.unboundedPreceding, 0)
+    upto = bins.withColumn("__upto", F.sum("__k").over(order)).withColumn("__before", F.col("__upto") - F.col("__k"))
+    holds = lambda r: (F.col("__before") <= r) & (r < F.col("__upto"))
+    chosen = upto.filter((F.col("__c.x") >= 0) & (holds(F.floor(rank(F.col("__c.i")))) | holds(F.ceil(rank(F.col("__c.i"))))))
+    picked = chosen.groupBy(*keys).agg(
+        F.collect_list(F.struct(F.col("__c.i").alias("i"), F.col("__c.x").alias("x"), F.col("__before").alias("before"))).alias("__bins")
     )
-    marked = null_safe_join(rows, bounds, keys, "inner")
-    zone: Column = F.lit(0)
-    inside: Column = F.lit(False)
-    for i in range(len(names)):
-        low, high = F.col("__b")[2 * i], F.col("__b")[2 * i + 1]
-        zone = zone + F.when(F.col("__v") < low, 0).when(F.col("__v") > high, 2).otherwise(1)
-        inside = inside | F.col("__v").between(low, high)
-    folded = (
-        marked.select(*keys, "n", zone.alias("__z"), F.when(inside, F.col("__v")).alias("__x"), "__v")
-        .groupBy(*keys, "n", "__z", "__x")
-        .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__first"), F.max("__v").alias("__last"))
-    )
-    order = Window.partitionBy(*keys).orderBy("__z", "__x")
-    ranked = folded.withColumn("__to", F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "__from", F.col("__to") - F.col("__c")
-    )
-
-    def at(rank: Column) -> Column:
-        # the ends of a folded side are known too: rounding may place a rank one beside the bracket
-        return F.max(
-            F.when(rank == F.col("__from"), F.col("__first"))
-            .when(rank == F.col("__to") - 1, F.col("__last"))
-            .when((F.col("__from") < rank) & (rank < F.col("__to")), F.col("__x"))
-        )
-
-    aggs = []
-    for name in names:
-        place = (F.col("n") - 1) * F.lit(float(probs[name]))
-        aggs += [at(F.floor(place)).alias(f"__lo_{name}"), at(F.ceil(place)).alias(f"__hi_{name}")]
-    picked = ranked.groupBy(*keys, "n").agg(*aggs)
+    edges = null_safe_join(brackets, picked, keys)
+    own = lambda i: F.filter("__bins", lambda b: b["i"] == i)
+    limits = edges.select(
+        *keys, "n", "__b",
+        F.array(*[F.struct(F.array_min(F.transform(own(i), lambda b: b["x"])).alias("first"), F.array_max(F.transform(own(i), lambda b: b["x"])).alias("last"),
+                           F.array_min(F.transform(own(i), lambda b: b["before"])).alias("before")) for i in spots]).alias("__t"),
+    )
+
+    def kept(i: int) -> Column:
+        low, high, code = bracket(i)
+        return F.when(v.between(low, high) & code.between(F.col("__t")[i]["first"], F.col("__t")[i]["last"]), F.struct(F.lit(i).alias("i"), F.col("__t")[i]["before"].alias("before"), v.alias("v")))
+
+    near = null_safe_join(rows, limits, keys, "inner").select(*keys, "n", F.explode(F.array_compact(F.array(*[kept(i) for i in spots]))).alias("__c"))
+    values = near.groupBy(*keys, "n", "__c").agg(F.count(F.lit(1)).alias("__k"))
+    along = Window.partitionBy(*keys, "__c.i").orderBy("__c.v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.withColumn("__upto", F.col("__c.before") + F.sum("__k").over(along)).withColumn("__before", F.col("__upto") - F.col("__k"))
+    at = lambda i, r: F.max(F.when((F.col("__c.i") == i) & (F.col("__before") <= r) & (r < F.col("__upto")), F.col("__c.v")))
+    ends = ranked.groupBy(*keys, "n").agg(*[at(i, f(place[i])).alias(f"__{name}{i}") for i in spots for name, f in (("lo", F.floor), ("hi", F.ceil))])
+    missed = F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")
     out = []
-    for name in names:
-        place = (F.col("n") - 1) * F.lit(float(probs[name]))
-        share = place - F.floor(place)
-        low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        missed = F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")
-        exact = F.when(low == high, low).otherwise(low + (high - low) * share)
-        out.append(F.when(low.isNull() | high.isNull(), missed).otherwise(exact).alias(name))
-    return picked.select(*keys, "n", *out)
+    for i in spots:
+        low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        exact = F.when(low == high, low).otherwise(low + (high - low) * (place[i] - F.floor(place[i])))
+        out.append(F.when(low.isNull() | high.isNull(), missed).otherwise(exact))
+    return ends.select(*keys, "n", F.array(*out).alias("r"))
+
+
+def _valued(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return df.select(*keys, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+
+
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], accuracy: int = 10_000) -> DataFrame:
+    """One row per group: the keys, `n` and an exact, linearly interpolated percentile per entry of `probs`.
+
+    A sketch brackets every wanted rank by two values, with ten times its rank error to spare; two counting passes
+    over the brackets find the values. `df` is read three times: pass a stored table where it is costly. Null and NaN
+    values are left out; groups without values don't appear. A bracket that misses its rank (impossible while
+    the sketch keeps its bound) raises an error.
+    """
+    keys, names = list(keys), list(probs)
+    rows, margin = _valued(df, keys, value), 20.0 / accuracy
+    wanted = [min(1.0, max(0.0, probs[n] + side * margin)) for n in names for side in (-1, 1)]
+    small = F.col("n") < SMALL_GROUP
+    b = [F.struct(F.when(small, F.col("__low")).otherwise(F.col("__q")[2 * i]).alias("low"), F.when(small, F.col("__high")).otherwise(F.col("__q")[2 * i + 1]).alias("high")) for i in range(len(names))]
+    brackets = _sketch(rows, keys, wanted, accuracy).select(*keys, "n", F.array(*b).alias("__b"))
+    found = _ranked(rows, keys, brackets, [probs[n] for n in names])
+    return found.select(*keys, "n", *[F.col("r")[i].alias(n) for i, n in enumerate(names)])
+
+
+def median_and_mad(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = 10_000) -> DataFrame:
+    """(keys, n, center, mad): exact median, and exact median of the distances from it, per group.
+
+    One sketch brackets both: distances of its grid of percentiles from the median tell where the median distance
+    lies. The small tables between the passes, of which there are five over `df`, are stored.
+    """
+    keys, grid = list(keys), accuracy // 10
+    rows, half, small = _valued(df, keys, value), accuracy // 20, F.col("n") < SMALL_GROUP
+    sketch = materialize(_sketch(rows, keys, [k / grid for k in range(grid + 1)], accuracy), "sketch")
+    pair = lambda low, high, whole_low, whole_high: F.array(F.struct(F.when(small, whole_low).otherwise(low).alias("low"), F.when(small, whole_high).otherwise(high).alias("high")))
+    first = sketch.select(*keys, "n", pair(F.col("__q")[half - 3], F.col("__q")[half + 3], F.col("__low"), F.col("__high")).alias("__b"))
+    centers = materialize(null_safe_join(sketch, _ranked(rows, keys, first, [0.5]).select(*keys, F.col("r")[0].alias("center")), keys, "inner"), "centers")
+    off = F.array_sort(F.transform("__q", lambda x: F.abs(x - F.col("center"))))
+    widest = F.greatest(F.col("__high") - F.col("center"), F.col("center") - F.col("__low"))
+    second = centers.select(*keys, "n", pair(off[half - 8], off[half + 8], F.lit(0.0), widest).alias("__b"))
+    away = null_safe_join(rows, centers.select(*keys, "center"), keys, "inner").select(*keys, F.abs(F.col("__v") - F.col("center")).alias("__v"))
+    spread = _ranked(away.filter(~F.isnan("__v")), keys, second, [0.5]).select(*keys, F.col("r")[0].alias("mad"))
+    return materialize(null_safe_join(centers.select(*keys, "n", "center"), spread, keys), "spread")
 
 
 def previous_in_group(

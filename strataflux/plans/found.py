@@ -12,11 +12,18 @@ PROFILED_NUMERIC = ("surface_holes_lh", "field_strength_tesla")
 PROFILED_TEXT = ("freesurfer_version", "sex")
 
 
-def p1_flags(spark: SparkSession, folder: str) -> DataFrame:
+def p1_tests(spark: SparkSession, folder: str) -> DataFrame:
+    """Every flag of the tests with its score, whether or not the exact rule confirms it."""
     readings = spikes.readings_of(table(spark, folder, "observations"), table(spark, folder, "region_set"))
     return spikes.implausible_readings(readings)[0]
 
 
+def p1_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Limits, stuck runs, and as `apart` those spikes and shifted readings that the exact rule confirms."""
+    kind = F.when(F.col("kind").isin("spike", "shift"), "apart").otherwise(F.col("kind"))
+    return p1_tests(spark, folder).filter("beyond").select(*spikes.SOURCE, *spikes.SESSION, kind.alias("kind")).distinct()
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return p1_flags(spark, folder).select("field", "subject_id", "session_id", "region").distinct()
 
@@ -112,7 +119,7 @@ def p6_report(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_flags, p1_level_shifts, p2_found, p2_wide_table, p3_found, p3_fused_schema, p3_consistent_table, p4_found,
+        p1_found, p1_flags, p1_tests, p1_level_shifts, p2_found, p2_wide_table, p3_found, p3_fused_schema, p3_consistent_table, p4_found,
         p4_loaded_rows, p4_loaded_measures, p5_found, p5_profile, p5_expressions, p5_coverage, p6_found, p6_report,
     )
 }

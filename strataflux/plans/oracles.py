@@ -19,8 +19,8 @@ obs AS (
 
 SQL: dict[str, str] = {}
 
-SQL["p1_found"] = f"""
-WITH {CANONICAL},
+READINGS = f"""
+{CANONICAL},
 r AS (
   SELECT 'value' AS field, site, region, measure_type, subject_id, session_id, dataset_version, value AS x, min(acquired_at) AS t
   FROM obs WHERE site IS NOT NULL AND value IS NOT NULL AND measure_type IN ('volume', 'thickness') GROUP BY ALL
@@ -37,16 +37,18 @@ lagged AS (SELECT *, CASE WHEN lag(x) OVER w = x THEN 0 ELSE 1 END AS starts FRO
            WINDOW w AS (PARTITION BY field, site, region, measure_type, dataset_version ORDER BY t, subject_id, session_id, x)),
 runs AS (SELECT *, sum(starts) OVER (PARTITION BY field, site, region, measure_type, dataset_version
                                      ORDER BY t, subject_id, session_id, x ROWS UNBOUNDED PRECEDING) AS run FROM lagged),
-stuck AS (SELECT * FROM runs QUALIFY count(*) OVER (PARTITION BY field, site, region, measure_type, dataset_version, run) >= 5)
-SELECT DISTINCT field, subject_id, session_id, region FROM (
-  SELECT field, subject_id, session_id, region FROM r
+stuck AS (SELECT * FROM runs QUALIFY count(*) OVER (PARTITION BY field, site, region, measure_type, dataset_version, run) >= 5),
+flags AS (
+  SELECT field, site, region, measure_type, subject_id, session_id, 'limit' AS kind FROM r
   WHERE NOT isfinite(x) OR (field <> 'surface_holes_lh' AND x <= 0) OR (field = 'surface_holes_lh' AND (x < 0 OR x <> floor(x)))
   UNION ALL
-  SELECT field, subject_id, session_id, region FROM r JOIN mad USING (field, site, region, measure_type)
+  SELECT field, site, region, measure_type, subject_id, session_id, 'apart' FROM r JOIN mad USING (field, site, region, measure_type)
   WHERE isfinite(x) AND abs(x - m) > 8 * 1.4826 * d
   UNION ALL
-  SELECT field, subject_id, session_id, region FROM stuck) t
+  SELECT field, site, region, measure_type, subject_id, session_id, 'stuck' FROM stuck)
 """
+SQL["p1_found"] = f"WITH {READINGS} SELECT DISTINCT field, subject_id, session_id, region FROM flags"
+SQL["p1_flags"] = f"WITH {READINGS} SELECT DISTINCT * FROM flags"
 
 SQL["p2_found"] = f"""
 WITH {CANONICAL}

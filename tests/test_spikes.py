@@ -23,7 +23,7 @@ def rows_of(values, site="S", region="lh-putamen", load="r1", etiv=None, holes=N
 def found(spark, rows):
     readings = spikes.readings_of(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(VOCABULARY, REGIONS))
     flags, shifts = spikes.implausible_readings(readings)
-    return {(r.field, r.subject_id, r.region, r.kind) for r in flags.collect()}, shifts.collect()
+    return {(r.field, r.subject_id, r.region, r.kind) for r in flags.filter("beyond").collect()}, shifts.collect()
 
 
 def test_limits_spikes_and_nulls(spark):
@@ -107,3 +107,19 @@ def test_predecessor_is_taken_across_months(spark):
     flag = [r for r in spikes.implausible_readings(readings)[0].collect() if r.kind == "spike"]
     med, mad = 106.0, 3.0
     assert len(flag) == 1 and abs(flag[0].score - (500 - med) / (1.4826 * mad)) > 1e-6
+
+
+def test_level_and_residual_decide_what_a_reading_is(spark):
+    base = [100.0 + (i * 7) % 13 for i in range(200)]
+    values = [x + (140 if i >= 140 else 0) for i, x in enumerate(base)]
+    values[170] = 106.0  # the source's median, within a level that lies far from it
+    values[60] = 240.0  # the shifted level's value, alone
+    readings = spikes.readings_of(spark.createDataFrame(rows_of(values), SCHEMA), spark.createDataFrame(VOCABULARY, REGIONS))
+    flags, shifts = spikes.implausible_readings(readings)
+    got = {(r.subject_id, r.kind): r.beyond for r in flags.collect()}
+    assert got[("p170", "spike")] is False and got[("p60", "spike")] is True
+    assert all(got[(f"p{i}", "shift")] for i in range(145, 195) if i != 170)
+    assert not [k for k in got if k[0] in {f"p{i}" for i in range(130) if i != 60}]
+    assert [(r.since, r.level_before < 1, r.level > 8) for r in shifts.collect()] == [((datetime(2020, 1, 28) + timedelta(days=140)).date(), True, True)]
+    one, _ = spikes.implausible_readings(readings, spikes.SpikeRules(shift=1e9))  # without level shifts
+    assert ("p170", "spike") not in {(r.subject_id, r.kind) for r in one.collect()}

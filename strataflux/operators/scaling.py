@@ -44,7 +44,7 @@ def _bin(low: Column, high: Column, v: Column) -> Column:
     return F.when((width > 0) & (width < float("inf")), F.floor((v - low) / width * BINS)).otherwise(F.lit(0)).cast("int")
 
 
-def _ranked(rows: DataFrame, keys: list[str], brackets: DataFrame, probs: Sequence[float]) -> DataFrame:
+def _ranked(rows: DataFrame, keys: list[str], brackets: DataFrame, probs: Sequence[float], null_keys: bool = True) -> DataFrame:
     """(keys, n, r): the exact interpolated percentiles of `__v`, of which brackets[i] holds the two values around rank i.
 
     `brackets` has keys, n and b, an array of struct<low, high>. The first pass counts bins of each bracket, which
@@ -52,7 +52,8 @@ def _ranked(rows: DataFrame, keys: list[str], brackets: DataFrame, probs: Sequen
     rank. So a group of any size leaves a bounded number of rows to be ranked.
     """
     place = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
-    joined = null_safe_join(rows, brackets, keys, "inner")
+    match = null_safe_join if null_keys else (lambda left, right, on, how="left": left.join(right, on, how))
+    joined = match(rows, brackets, keys, "inner")
     v, spots = F.col("__v"), range(len(probs))
 
     def cell(i: int, code: Column) -> Column:
@@ -67,7 +68,12 @@ def _ranked(rows: DataFrame, keys: list[str], brackets: DataFrame, probs: Sequen
         return F.when(v < low, cell(i, F.lit(-1))).when(v <= high, cell(i, code))
 
     rank = lambda i: F.get(F.array(*place), i)
-    bins = joined.select(*keys, "n", F.explode(F.array_compact(F.array(*[counted(i) for i in spots]))).alias("__c")).groupBy(*keys, "n", "__c").agg(F.count(F.lit(1)).alias("__k"))
+    def entries(of, df: DataFrame) -> DataFrame:  # noqa: ANN001
+        # one bracket needs no array per row
+        one = of(0) if len(probs) == 1 else F.explode(F.array_compact(F.array(*[of(i) for i in spots])))
+        return df.select(*keys, "n", one.alias("__c")).filter(F.col("__c").isNotNull())
+
+    bins = entries(counted, joined).groupBy(*keys, "n", "__c").agg(F.count(F.lit(1)).alias("__k"))
     order = Window.partitionBy(*keys, "__c.i").orderBy("__c.x").rowsBetween(Window.unboundedPreceding, 0)
     upto = bins.withColumn("__upto", F.sum("__k").over(order)).withColumn("__before", F.col("__upto") - F.col("__k"))
     holds = lambda r: (F.col("__before") <= r) & (r < F.col("__upto"))
@@ -75,7 +81,7 @@ def _ranked(rows: DataFrame, keys: list[str], brackets: DataFrame, probs: Sequen
     picked = chosen.groupBy(*keys).agg(
         F.collect_list(F.struct(F.col("__c.i").alias("i"), F.col("__c.x").alias("x"), F.col("__before").alias("before"))).alias("__bins")
     )
-    edges = null_safe_join(brackets, picked, keys)
+    edges = match(brackets, picked, keys)
     own = lambda i: F.filter("__bins", lambda b: b["i"] == i)
     limits = edges.select(
         *keys, "n", "__b",
@@ -87,8 +93,7 @@ def _ranked(rows: DataFrame, keys: list[str], brackets: DataFrame, probs: Sequen
         low, high, code = bracket(i)
         return F.when(v.between(low, high) & code.between(F.col("__t")[i]["first"], F.col("__t")[i]["last"]), F.struct(F.lit(i).alias("i"), F.col("__t")[i]["before"].alias("before"), v.alias("v")))
 
-    near = null_safe_join(rows, limits, keys, "inner").select(*keys, "n", F.explode(F.array_compact(F.array(*[kept(i) for i in spots]))).alias("__c"))
-    values = near.groupBy(*keys, "n", "__c").agg(F.count(F.lit(1)).alias("__k"))
+    values = entries(kept, match(rows, limits, keys, "inner")).groupBy(*keys, "n", "__c").agg(F.count(F.lit(1)).alias("__k"))
     along = Window.partitionBy(*keys, "__c.i").orderBy("__c.v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = values.withColumn("__upto", F.col("__c.before") + F.sum("__k").over(along)).withColumn("__before", F.col("__upto") - F.col("__k"))
     at = lambda i, r: F.max(F.when((F.col("__c.i") == i) & (F.col("__before") <= r) & (r < F.col("__upto")), F.col("__c.v")))
@@ -124,24 +129,25 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
     return found.select(*keys, "n", *[F.col("r")[i].alias(n) for i, n in enumerate(names)])
 
 
-def median_and_mad(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = 10_000) -> DataFrame:
+def median_and_mad(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = 10_000, null_keys: bool = True) -> DataFrame:
     """(keys, n, center, mad): exact median, and exact median of the distances from it, per group.
 
     One sketch brackets both: distances of its grid of percentiles from the median tell where the median distance
-    lies. The small tables between the passes, of which there are five over `df`, are stored.
+    lies. The small tables between the passes, of which there are five over `df`, are stored. `null_keys=False` promises keys without nulls.
     """
     keys, grid = list(keys), accuracy // 10
+    match = null_safe_join if null_keys else (lambda left, right, on, how="left": left.join(right, on, how))
     rows, half, small = _valued(df, keys, value), accuracy // 20, F.col("n") < SMALL_GROUP
     sketch = materialize(_sketch(rows, keys, [k / grid for k in range(grid + 1)], accuracy), "sketch")
     pair = lambda low, high, whole_low, whole_high: F.array(F.struct(F.when(small, whole_low).otherwise(low).alias("low"), F.when(small, whole_high).otherwise(high).alias("high")))
     first = sketch.select(*keys, "n", pair(F.col("__q")[half - 3], F.col("__q")[half + 3], F.col("__low"), F.col("__high")).alias("__b"))
-    centers = materialize(null_safe_join(sketch, _ranked(rows, keys, first, [0.5]).select(*keys, F.col("r")[0].alias("center")), keys, "inner"), "centers")
+    centers = materialize(match(sketch, _ranked(rows, keys, first, [0.5], null_keys).select(*keys, F.col("r")[0].alias("center")), keys, "inner"), "centers")
     off = F.array_sort(F.transform("__q", lambda x: F.abs(x - F.col("center"))))
     widest = F.greatest(F.col("__high") - F.col("center"), F.col("center") - F.col("__low"))
     second = centers.select(*keys, "n", pair(off[half - 8], off[half + 8], F.lit(0.0), widest).alias("__b"))
-    away = null_safe_join(rows, centers.select(*keys, "center"), keys, "inner").select(*keys, F.abs(F.col("__v") - F.col("center")).alias("__v"))
-    spread = _ranked(away.filter(~F.isnan("__v")), keys, second, [0.5]).select(*keys, F.col("r")[0].alias("mad"))
-    return materialize(null_safe_join(centers.select(*keys, "n", "center"), spread, keys), "spread")
+    away = match(rows, centers.select(*keys, "center"), keys, "inner").select(*keys, F.abs(F.col("__v") - F.col("center")).alias("__v"))
+    spread = _ranked(away.filter(~F.isnan("__v")), keys, second, [0.5], null_keys).select(*keys, F.col("r")[0].alias("mad"))
+    return materialize(match(centers.select(*keys, "n", "center"), spread, keys), "spread")
 
 
 def previous_in_group(

@@ -98,6 +98,16 @@ def readings_of(observations: DataFrame, region_set: DataFrame) -> DataFrame:
     )
 
 
+def sources_of(observations: DataFrame, region_set: DataFrame) -> DataFrame:
+    """SOURCE of every series that `readings_of` can give, from the different spellings of site, region and measure."""
+    spelled = observations.select("site", "region", "hemisphere", "measure_type").filter("site IS NOT NULL").distinct()
+    named = with_canonical_names(spelled, region_set)
+    cell = lambda field, region, measure: F.struct(F.lit(field).alias("field"), region.alias("region"), measure.alias("measure_type"))
+    star = F.lit("*")
+    cells = F.array(cell("value", F.col("region"), F.col("measure_type")), cell("etiv", star, star), cell("surface_holes_lh", star, star))
+    return named.select("site", F.explode(cells).alias("c")).select("c.field", "site", "c.region", "c.measure_type").distinct()
+
+
 def _source_id() -> Column:
     return F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0001")) for c in SOURCE])
 
@@ -373,7 +383,7 @@ def _named(flags: DataFrame, sources: DataFrame) -> DataFrame:
     return flags.join(sources, "sid").select(*SOURCE, *SESSION, "reading", "kind", "score", "beyond")
 
 
-def implausible_readings(readings: DataFrame, rules: SpikeRules = SpikeRules()) -> tuple[DataFrame, DataFrame]:
+def implausible_readings(readings: DataFrame, rules: SpikeRules = SpikeRules(), sources: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(flags, level shifts) of long readings as `readings_of` gives them.
 
     flags: SOURCE, SESSION, reading, kind, score, beyond with kind
@@ -388,12 +398,14 @@ def implausible_readings(readings: DataFrame, rules: SpikeRules = SpikeRules())
     is tested against the level alone. An empty input gives empty results, extra columns are ignored.
     level shifts: SOURCE, load's series, since (day of the first reading of the new level), score, level, level_before in robust
     sigmas. Windows begin at blocks of BLOCK readings, the place is then the reading that parts them best; a series of
-    one block has no place to test.
+    one block has no place to test. `sources` may give the SOURCE rows that occur, if they can be had for less than a pass
+    over the readings.
     """
     ordered = in_order(readings, rules)
-    sources = materialize(readings.select(*SOURCE).distinct().select(_source_id().alias("sid"), *SOURCE), "sources")
+    known = readings.select(*SOURCE) if sources is None else sources.select(*SOURCE)
+    sources = materialize(known.distinct().select(_source_id().alias("sid"), *SOURCE), "sources")
     carry, crossing = _between_ranges(ordered, rules)
-    stats = median_and_mad(ordered.filter(finite(F.col("reading"))), ["sid"], "reading")
+    stats = median_and_mad(ordered.filter(finite(F.col("reading"))), ["sid"], "reading", null_keys=False)
 
     distance, sigma = F.col("reading") - F.col("center"), F.col("mad") * MAD_TO_SIGMA
     standard = lambda d: F.when(F.col("mad") > 0, d / sigma).when(d == 0, F.lit(0.0)).otherwise(F.signum(d) * 1e12)

@@ -6,13 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def name_key(text: Column) -> Column:
-    """Stored spelling without outer blanks, letter case and the difference of `_` and `-`."""
-    return F.translate(F.lower(F.regexp_replace(text, r"^\s+|\s+$", "")), "_", "-")
+#: what counts as blank at the ends of a name
+BLANKS = " \t\n\x0b\f\r"
 
 
 def measure_key(text: Column) -> Column:
-    return F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))
+    return F.lower(F.btrim(text, F.lit(BLANKS)))
+
+
+def name_key(text: Column) -> Column:
+    """Stored spelling without outer blanks, letter case and the difference of `_` and `-`."""
+    return F.translate(measure_key(text), "_", "-")
 
 
 def region_aliases(region_set: DataFrame) -> DataFrame:
@@ -40,19 +44,17 @@ def with_canonical_names(df: DataFrame, region_set: DataFrame) -> DataFrame:
     A spelling that the vocabulary doesn't know stays, as its comparison key, so no row is lost.
     The vocabulary has a few dozen entries; whether it is broadcast is left to the planner's size check.
     """
-    aliases = region_aliases(region_set)
-    plain = aliases.filter("side = ''").select(F.col("alias").alias("__a1"), F.col("canon_region").alias("__c1"))
-    sided = aliases.filter("side <> ''").select(
-        F.concat_ws("\u0001", "alias", "side").alias("__a2"), F.col("canon_region").alias("__c2")
-    )
-    key = name_key(F.col("region"))
+    by_side = F.map_from_entries(F.collect_list(F.struct("side", "canon_region")))
+    aliases = region_aliases(region_set).groupBy(F.col("alias").alias("__alias")).agg(by_side.alias("__sides"))
+    side = F.coalesce(F.lower(F.trim("hemisphere")), F.lit(""))
     return (
-        df.withColumn("__k", key)
-        .withColumn("__ks", F.concat_ws("\u0001", "__k", F.lower(F.trim("hemisphere"))))
-        .join(plain, F.col("__k") == F.col("__a1"), "left")
-        .join(sided, F.col("__ks") == F.col("__a2"), "left")
+        df.withColumn("__k", name_key(F.col("region")))
+        .join(aliases, F.col("__k") == F.col("__alias"), "left")
         .withColumns(
-            {"region": F.coalesce("__c1", "__c2", "__k"), "measure_type": measure_key(F.col("measure_type"))}
+            {
+                "region": F.coalesce(F.try_element_at("__sides", F.lit("")), F.try_element_at("__sides", side), "__k"),
+                "measure_type": measure_key(F.col("measure_type")),
+            }
         )
-        .drop("__k", "__ks", "__a1", "__c1", "__a2", "__c2")
+        .drop("__k", "__alias", "__sides")
     )

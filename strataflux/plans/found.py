@@ -12,10 +12,14 @@ PROFILED_NUMERIC = ("surface_holes_lh", "field_strength_tesla")
 PROFILED_TEXT = ("freesurfer_version", "sex")
 
 
+def _implausible(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    observations, regions = table(spark, folder, "observations"), table(spark, folder, "region_set")
+    return spikes.implausible_readings(spikes.readings_of(observations, regions), sources=spikes.sources_of(observations, regions))
+
+
 def p1_tests(spark: SparkSession, folder: str) -> DataFrame:
     """Every flag of the tests with its score, whether or not the exact rule confirms it."""
-    readings = spikes.readings_of(table(spark, folder, "observations"), table(spark, folder, "region_set"))
-    return spikes.implausible_readings(readings)[0]
+    return _implausible(spark, folder)[0]
 
 
 def p1_flags(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,8 +33,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_level_shifts(spark: SparkSession, folder: str) -> DataFrame:
-    readings = spikes.readings_of(table(spark, folder, "observations"), table(spark, folder, "region_set"))
-    return spikes.implausible_readings(readings)[1]
+    return _implausible(spark, folder)[1]
 
 
 def p2_wide(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflux.operators.scaling import grouped_quantiles, null_safe_join
+from strataflux.operators.scaling import median_and_mad, null_safe_join
 
 MAD_TO_SIGMA = 1.4826
 
@@ -24,10 +24,7 @@ def with_robust_z(df: DataFrame, value: str, by: Sequence[str], name: str) -> Da
     elsewhere. Null keys form a group. Medians are exact; hot groups are ranked without gathering them.
     """
     by = list(by)
-    center = grouped_quantiles(df, by, value, {"__center": 0.5}).drop("n")
-    off = null_safe_join(df.select(*by, value), center, by, "inner").select(*by, F.abs(F.col(value) - F.col("__center")).alias("__off"))
-    spread = grouped_quantiles(off, by, "__off", {"__mad": 0.5}).drop("n")
-    stats = null_safe_join(center, spread, by)
+    stats = median_and_mad(df.select(*by, value), by, value).select(*by, F.col("center").alias("__center"), F.col("mad").alias("__mad"))
     joined = null_safe_join(df, stats, by)
     z = (F.col(value) - F.col("__center")) / (F.col("__mad") * MAD_TO_SIGMA)
     flat = F.col("__mad").isNull() | (F.col("__mad") == 0)

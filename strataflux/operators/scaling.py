@@ -83,11 +83,12 @@ def _ranked(rows: DataFrame, keys: list[str], brackets: DataFrame, probs: Sequen
     )
     edges = match(brackets, picked, keys)
     own = lambda i: F.filter("__bins", lambda b: b["i"] == i)
-    limits = edges.select(
+    cut = edges.select(
         *keys, "n", "__b",
         F.array(*[F.struct(F.array_min(F.transform(own(i), lambda b: b["x"])).alias("first"), F.array_max(F.transform(own(i), lambda b: b["x"])).alias("last"),
                            F.array_min(F.transform(own(i), lambda b: b["before"])).alias("before")) for i in spots]).alias("__t"),
     )
+    limits = materialize(cut, "limits")  # stored, so that its size is known and the rows don't travel for it
 
     def kept(i: int) -> Column:
         low, high, code = bracket(i)
@@ -124,7 +125,7 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
     wanted = [min(1.0, max(0.0, probs[n] + side * margin)) for n in names for side in (-1, 1)]
     small = F.col("n") < SMALL_GROUP
     b = [F.struct(F.when(small, F.col("__low")).otherwise(F.col("__q")[2 * i]).alias("low"), F.when(small, F.col("__high")).otherwise(F.col("__q")[2 * i + 1]).alias("high")) for i in range(len(names))]
-    brackets = _sketch(rows, keys, wanted, accuracy).select(*keys, "n", F.array(*b).alias("__b"))
+    brackets = materialize(_sketch(rows, keys, wanted, accuracy).select(*keys, "n", F.array(*b).alias("__b")), "brackets")
     found = _ranked(rows, keys, brackets, [probs[n] for n in names])
     return found.select(*keys, "n", *[F.col("r")[i].alias(n) for i, n in enumerate(names)])
 
@@ -140,12 +141,13 @@ def median_and_mad(df: DataFrame, keys: Sequence[str], value: str, accuracy: int
     rows, half, small = _valued(df, keys, value), accuracy // 20, F.col("n") < SMALL_GROUP
     sketch = materialize(_sketch(rows, keys, [k / grid for k in range(grid + 1)], accuracy), "sketch")
     pair = lambda low, high, whole_low, whole_high: F.array(F.struct(F.when(small, whole_low).otherwise(low).alias("low"), F.when(small, whole_high).otherwise(high).alias("high")))
-    first = sketch.select(*keys, "n", pair(F.col("__q")[half - 3], F.col("__q")[half + 3], F.col("__low"), F.col("__high")).alias("__b"))
+    first = materialize(sketch.select(*keys, "n", pair(F.col("__q")[half - 3], F.col("__q")[half + 3], F.col("__low"), F.col("__high")).alias("__b")), "brackets")
     centers = materialize(match(sketch, _ranked(rows, keys, first, [0.5], null_keys).select(*keys, F.col("r")[0].alias("center")), keys, "inner"), "centers")
     off = F.array_sort(F.transform("__q", lambda x: F.abs(x - F.col("center"))))
     widest = F.greatest(F.col("__high") - F.col("center"), F.col("center") - F.col("__low"))
-    second = centers.select(*keys, "n", pair(off[half - 8], off[half + 8], F.lit(0.0), widest).alias("__b"))
-    away = match(rows, centers.select(*keys, "center"), keys, "inner").select(*keys, F.abs(F.col("__v") - F.col("center")).alias("__v"))
+    second = materialize(centers.select(*keys, "n", pair(off[half - 8], off[half + 8], F.lit(0.0), widest).alias("__b")), "brackets")
+    center = materialize(centers.select(*keys, "center"), "center")
+    away = match(rows, center, keys, "inner").select(*keys, F.abs(F.col("__v") - F.col("center")).alias("__v"))
     spread = _ranked(away.filter(~F.isnan("__v")), keys, second, [0.5], null_keys).select(*keys, F.col("r")[0].alias("mad"))
     return materialize(match(centers.select(*keys, "n", "center"), spread, keys), "spread")
 

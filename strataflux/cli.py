@@ -10,7 +10,7 @@ from pathlib import Path
 from pydantic import ValidationError
 
 from strataflux import __version__
-from strataflux.config import load_config
+from strataflux.config import parse_settings
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -38,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     config = None
     if args.command != "collect":
         try:
-            config = load_config(args.config)
+            config = parse_settings(Path(args.config).read_text())
         except ValidationError as e:
             for x in e.errors():
                 print(f"{'.'.join(map(str, x['loc']))}: {x['msg']}", file=sys.stderr)

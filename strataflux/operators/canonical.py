@@ -39,9 +39,18 @@ def decode(value: Column, codes: dict[str, str]) -> Column:
 
 
 def site_from_subject_id(subject_id: Column, collapse_samples: bool = False) -> Column:
-    """The subject id without its number; optionally without the sub-sample that follows the site's name."""
-    site = F.regexp_replace(subject_id, r"_\d+$", "")
-    return F.regexp_replace(site, r"_\d+$|_[a-z]$", "") if collapse_samples else site
+    """The site of an id `<site>_<number>` or `<site>_<sample>_<number>`, null for any other id.
+
+    The sample, one small letter or a number, is part of the site unless `collapse_samples`.
+    """
+    parts = F.split(subject_id, "_")
+    numbered = (F.size(parts) > 1) & F.element_at(parts, -1).rlike("^[0-9]+$")
+    words = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0)))
+    if collapse_samples:
+        sampled = (F.size(words) > 1) & F.try_element_at(words, F.lit(-1)).rlike("^([a-z]|[0-9]+)$")
+        words = F.when(sampled, F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words)
+    site = F.array_join(words, "_")
+    return F.when(numbered & (site != ""), site)
 
 
 def wide_to_long(wide: DataFrame, subject: str, names: DataFrame, measure: str, unit: str) -> DataFrame:

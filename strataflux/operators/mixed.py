@@ -246,13 +246,13 @@ def results_table(fits: DataFrame) -> DataFrame:
 
 
 def compare_arms(primary: DataFrame, other: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """(region, estimate, estimate_other, difference, direction_changed, significance_changed, comparable) of two result tables."""
-    right = other.select(F.col("region").alias("__r"), F.col("estimate").alias("estimate_other"), F.col("q_value").alias("q_other"), F.col("converged").alias("c_other"))
-    joined = primary.join(right, F.col("region") == F.col("__r"), "left")
+    """(region, measure_type, estimate, estimate_other, difference, direction_changed, significance_changed, comparable) of two result tables."""
+    right = other.select(F.col("region").alias("__r"), F.col("measure_type").alias("__m"), F.col("estimate").alias("estimate_other"), F.col("q_value").alias("q_other"), F.col("converged").alias("c_other"))
+    joined = primary.join(right, (F.col("region") == F.col("__r")) & (F.col("measure_type") == F.col("__m")), "left")
     comparable = F.coalesce(F.col("converged") & F.col("c_other") & F.col("estimate").isNotNull() & F.col("estimate_other").isNotNull(), F.lit(False))
     changed = (F.col("q_value") <= alpha) != (F.col("q_other") <= alpha)
     return joined.select(
-        "region", "estimate", "estimate_other", F.when(comparable, F.col("estimate") - F.col("estimate_other")).alias("difference"),
+        "region", "measure_type", "estimate", "estimate_other", F.when(comparable, F.col("estimate") - F.col("estimate_other")).alias("difference"),
         (comparable & (F.col("estimate") * F.col("estimate_other") < 0)).alias("direction_changed"),
         (comparable & F.coalesce(changed, F.lit(False))).alias("significance_changed"), comparable.alias("comparable"),
     )

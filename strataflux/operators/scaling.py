@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflux.session import materialize
+from strataflux.session import materialize, release
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -149,7 +149,9 @@ def median_and_mad(df: DataFrame, keys: Sequence[str], value: str, accuracy: int
     center = materialize(centers.select(*keys, "center"), "center")
     away = match(rows, center, keys, "inner").select(*keys, F.abs(F.col("__v") - F.col("center")).alias("__v"))
     spread = _ranked(away.filter(~F.isnan("__v")), keys, second, [0.5], null_keys).select(*keys, F.col("r")[0].alias("mad"))
-    return materialize(match(centers.select(*keys, "n", "center"), spread, keys), "spread")
+    out = materialize(match(centers.select(*keys, "n", "center"), spread, keys), "spread")
+    release(sketch, first, centers, center, second)
+    return out
 
 
 def previous_in_group(

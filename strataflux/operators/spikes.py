@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from strataflux.operators.scaling import median_and_mad
 from strataflux.operators.vocab import with_canonical_names
-from strataflux.session import materialize
+from strataflux.session import materialize, release
 
 SOURCE = ["field", "site", "region", "measure_type"]
 SESSION = ["subject_id", "session_id"]
@@ -431,6 +431,7 @@ def implausible_readings(readings: DataFrame, rules: SpikeRules = SpikeRules(),
             shifts = materialize(new, "shifts")
         if shifts is not None:
             levels, means = _segments(shifts, blocks)
+        release(blocks, tests)
     scored = _scored(rows, fit, levels, rules)
     far = F.abs(distance) > rules.mad_factor * sigma
     spike = F.abs("score") > rules.innovation

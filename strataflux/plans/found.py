@@ -37,7 +37,8 @@ def p1_level_shifts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_wide(spark: SparkSession, folder: str) -> DataFrame:
-    return widen.widen(widen.cells_of(table(spark, folder, "observations"), table(spark, folder, "region_set")))
+    observations, regions = table(spark, folder, "observations"), table(spark, folder, "region_set")
+    return widen.widen(widen.cells_of(observations, regions), attributes=widen.attributes_of(observations, regions))
 
 
 def p2_wide_table(spark: SparkSession, folder: str) -> DataFrame:

@@ -57,14 +57,20 @@ WHERE value IS NOT NULL AND NOT isnan(value)
 GROUP BY ALL HAVING count(DISTINCT value) > 1
 """
 
+#: fixed values: what the columns of the wide table are called after, the regions of the vocabulary and the measures
+STRUCTURES = {
+    "volume": ("hippocampus", "amygdala", "thalamus", "caudate", "putamen", "lateral-ventricle", "inferior-lateral-ventricle"),
+    "thickness": ("entorhinal", "parahippocampal", "inferiorparietal", "precuneus", "posteriorcingulate", "middletemporal", "superiorfrontal"),
+}
+WIDE = [(f"{side}-{s}", m) for m, names in STRUCTURES.items() for s in names for side in ("lh", "rh")]
+WIDE += [(r, "area") for r, m in WIDE if m == "thickness"]
+CELLS_WIDE = ", ".join(f"max(value) FILTER (region = '{r}' AND measure_type = '{m}') AS {r.replace('-', '_')}__{m}" for r, m in WIDE)
 SQL["p2_wide_table"] = f"""
 WITH {CANONICAL},
-v AS (SELECT subject_id, session_id, translate(coalesce(region, 'unknown') || '__' || coalesce(measure_type, 'unknown'), '-.', '__') AS col,
-             CASE WHEN NOT isnan(value) THEN value END AS value, ingested_at FROM obs),
-cells AS (SELECT subject_id, session_id, col, first(value ORDER BY ingested_at DESC NULLS LAST, value DESC) FILTER (value IS NOT NULL) AS value,
-                 count(DISTINCT value) > 1 AS conflict FROM v GROUP BY ALL),
-marked AS (SELECT subject_id, session_id, col, value, sum(conflict::INT) OVER (PARTITION BY subject_id, session_id)::BIGINT AS n_conflicts FROM cells)
-PIVOT marked ON col USING max(value) GROUP BY subject_id, session_id, n_conflicts
+v AS (SELECT subject_id, session_id, region, measure_type, CASE WHEN NOT isnan(value) THEN value END AS value, ingested_at FROM obs),
+cells AS (SELECT subject_id, session_id, region, measure_type, first(value ORDER BY ingested_at DESC NULLS LAST, value DESC) FILTER (value IS NOT NULL) AS value,
+                 count(DISTINCT value) > 1 AS conflict FROM v GROUP BY ALL)
+SELECT subject_id, session_id, {CELLS_WIDE}, count(*) FILTER (conflict) AS n_conflicts FROM cells GROUP BY subject_id, session_id
 """
 
 #: every schema change: columns with their place and type per file, compared with the file before
@@ -167,16 +173,30 @@ SELECT file_id, n::BIGINT AS line_number, fields[1] AS measure,
 FROM c WHERE kind = 'measure' AND code IS NULL
 """
 
+NUMERIC = "'[+-]?([0-9]+[.,]?[0-9]*|[.,][0-9]+)([eE][+-]?[0-9]+)?'"
+KEYVAL = r"^#[ \t]*([A-Za-z][A-Za-z0-9_]*)[ \t]+(.*?)[ \t]*$"
+HEADERS = rf"""
+h AS (SELECT file_id, n, regexp_extract(line, '{KEYVAL}', 1) AS key, regexp_extract(line, '{KEYVAL}', 2) AS value
+      FROM l WHERE regexp_matches(line, '^#[ \t]*[A-Za-z][A-Za-z0-9_]*[ \t]+\S') AND NOT regexp_matches(line, '^#[ \t]*(Measure|ColHeaders)[ \t]'))
+"""
+#: measures by short name and alias, the last line of a key holds; a line whose keys were all taken before is overwritten
 SQL["file_globals"] = rf"""
-WITH {LINES},
-m AS (SELECT file_id, fields[1] AS measure,
-             replace(list_last(list_filter(fields[2:], lambda x: regexp_full_match(x, '[+-]?([0-9]+[.,]?[0-9]*|[.,][0-9]+)([eE][+-]?[0-9]+)?'))), ',', '.')::DOUBLE AS value
+WITH {LINES}, {HEADERS},
+m AS (SELECT file_id, n, fields, list_max(list_filter(range(2, len(fields) + 1), lambda i: regexp_full_match(fields[i], {NUMERIC}))) AS spot
       FROM c WHERE kind = 'measure' AND code IS NULL),
-g AS (SELECT file_id, coalesce(max(value) FILTER (measure = 'EstimatedTotalIntraCranialVol'), max(value) FILTER (measure = 'eTIV'),
-             max(value) FILTER (measure = 'IntraCranialVol'), max(value) FILTER (measure = 'ICV')) AS etiv,
-             max(value) FILTER (measure = 'lhSurfaceHoles') AS surface_holes_lh, max(value) FILTER (measure = 'rhSurfaceHoles') AS surface_holes_rh FROM m GROUP BY 1),
-w AS (SELECT file_id, min(nullif(regexp_extract(line, '^#[ \t]*cvs_version[ \t]+[^0-9]*(\d+(?:\.\d+)*)', 1), '')) AS freesurfer_version FROM l GROUP BY 1)
-SELECT r.file_id, etiv, surface_holes_lh, surface_holes_rh, freesurfer_version FROM raw_stats r LEFT JOIN g USING (file_id) LEFT JOIN w USING (file_id)
+a AS (SELECT *, spot > 2 AND fields[2] NOT IN ('', fields[1]) AND fields[2] NOT LIKE '% %' AND NOT regexp_full_match(fields[2], {NUMERIC}) AS has_alias FROM m),
+keyed AS (SELECT file_id, n, unnest(CASE WHEN has_alias THEN [fields[1], fields[2]] ELSE [fields[1]] END) AS key, replace(fields[spot], ',', '.')::DOUBLE AS value FROM a),
+first_ AS (SELECT file_id, key, min(n) AS f FROM keyed GROUP BY ALL),
+over_ AS (SELECT file_id, count(*) AS k FROM (SELECT keyed.file_id, keyed.n FROM keyed JOIN first_ USING (file_id, key) GROUP BY 1, 2 HAVING bool_and(keyed.n > f)) t GROUP BY 1),
+v AS (SELECT file_id, key, arg_max(value, n) AS value FROM keyed GROUP BY ALL),
+g AS (SELECT file_id, coalesce(max(value) FILTER (key = 'EstimatedTotalIntraCranialVol'), max(value) FILTER (key = 'eTIV'),
+             max(value) FILTER (key = 'IntraCranialVol'), max(value) FILTER (key = 'ICV')) AS etiv,
+             max(value) FILTER (key = 'lhSurfaceHoles') AS surface_holes_lh, max(value) FILTER (key = 'rhSurfaceHoles') AS surface_holes_rh FROM v GROUP BY 1),
+d AS (SELECT file_id, coalesce(arg_max(value, n) FILTER (key = 'annotationfileversion'), arg_max(value, n) FILTER (key = 'cvs_version'),
+             arg_max(value, n) FILTER (key = 'AnnotationFileVersion')) AS version_declaration FROM h GROUP BY 1)
+SELECT r.file_id, etiv, surface_holes_lh, surface_holes_rh, coalesce(o.k, 0)::BIGINT AS measures_overwritten, version_declaration,
+       nullif(regexp_extract(version_declaration, '^(\d+(?:\.\d+)*)', 1), '') AS freesurfer_version
+FROM raw_stats r LEFT JOIN g USING (file_id) LEFT JOIN d USING (file_id) LEFT JOIN over_ o USING (file_id)
 """
 
 PROFILE = """
@@ -479,12 +499,13 @@ FROM modeled WHERE value IS NOT NULL AND time_from_baseline_years IS NOT NULL GR
 """
 SQL["bh_fdr"] = f"""
 WITH {MODELED},
-v AS (SELECT * FROM modeled WHERE value IS NOT NULL AND site IS NOT NULL),
-w AS (SELECT region, avg(value) AS gm, stddev_pop(value) AS sd FROM v GROUP BY 1),
-t AS (SELECT v.region, site, abs(avg(value) - any_value(gm)) / (any_value(sd) / sqrt(count(*))) AS z FROM v JOIN w ON v.region = w.region GROUP BY 1, 2),
-p AS (SELECT region, site, round(1 / (1 + z * z), 9) AS p_value FROM t),
-r AS (SELECT *, p_value * count(*) OVER (PARTITION BY region) / count(*) OVER (PARTITION BY region ORDER BY p_value) AS raw FROM p)
-SELECT region, site, p_value, round(least(1, min(raw) OVER (PARTITION BY region ORDER BY p_value DESC)), 8) AS q_value FROM r
+v AS (SELECT *, substr(region, 4) AS structure FROM modeled WHERE value IS NOT NULL AND site IS NOT NULL AND hemisphere IN ('lh', 'rh')),
+w AS (SELECT region, measure_type, avg(value) AS gm, stddev_pop(value) AS sd FROM v GROUP BY ALL),
+t AS (SELECT v.structure, v.region, v.measure_type, site, (avg(value) - any_value(gm)) / (any_value(sd) / sqrt(count(*))) AS z
+      FROM v JOIN w ON v.region = w.region AND v.measure_type = w.measure_type GROUP BY ALL),
+p AS (SELECT structure, measure_type, site, round(exp(-sum(z * z) / 2), 9) AS p_value FROM t GROUP BY ALL HAVING count(*) = 2),
+r AS (SELECT *, p_value * count(*) OVER (PARTITION BY structure, measure_type) / count(*) OVER (PARTITION BY structure, measure_type ORDER BY p_value) AS raw FROM p)
+SELECT structure, measure_type, site, p_value, round(least(1, min(raw) OVER (PARTITION BY structure, measure_type ORDER BY p_value DESC)), 8) AS q_value FROM r
 """
 SQL["model_exclusions"] = f"""
 WITH {CANON}, {QUALITY},
@@ -521,13 +542,9 @@ SELECT boundary, unit, "count", coalesce(lost, 0)::BIGINT AS lost, coalesce(caus
 """
 SQL["merge_counters"] = f"SELECT 'rows_by_measure' AS metric, lower(trim(measure_type)) AS key, {COUNT} FROM observations GROUP BY ALL"
 SQL["checksum"] = "SELECT file_id, sha256(content) AS checksum, strlen(content)::BIGINT AS size_bytes FROM raw_stats"
-SQL["header_kv"] = r"""
-WITH l AS (SELECT file_id, unnest(regexp_split_to_array(content, '\r?\n')) AS line FROM raw_stats)
-SELECT file_id, regexp_extract(line, '^#[ \t]*([A-Za-z_]+)[ \t]+(.*?)[ \t]*$', 1) AS key, regexp_extract(line, '^#[ \t]*([A-Za-z_]+)[ \t]+(.*?)[ \t]*$', 2) AS value
-FROM l WHERE regexp_matches(line, '^#[ \t]*[A-Za-z_]+[ \t]+\S') AND NOT regexp_matches(line, '^#[ \t]*(Measure|ColHeaders)\b') AND NOT regexp_matches(line, '^#[ \t]*note[ \t]')
-"""
+SQL["header_kv"] = f"WITH {LINES}, {HEADERS} SELECT file_id, n AS line_number, key, value FROM h"
 SQL["file_versions"] = rf"""
-WITH h AS ({SQL["header_kv"].strip()})
+WITH {LINES}, {HEADERS}
 SELECT value AS declaration, nullif(regexp_extract(value, '^(\d+(?:\.\d+)*)', 1), '') AS version, count(*) AS n_files FROM h WHERE key = 'cvs_version' GROUP BY ALL
 """
 FATAL = "('EMPTY_FILE', 'NO_COLHEADERS', 'NO_DATA_ROWS', 'TRUNCATED_ROW', 'COLUMN_COUNT_MISMATCH')"
@@ -548,8 +565,11 @@ SELECT e.file_id, e.source_file, s.region, s.hemisphere, s.measure_type, s.unit,
 FROM e JOIN names ON names.alias = e.alias AND names.side = CASE WHEN sub THEN '' ELSE e.side END JOIN region_set s ON s.region = canon
 WHERE x[1] = CASE WHEN sub THEN 'Volume_mm3' ELSE 'ThickAvg' END AND s.measure_type = CASE WHEN sub THEN 'volume' ELSE 'thickness' END
 """
-SQL["wide_to_long"] = f"WITH {CANON}, " + """
-s AS (SELECT subject_id, session_id, max(etiv) AS etiv, max(surface_holes_lh) AS holes_lh, max(surface_holes_rh) AS holes_rh FROM canon GROUP BY ALL)
-SELECT * FROM (SELECT subject_id, session_id, 'etiv' AS field, etiv AS x FROM s UNION ALL SELECT subject_id, session_id, 'holes_lh', holes_lh FROM s
-               UNION ALL SELECT subject_id, session_id, 'holes_rh', holes_rh FROM s) t WHERE x IS NOT NULL
+SQL["wide_to_long"] = f"""
+WITH {CANON},
+v AS (SELECT subject_id || '|' || session_id AS subject_id, region, value FROM canon WHERE measure_type = 'volume'),
+k AS (SELECT DISTINCT subject_id FROM v),
+r AS (SELECT region FROM region_set WHERE measure_type = 'volume')
+SELECT k.subject_id, r.region AS source_name, r.region, 'volume' AS measure_type, 'mm^3' AS unit, max(v.value) AS value
+FROM k CROSS JOIN r LEFT JOIN v ON v.subject_id = k.subject_id AND v.region = r.region GROUP BY ALL
 """

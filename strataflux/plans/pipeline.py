@@ -61,8 +61,14 @@ def ingest(spark: SparkSession, config: RunConfig, region_set: DataFrame, outdir
     lines = rejects.read_permissively(raw)
     failures = stats_files.all_verdicts(raw, lines).join(raw.select("file_id", "source_file"), "file_id").select("source_file", "failure_code", "line_number")
     failures = save(failures.unionByName(lost), outdir, "parse_failures")
-    per_file = stats_files.session_globals(raw, lines).join(raw.select("file_id", *ID), "file_id")
-    values = per_file.groupBy(*ID).agg(*[F.max(c).alias(c) for c in ("etiv", "surface_holes_lh", "surface_holes_rh", "freesurfer_version")])
+    owner = raw.select("file_id", *ID, "source_file", stats_files.table_type(F.col("source_file"), F.col("content")).alias("kind"))
+    per_file = stats_files.session_globals(raw, lines).join(owner, "file_id")
+    # volume and hole counts are the subcortical table's, the version is the first that a file of the session declares
+    values = per_file.groupBy(*ID).agg(
+        *[F.max(F.when(F.col("kind") == "aseg", F.col(c))).alias(c) for c in ("etiv", "surface_holes_lh", "surface_holes_rh")],
+        F.min_by("freesurfer_version", F.when(F.col("freesurfer_version").isNotNull(), F.struct(F.col("kind") != "aseg", "source_file"))).alias("freesurfer_version"),
+    )
+    save(per_file.select("source_file", "version_declaration", "freesurfer_version", "measures_overwritten"), outdir, "file_versions")
     rows = stats_files.canonical_rows(raw, region_set).join(raw.select("file_id", *ID, "source_file_checksum"), "file_id")
     full = rows.join(values, ID, "left").join(adapter.metadata(discovered), ID, "left").drop("file_id")
     now = datetime.now(timezone.utc).isoformat(timespec="milliseconds")
@@ -94,7 +100,7 @@ def run_harmonize(spark: SparkSession, config: RunConfig, outdir: str) -> DataFr
     """harmonized_observations (value replaced, value_original kept) and the parameters; unchanged where it can't apply."""
     h = config.harmonization
     rows = load(spark, outdir, "qc_observations")
-    labelled = confound.batch_policy(rows, h.batch_column, h.min_batch_size, h.small_batches)
+    labelled = confound.batch_policy(rows, h.batch_column, h.min_batch_size, h.small_batch_policy)
     usable = labelled.filter("estimable").agg(F.countDistinct("batch")).first()[0]
     save(confound.severity(rows, h.batch_column), outdir, "confounding")
     if not h.enabled or usable < 2:
@@ -102,8 +108,8 @@ def run_harmonize(spark: SparkSession, config: RunConfig, outdir: str) -> DataFr
     judged = rows.agg(F.max(F.col("analysis_included").isNotNull())).first()[0]
     use = F.col("estimable") & (F.coalesce("analysis_included", F.lit(False)) if h.estimation_set == "analysis_included" and judged else F.lit(True))
     adjusted, params, design = harmonize.combat(
-        labelled.withColumn("estimate_on", use), h.covariates, estimate_on="estimate_on", empirical_bayes=h.empirical_bayes, tolerance=h.tolerance,
-        max_iterations=h.max_iterations,
+        labelled.withColumn("estimate_on", use), h.covariates, estimate_on="estimate_on", empirical_bayes=h.empirical_bayes, tolerance=h.eb_tolerance,
+        max_iterations=h.eb_max_iterations,
     )
     save(params, outdir, "harmonization_parameters")
     out = adjusted.withColumns({"value_original": F.col("value"), "value": F.col("value_adjusted")})
@@ -150,7 +156,7 @@ def provenance(spark: SparkSession, config: RunConfig) -> dict:
         "version": __version__, "schema_version": "1.0.0", "spark": pyspark.__version__, "python": platform.python_version(),
         "captured_at": datetime.now(timezone.utc).isoformat(), "commit": _git("rev-parse", "HEAD"), "dirty": bool(_git("status", "--porcelain")),
         "settings": {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.session.timeZone")},
-        "config": config.resolved(),
+        "config": config.model_dump(mode="json"),
     }
 
 

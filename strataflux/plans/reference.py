@@ -261,15 +261,19 @@ def arms_compare(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bh_fdr(spark: SparkSession, folder: str) -> DataFrame:
-    """The Benjamini-Hochberg step over one family per region. `p_value` is a score 1 / (1 + z * z) of how far a site's mean
-    lies from the region's, not a tail probability, so `q_value` is no false discovery rate."""
-    rows = _modeled(spark, folder).filter("value IS NOT NULL AND site IS NOT NULL")
-    per = rows.groupBy("region", "site").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"))
-    whole = rows.groupBy("region").agg(F.avg("value").alias("gm"), F.stddev_pop("value").alias("sd"))
-    z = F.abs(F.col("m") - F.col("gm")) / (F.col("sd") / F.sqrt("n"))
-    # a bounded decreasing score in (0, 1) that both engines compute alike stands for the tail probability
-    tests = per.join(whole, "region").withColumn("p_value", F.round(1 / (1 + z * z), 9))
-    return with_fdr(tests, ["region"]).select("region", "site", "p_value", F.round("q_value", 8).alias("q_value"))
+    """Per structure and measure the test whether a site's means of both sides lie off the overall ones, adjusted over the sites.
+
+    The sum of the two squared z scores has a chi-squared distribution of two degrees of freedom (sides taken as
+    independent), of which the tail probability is exp(-x / 2).
+    """
+    rows = _modeled(spark, folder).filter("value IS NOT NULL AND site IS NOT NULL AND hemisphere IN ('lh', 'rh')")
+    per = rows.groupBy("region", "hemisphere", "measure_type", "site").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"))
+    whole = rows.groupBy("region", "measure_type").agg(F.avg("value").alias("gm"), F.stddev_pop("value").alias("sd"))
+    z = (F.col("m") - F.col("gm")) / (F.col("sd") / F.sqrt("n"))
+    sides = per.join(whole, ["region", "measure_type"]).select(quality.structure_of(F.col("region"), F.col("hemisphere")).alias("structure"), "measure_type", "site", (z * z).alias("zz"))
+    both = sides.groupBy("structure", "measure_type", "site").agg(F.sum("zz").alias("x"), F.count(F.lit(1)).alias("k")).filter("k = 2")
+    tests = both.withColumn("p_value", F.round(F.exp(-F.col("x") / 2), 9))
+    return with_fdr(tests, ["structure", "measure_type"]).select("structure", "measure_type", "site", "p_value", F.round("q_value", 8).alias("q_value"))
 
 
 def model_exclusions(spark: SparkSession, folder: str) -> DataFrame:
@@ -303,7 +307,7 @@ def checksum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def header_kv(spark: SparkSession, folder: str) -> DataFrame:
-    return stats_files.header_fields(table(spark, folder, "raw_stats")).filter(F.col("key") != "note")
+    return stats_files.header_fields(table(spark, folder, "raw_stats"))
 
 
 def file_versions(spark: SparkSession, folder: str) -> DataFrame:
@@ -326,9 +330,12 @@ def file_globals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_to_long(spark: SparkSession, folder: str) -> DataFrame:
-    """The covariates of a session as wide columns, unpivoted."""
-    rows = observations(spark, folder).groupBy(*ID).agg(F.max("etiv").alias("etiv"), F.max("surface_holes_lh").alias("holes_lh"), F.max("surface_holes_rh").alias("holes_rh"))
-    return rows.unpivot(ID, ["etiv", "holes_lh", "holes_rh"], "field", "x").filter("x IS NOT NULL")
+    """A wide table of one row per session and one column per volume, in long form again."""
+    regions = table(spark, folder, "region_set").filter("measure_type = 'volume'").select("region")
+    names = sorted(r.region for r in regions.limit(10_000).collect())
+    rows = observations(spark, folder).filter("measure_type = 'volume'").withColumn("key", F.concat_ws("|", *ID))
+    wide = rows.groupBy("key").pivot("region", names).agg(F.max("value"))
+    return canonical.wide_to_long(wide, "key", regions.select(F.col("region").alias("source_name"), "region"), "volume", "mm^3")
 
 
 QUERIES = {

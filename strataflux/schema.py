@@ -24,11 +24,7 @@ REQUIRED = (
     "parser_version", "ingested_at",
 )
 KEY = ("dataset", "subject_id", "session_id", "region", "measure_type")
-SESSION = ("dataset", "subject_id", "session_id")
-# fixed values: reason codes
-MISSINGNESS = ("missing_acquisition", "missing_derivative", "excluded_qc")
-OBSERVATION_LOSS = ("source_unavailable", "absent_from_source", "observation_loss_cause_unavailable")
-MODEL_EXCLUSION = ("outside_modeled_region_set", "incomplete_model_covariates", "design_not_identifiable", "not_modeled_cause_unavailable")
+# fixed values: flags in the order of their mention
 QC_FLAGS = ("etiv_implausible", "euler_low", "region_outlier", "asymmetry_outlier")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -25,12 +26,14 @@ def local_session(cores: str | int = 8, partitions: int = 8, memory: str = "8g")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a folder of this machine only where the setting is absent."""
+    """The folder of spark.checkpoint.dir. Only a session within one machine may lack the setting; a cluster's nodes
+    would write where no other one reads, so there it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-strataflux-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir names no folder that all nodes share")
+    return "file://" + os.path.join(tempfile.gettempdir(), f"spark-strataflux-{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -45,10 +48,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def release(df: DataFrame) -> None:
-    """Delete the files behind a table made by `materialize` (no-op for any other DataFrame)."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    for name in {f.rpartition("/")[0] for f in df.inputFiles() if "/strataflux/" in f}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def release(*tables: DataFrame) -> None:
+    """Delete the files behind tables made by `materialize`, after their last reader was stored itself."""
+    for df in tables:
+        spark = df.sparkSession
+        for name in {f.rpartition("/")[0] for f in df.inputFiles() if "/strataflux/" in f}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataflux.operators import rejects
@@ -10,6 +10,8 @@ from strataflux.operators.vocab import name_key, region_aliases
 
 VERSION = r"(\d+(?:\.\d+)*)"
 FATAL = ("EMPTY_FILE", "NO_COLHEADERS", "NO_DATA_ROWS", "UNKNOWN_TABLE_TYPE", "TRUNCATED_ROW", "COLUMN_COUNT_MISMATCH")
+# fixed values: keys of the version and names of the intracranial volume, in order of preference
+VERSION_KEYS = ("annotationfileversion", "cvs_version", "AnnotationFileVersion")
 ETIV_NAMES = ("EstimatedTotalIntraCranialVol", "eTIV", "IntraCranialVol", "ICV")
 
 
@@ -63,12 +65,12 @@ def hemisphere(source_file: Column, content: Column) -> Column:
 
 
 def header_fields(raw: DataFrame) -> DataFrame:
-    """(file_id, key, value) of `# key value` header lines; comments, measures and column lines are none."""
-    lines = raw.select("file_id", F.explode(F.split("content", "\r?\n")).alias("line")).filter(
-        F.col("line").rlike(r"^#[ \t]*[A-Za-z_]+[ \t]+\S") & ~F.col("line").rlike(r"^#[ \t]*(Measure|ColHeaders)\b")
+    """(file_id, line_number, key, value) of `# key value` lines; measures and column lines are none."""
+    lines = raw.select("file_id", F.posexplode(F.split("content", "\r?\n")).alias("i", "line")).filter(
+        F.col("line").startswith("#") & F.col("line").rlike(r"^#[ \t]*[A-Za-z][A-Za-z0-9_]*[ \t]+\S") & ~F.col("line").rlike(r"^#[ \t]*(Measure|ColHeaders)[ \t]")
     )
-    pattern = r"^#[ \t]*([A-Za-z_]+)[ \t]+(.*?)[ \t]*$"
-    return lines.select("file_id", F.regexp_extract("line", pattern, 1).alias("key"), F.regexp_extract("line", pattern, 2).alias("value"))
+    pattern = r"^#[ \t]*([A-Za-z][A-Za-z0-9_]*)[ \t]+(.*?)[ \t]*$"
+    return lines.select("file_id", (F.col("i") + 1).alias("line_number"), F.regexp_extract("line", pattern, 1).alias("key"), F.regexp_extract("line", pattern, 2).alias("value"))
 
 
 def version_of(declaration: Column) -> Column:
@@ -92,17 +94,44 @@ def all_verdicts(raw: DataFrame, lines: DataFrame) -> DataFrame:
     return bad.unionByName(unknown.select("file_id", F.lit("UNKNOWN_TABLE_TYPE").alias("failure_code"), F.lit(0).cast("bigint").alias("line_number")))
 
 
+def measure_index(lines: DataFrame) -> DataFrame:
+    """(file_id, line_number, key, value, overwritten): header measures by short name, and by alias where there is one.
+
+    The number is the last one of the line. The second field is an alias if the number comes after it and it is no number,
+    has no blanks and isn't the short name. `overwritten` tells that all keys of the line were taken before it.
+    """
+    valid = lines.filter("kind = 'measure' AND failure_code IS NULL")
+    places = F.filter(F.sequence(F.lit(1), F.size("fields") - 1), lambda i: rejects.is_number(F.get("fields", i)))
+    alias = F.get("fields", F.lit(1))
+    named = (F.element_at(places, -1) > 1) & (alias != "") & (alias != F.get("fields", F.lit(0))) & ~alias.contains(" ") & ~rejects.is_number(alias)
+    keys = F.array_compact(F.array(F.get("fields", F.lit(0)), F.when(named, alias)))
+    keyed = valid.select("file_id", "line_number", rejects.as_number(F.get("fields", F.element_at(places, -1))).alias("value"), F.explode(keys).alias("key"))
+    taken = F.col("line_number") > F.min("line_number").over(Window.partitionBy("file_id", "key"))
+    marked = keyed.withColumn("taken", taken)
+    return marked.withColumn("overwritten", F.min("taken").over(Window.partitionBy("file_id", "line_number"))).drop("taken")
+
+
 def session_globals(raw: DataFrame, lines: DataFrame) -> DataFrame:
-    """(file_id, etiv, surface_holes_lh, surface_holes_rh, freesurfer_version) per file; an absent count is null, never 0."""
-    measures = rejects.loaded_measures(lines)
-    first = lambda name: F.max(F.when(F.col("measure") == name, F.col("value")))
-    values = measures.groupBy("file_id").agg(
-        F.coalesce(*[first(n) for n in ETIV_NAMES]).alias("etiv"), first("lhSurfaceHoles").alias("surface_holes_lh"),
-        first("rhSurfaceHoles").alias("surface_holes_rh"),
+    """(file_id, etiv, surface_holes_lh, surface_holes_rh, measures_overwritten, version_declaration, freesurfer_version) per file.
+
+    Of several measures with one key the last holds; an absent count is null, never 0. The version is the number at the start
+    of the declaration, null where it starts with none; the declaration stays as written.
+    """
+    keys = measure_index(lines)
+    last = lambda name: F.max_by("value", F.when(F.col("key") == name, F.col("line_number")))
+    lost = F.count_if(F.col("overwritten") & (F.col("line_number") != F.coalesce("prior_line", F.lit(-1))))
+    by_line = Window.partitionBy("file_id").orderBy("line_number", "key")
+    values = keys.withColumn("prior_line", F.lag("line_number").over(by_line)).groupBy("file_id").agg(
+        F.coalesce(*[last(n) for n in ETIV_NAMES]).alias("etiv"), last("lhSurfaceHoles").alias("surface_holes_lh"),
+        last("rhSurfaceHoles").alias("surface_holes_rh"), lost.alias("measures_overwritten"),
+    )
+    declared = header_fields(raw).filter(F.col("key").isin(*VERSION_KEYS))
+    stated = lambda key: F.max_by("value", F.when(F.col("key") == key, F.col("line_number")))
+    versions = declared.groupBy("file_id").agg(F.coalesce(*[stated(k) for k in VERSION_KEYS]).alias("version_declaration"))
+    return (
+        raw.select("file_id").join(values, "file_id", "left").join(versions, "file_id", "left")
+        .withColumns({"freesurfer_version": version_of(F.col("version_declaration")), "measures_overwritten": F.coalesce("measures_overwritten", F.lit(0))})
     )
-    declared = header_fields(raw).filter(F.col("key").isin("cvs_version", "generating_program_version"))
-    versions = declared.groupBy("file_id").agg(F.min(version_of(F.regexp_replace("value", "^.*?(?=[0-9])", ""))).alias("freesurfer_version"))
-    return raw.select("file_id").join(values, "file_id", "left").join(versions, "file_id", "left")
 
 
 def canonical_rows(raw: DataFrame, region_set: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflux import schema
-from strataflux.config import AnalysisConfig, QcConfig, RunConfig, load_config
+from strataflux.config import AnalysisConfig, QcConfig, RunConfig, parse_settings
 from strataflux.operators import canonical, ledger, quality
 from strataflux.sources import stats_files
 
@@ -123,9 +123,9 @@ def test_config_rejects_unknown_keys(tmp_path):
     good, bad = tmp_path / "good.yaml", tmp_path / "bad.yaml"
     good.write_text("qc: {enabled: false}\n")
     bad.write_text("qc: {enabeld: false}\n")
-    assert not load_config(good).qc.enabled and RunConfig().resolved()["harmonization"]["min_batch_size"] == 20
+    assert not parse_settings(good.read_text()).qc.enabled and RunConfig().model_dump(mode="json")["harmonization"]["min_batch_size"] == 20
     with pytest.raises(ValueError):
-        load_config(bad)
+        parse_settings(bad.read_text())
 
 
 def test_core_does_not_need_the_llm_package():

@@ -12,8 +12,8 @@ def test_widen_typed_columns_and_conflicts(spark):
         ("c", "1", "lh-x", "volume", float("nan"), "t3"), ("c", "1", "lh-x", "volume", 5.0, "t1"), (None, None, None, None, 7.0, None),
         ("d", "2", "lh-x", "volume", 1.0, None), ("d", "2", "lh-x", "volume", float("inf"), None),
     ]
-    for dense in (0, 2, 16):
-        wide = widen.widen(spark.createDataFrame([(*r, "s", 1) for r in rows], CELLS), dense_tables=dense)
+    for classes in (1, 2, 16):
+        wide = widen.widen(spark.createDataFrame([(*r, "s", 1) for r in rows], CELLS), classes=classes)
         got = {(r.subject_id, r.session_id): r for r in wide.collect()}
         assert len(got) == 5
         assert got["a", "1"].lh_x__volume == 1.0 and got["a", "1"].rh_x__volume == 2.0 and got["a", "1"].n_attributes == 2
@@ -27,8 +27,8 @@ def test_widen_typed_columns_and_conflicts(spark):
 def test_widen_keeps_clashing_names_apart(spark):
     regions = ["a.b", "a-b", "A-b", None, "unknown", ""]
     rows = [("s", "1", r, "volume", float(i), "t", "s", 1) for i, r in enumerate(regions)]
-    for dense in (0, 2):
-        wide = widen.widen(spark.createDataFrame(rows, CELLS), dense_tables=dense)
+    for classes in (1, 2):
+        wide = widen.widen(spark.createDataFrame(rows, CELLS), classes=classes)
         got = wide.collect()[0].asDict()
         names = ["a_b__volume_3", "a_b__volume_2", "A_b__volume", "unknown__volume", "unknown__volume_2", "__volume"]
         assert [got[n] for n in names] == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]

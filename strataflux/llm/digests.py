@@ -29,16 +29,32 @@ FOLDS = 256
 PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 
 
-def distinct_cells(observations: DataFrame, region_set: DataFrame) -> DataFrame:
-    """(site, region, measure_type, load, value): finite values, each repeated cell once, in its first load."""
+def loads_of(observations: DataFrame) -> DataFrame:
+    """(dataset_version, load): the different loads, numbered in the order of their names; null comes first."""
+    names = observations.select("dataset_version").distinct()
+    return names.withColumn("load", F.row_number().over(Window.orderBy(F.col("dataset_version").asc_nulls_first())))
+
+
+def groups_of(observations: DataFrame, region_set: DataFrame) -> DataFrame:
+    """(gid, GROUP): every group that cells can have, from the different spellings of site, region and measure."""
+    spelled = observations.select("site", "region", "hemisphere", "measure_type").distinct()
+    return with_canonical_names(spelled, region_set).select(*GROUP).distinct().select(group_id().alias("gid"), *GROUP)
+
+
+def group_id() -> Column:
+    return F.xxhash64(F.to_json(F.struct(*GROUP)))
+
+
+def distinct_cells(observations: DataFrame, region_set: DataFrame, loads: DataFrame) -> DataFrame:
+    """(gid, load, value, salt): finite values, each repeated cell once, in its first load; salt spreads a group's rows."""
     rows = observations.select("dataset_version", "subject_id", "session_id", "site", "region", "hemisphere", "measure_type", "value")
-    named = with_canonical_names(rows, region_set)
     finite = F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf"))
+    named = null_safe_join(with_canonical_names(rows.filter(finite), region_set), loads, ["dataset_version"], "inner")
     return (
-        named.filter(finite)
-        .groupBy("subject_id", "session_id", *GROUP, "value")
-        .agg(F.min("dataset_version").alias("load"))
-        .select(*GROUP, "load", "value")
+        named.select("subject_id", "session_id", group_id().alias("gid"), "value", "load")
+        .groupBy("subject_id", "session_id", "gid", "value")
+        .agg(F.min("load").alias("load"))
+        .select("gid", "load", "value", F.hash("subject_id", "session_id").alias("salt"))
     )
 
 
@@ -48,22 +64,26 @@ def _cluster(q: Column, compression: int) -> Column:
 
 
 def build_digests(values: DataFrame, keys: Sequence[str], value: str = "value", compression: int = COMPRESSION,
-                  rows_per_digest: int = ROWS_PER_DIGEST) -> DataFrame:
+                  rows_per_digest: int = ROWS_PER_DIGEST, salt: str | None = None) -> DataFrame:
     """(keys, mean, weight, low, high): centroid rows of one or more digests per group.
 
-    Equal values are counted first. A group of more than `rows_per_digest` different values is dealt out to
-    several digests by a hash of the value, so no task sorts a whole hot group; these are merged to FOLDS digests
-    at most, of which `merge_digests` makes one.
+    A group of more than `rows_per_digest` values is dealt out to several digests by the column `salt`, so no task sorts a
+    whole hot group; these are merged to FOLDS digests at most, of which `merge_digests` makes one. Without a salt, equal
+    values are counted first and dealt out by a hash of the value.
     """
     keys = list(keys)
-    points = values.groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    sizes = points.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_digest).cast("int").alias("parts"))
-    salted = null_safe_join(points, sizes, keys, "inner").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")))
+    sizes = materialize(values.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_digest).cast("int").alias("parts")), "sizes")
+    if salt:
+        points = values.select(*keys, F.col(value).alias("v"), F.lit(1).cast("bigint").alias("w"), F.col(salt).alias("s"))
+    else:
+        points = values.groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("w")).withColumn("s", F.xxhash64("v"))
+    salted = null_safe_join(points, sizes, keys, "inner").withColumn("part", F.pmod("s", F.col("parts")).cast("int"))
     order = Window.partitionBy(*keys, "part").orderBy("v")
     upto = F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, 0))
     q = (upto - F.col("w") / 2) / F.sum("w").over(Window.partitionBy(*keys, "part"))
     parts = (
-        salted.withColumn("c", _cluster(q, compression))
+        salted.select(*keys, "part", "v", "w")
+        .withColumn("c", _cluster(q, compression))
         .groupBy(*keys, "part", "c")
         .agg(
             (F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("mean"),
@@ -162,7 +182,7 @@ def certify(values: DataFrame, estimated: DataFrame, keys: Sequence[str], percen
 
 def certified_percentiles(
     values: DataFrame, keys: Sequence[str], percentiles: Sequence[float] = PERCENTILES, compression: int = COMPRESSION,
-    rank_error: float = RANK_ERROR,
+    rank_error: float = RANK_ERROR, salt: str | None = None,
 ) -> DataFrame:
     """(keys, percentile, n, estimate, rank_error, certified) over (keys, load, value).
 
@@ -172,13 +192,15 @@ def certified_percentiles(
     one rank interval; groups without values don't appear.
     """
     keys = list(keys)
-    per_load = build_digests(values, [*keys, "load"], compression=compression)
+    per_load = build_digests(values, [*keys, "load"], compression=compression, salt=salt)
     merged = merge_digests(per_load, keys, compression)
-    counted = certify(values, estimates(merged, keys, percentiles), keys, percentiles)
+    estimated = materialize(estimates(merged, keys, percentiles), "estimates")  # stored, so that its size is known before the counting pass
+    counted = certify(values, estimated, keys, percentiles)
     bound = F.greatest(F.lit(rank_error), 1 / F.col("n"))
     return counted.withColumn("certified", F.col("rank_error") <= bound)
 
 
-def stored_cells(observations: DataFrame, region_set: DataFrame) -> DataFrame:
-    """`distinct_cells` as a table, since the digests and the counting pass both read it."""
-    return materialize(distinct_cells(observations, region_set), "cells")
+def stored_cells(observations: DataFrame, region_set: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cells, groups, loads) as tables: `distinct_cells`, which the digests and the counting pass both read, and its names."""
+    loads = materialize(loads_of(observations), "loads")
+    return materialize(distinct_cells(observations, region_set, loads), "cells"), materialize(groups_of(observations, region_set), "groups"), loads

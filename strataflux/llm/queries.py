@@ -10,8 +10,9 @@ from strataflux.sources.tables import table
 
 
 def p7_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    values = digests.stored_cells(table(spark, folder, "observations"), table(spark, folder, "region_set"))
-    return digests.certified_percentiles(values, digests.GROUP)
+    cells, groups, _ = digests.stored_cells(table(spark, folder, "observations"), table(spark, folder, "region_set"))
+    rows = digests.certified_percentiles(cells, ["gid"], salt="salt").join(groups, "gid")
+    return rows.select(*digests.GROUP, "percentile", "n", "estimate", "rank_error", "certified")
 
 
 def p7_certified(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,9 +22,10 @@ def p7_certified(spark: SparkSession, folder: str) -> DataFrame:
 
 def p7_digests(spark: SparkSession, folder: str) -> DataFrame:
     """One stored digest per group and load; any set of them can be merged later."""
-    cells = digests.distinct_cells(table(spark, folder, "observations"), table(spark, folder, "region_set"))
-    keys = [*digests.GROUP, "load"]
-    return digests.pack_digests(digests.merge_digests(digests.build_digests(cells, keys), keys), keys)
+    cells, groups, loads = digests.stored_cells(table(spark, folder, "observations"), table(spark, folder, "region_set"))
+    keys = ["gid", "load"]
+    packed = digests.pack_digests(digests.merge_digests(digests.build_digests(cells, keys, salt="salt"), keys), keys)
+    return packed.join(groups, "gid").join(loads, "load").select(*digests.GROUP, "dataset_version", "n", "centroids")
 
 
 def p8_packed(spark: SparkSession, folder: str) -> DataFrame:

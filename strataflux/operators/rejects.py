@@ -1,8 +1,9 @@
 """Whole measurement files as text: every valid row and header measure loaded, every bad line with its reason.
 
-Each line is read permissively under the column list that its own file declares; the raw line stays beside
-the fields as `_corrupt_record` when it doesn't conform, and corrupt lines are then classified by quoting,
-field count and number checks, in this order.
+Each line is read permissively under the column list that its own file declares: split at blanks or commas, one double
+per column but the name. What doesn't read that way keeps its raw text in `_corrupt_record`. Only these lines are then
+classified by quoting, field count and number checks, in this order; some of them turn out legal (quoted fields,
+decimal commas) and are loaded too.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F
 DEFAULT_COLUMNS = (
     "Index", "SegId", "NVoxels", "Volume_mm3", "StructName", "normMean", "normStdDev", "normMin", "normMax", "normRange",
 )
-NUMBER = r"^[+-]?([0-9]+[.,]?[0-9]*|[.,][0-9]+)([eE][+-]?[0-9]+)?$"
 NAME_COLUMN = "StructName"
 #: a data field is a run without blanks and quotes, or whatever two quotes at its ends enclose
 FIELD = r'"[^"]*"|[^ \t"]+'
@@ -27,7 +27,9 @@ HEADER, MEASURE = r"^#[ \t]*ColHeaders(?:[ \t]+(.*))?$", r"^#[ \t]*Measure(?:[ \
 
 
 def is_number(text: Column) -> Column:
-    return F.coalesce(text.rlike(NUMBER), F.lit(False))
+    """Sign, digits with at most one point or comma, exponent; sign and exponent are optional."""
+    known = (F.translate(text, "0123456789+-.,eE", "") == "") & F.translate(text, ",", ".").try_cast("double").isNotNull()
+    return F.coalesce(known, F.lit(False))
 
 
 def as_number(text: Column) -> Column:
@@ -35,6 +37,11 @@ def as_number(text: Column) -> Column:
     return F.when(is_number(text), F.translate(text, ",", ".").try_cast("double"))
 
 
+def plain_fields(line: Column) -> Column:
+    """Runs without blanks."""
+    return F.array_remove(F.split(F.translate(line, "\t", " "), " "), "")
+
+
 def unquoted(field: Column) -> Column:
     return F.when(field.rlike(r'^".*"$'), field.substr(F.lit(2), F.length(field) - 2)).otherwise(field)
 
@@ -55,7 +62,7 @@ def tagged_lines(raw: DataFrame) -> DataFrame:
         return ~x.startswith("#") & x.rlike(r"[^ \t]")
 
     base = raw.select("file_id", "source_file", "content", lines.alias("lines"))
-    declared = F.get(F.filter("lines", lambda x: x.rlike(HEADER)), F.lit(0))
+    declared = F.get(F.filter("lines", lambda x: x.startswith("#") & x.rlike(HEADER)), F.lit(0))
     subcortical = F.coalesce(F.lower("source_file").rlike(r"aseg[^/]*$"), F.lit(False))
     head = F.lower(F.substring(F.coalesce("content", F.lit("")), 1, 4000))
     named = F.coalesce(F.lower(F.substring_index("source_file", "/", -1)).rlike("aparc|aseg"), F.lit(False))
@@ -79,8 +86,8 @@ def tagged_lines(raw: DataFrame) -> DataFrame:
 
 def read_permissively(raw: DataFrame) -> DataFrame:
     """Every data and measure line of every file: file_id, line_number, kind, fields, cols, `_corrupt_record`
-    (the raw line, where it doesn't conform) and failure_code; a file without a readable table is one row
-    with line_number 0 and kind `file`.
+    (the raw line, where the plain read doesn't fit it) and failure_code, null for what is loaded; a file without a
+    readable table is one row with line_number 0 and kind `file`.
 
     Null content counts as empty. Blank lines and comments carry nothing. A line of any length is one line;
     only \\n and \\r\\n end it. Repeated deliveries of a file are files of their own. Of several ColHeaders
@@ -92,14 +99,23 @@ def read_permissively(raw: DataFrame) -> DataFrame:
         F.lit(None).cast("array<string>").alias("cols"), F.lit(None).cast("string").alias("_corrupt_record"), F.col("file_code").alias("failure_code"),
     )
     lines = files.filter("file_code IS NULL").select("file_id", "cols", F.posexplode("lines").alias("i", "line"))
-    kind = F.when(F.col("line").rlike(MEASURE), "measure").when(~F.col("line").startswith("#") & F.col("line").rlike(r"[^ \t]"), "row")
+    comment = F.col("line").startswith("#")
+    kind = F.when(comment & F.col("line").rlike(MEASURE), "measure").when(~comment & F.col("line").rlike(r"[^ \t]"), "row")
     body = F.when(kind == "measure", F.regexp_extract("line", MEASURE, 1)).otherwise(F.col("line"))
-    parsed = (
-        lines.withColumns({"kind": kind, "body": body})
-        .filter("kind IS NOT NULL")
-        .withColumn("quotes_ok", F.when(F.col("kind") == "row", F.col("body").rlike(LEGAL_ROW)).otherwise(F.col("body").rlike(LEGAL_MEASURE)))
-        .withColumn("fields", F.when(F.col("kind") == "row", F.transform(fields_of(F.col("body")), unquoted)).otherwise(measure_fields(F.col("body"))))
-    )
+    is_row, quoted = F.col("kind") == "row", F.col("body").contains('"')
+    split = F.when(is_row, plain_fields(F.col("body"))).otherwise(F.transform(F.split("body", ","), lambda x: F.btrim(x, F.lit(" \t"))))
+    numbers = F.transform(F.slice("plain", F.lit(2), F.size("plain")), as_number)
+    # one double per column but the name's, which is null here; forall is null, not true, where a cell has none
+    typed = F.forall(F.zip_with("cols", "plain", lambda c, f: (c == NAME_COLUMN) | is_number(f)), lambda ok: F.coalesce(ok, F.lit(False)))
+    conforms = ~quoted & F.when(is_row, (F.size("plain") == F.size("cols")) & typed).otherwise((F.get("plain", F.lit(0)) != "") & F.exists(numbers, lambda x: x.isNotNull()))
+    read = lines.withColumns({"kind": kind, "body": body}).filter("kind IS NOT NULL").withColumn("plain", split)
+    permissive = read.withColumn("_corrupt_record", F.when(~F.coalesce(conforms, F.lit(False)), F.col("line")))
+
+    corrupt = F.col("_corrupt_record").isNotNull()
+    # without quotes the plain fields are the legal ones
+    exact = F.when(is_row, F.transform(fields_of(F.col("body")), unquoted)).otherwise(measure_fields(F.col("body")))
+    legal = F.when(is_row, F.col("body").rlike(LEGAL_ROW)).otherwise(F.col("body").rlike(LEGAL_MEASURE))
+    parsed = permissive.withColumns({"fields": F.when(quoted, exact).otherwise(F.col("plain")), "quotes_ok": F.when(quoted, legal).otherwise(F.lit(True))})
     numbers_ok = F.forall(
         F.zip_with("cols", "fields", lambda c, f: (c == NAME_COLUMN) | is_number(f)), lambda ok: F.coalesce(ok, F.lit(False))
     )
@@ -111,11 +127,8 @@ def read_permissively(raw: DataFrame) -> DataFrame:
     first_empty = F.coalesce(F.get("fields", F.lit(0)), F.lit("")) == ""
     has_number = F.exists(F.slice("fields", F.lit(2), F.size("fields")), is_number)
     of_measure = F.when(first_empty | ~has_number, "MALFORMED_MEASURE")
-    code = F.when(~F.col("quotes_ok"), "BROKEN_QUOTING").when(F.col("kind") == "row", of_row).otherwise(of_measure)
-    out = parsed.withColumn("failure_code", code).select(
-        "file_id", (F.col("i") + 1).alias("line_number"), "kind", "fields", "cols",
-        F.when(F.col("failure_code").isNotNull(), F.col("line")).alias("_corrupt_record"), "failure_code",
-    )
+    code = F.when(corrupt, F.when(~F.col("quotes_ok"), "BROKEN_QUOTING").when(is_row, of_row).otherwise(of_measure))
+    out = parsed.select("file_id", (F.col("i") + 1).alias("line_number"), "kind", "fields", "cols", "_corrupt_record", code.alias("failure_code"))
     return whole.unionByName(out)
 
 

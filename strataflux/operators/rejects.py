@@ -56,10 +56,10 @@ def measure_fields(body: Column) -> Column:
 
 def tagged_lines(raw: DataFrame) -> DataFrame:
     """One row per file with its line list and column list, and the code of files that have no readable table."""
-    lines = F.split(F.coalesce("content", F.lit("")), "\r?\n")
+    lines = F.split(F.replace(F.coalesce("content", F.lit("")), F.lit("\r\n"), F.lit("\n")), "\n")
 
     def is_data(x: Column) -> Column:
-        return ~x.startswith("#") & x.rlike(r"[^ \t]")
+        return ~x.startswith("#") & (F.btrim(x, F.lit(" \t")) != "")
 
     base = raw.select("file_id", "source_file", "content", lines.alias("lines"))
     declared = F.get(F.filter("lines", lambda x: x.startswith("#") & x.rlike(HEADER)), F.lit(0))
@@ -93,23 +93,29 @@ def read_permissively(raw: DataFrame) -> DataFrame:
     only \\n and \\r\\n end it. Repeated deliveries of a file are files of their own. Of several ColHeaders
     lines the first one holds.
     """
-    files = tagged_lines(raw)
-    whole = files.filter("file_code IS NOT NULL").select(
-        "file_id", F.lit(0).alias("line_number"), F.lit("file").alias("kind"), F.lit(None).cast("array<string>").alias("fields"),
-        F.lit(None).cast("array<string>").alias("cols"), F.lit(None).cast("string").alias("_corrupt_record"), F.col("file_code").alias("failure_code"),
+    whole = F.col("file_code").isNotNull()
+    lines = tagged_lines(raw).select(
+        "file_id", "file_code", F.when(~whole, F.col("cols")).alias("cols"), F.array_position("cols", NAME_COLUMN).alias("name_at"),
+        F.posexplode(F.when(whole, F.array(F.lit(""))).otherwise(F.col("lines"))).alias("i", "line"),
     )
-    lines = files.filter("file_code IS NULL").select("file_id", "cols", F.posexplode("lines").alias("i", "line"))
     comment = F.col("line").startswith("#")
-    kind = F.when(comment & F.col("line").rlike(MEASURE), "measure").when(~comment & F.col("line").rlike(r"[^ \t]"), "row")
+    kind = (
+        F.when(whole, "file").when(comment & F.col("line").rlike(MEASURE), "measure")
+        .when(~comment & (F.btrim("line", F.lit(" \t")) != ""), "row")
+    )
     body = F.when(kind == "measure", F.regexp_extract("line", MEASURE, 1)).otherwise(F.col("line"))
     is_row, quoted = F.col("kind") == "row", F.col("body").contains('"')
     split = F.when(is_row, plain_fields(F.col("body"))).otherwise(F.transform(F.split("body", ","), lambda x: F.btrim(x, F.lit(" \t"))))
     numbers = F.transform(F.slice("plain", F.lit(2), F.size("plain")), as_number)
-    # one double per column but the name's, which is null here; forall is null, not true, where a cell has none
-    typed = F.forall(F.zip_with("cols", "plain", lambda c, f: (c == NAME_COLUMN) | is_number(f)), lambda ok: F.coalesce(ok, F.lit(False)))
+    # one double per column but the name's; the cast also reads words like NaN, which the characters rule out
+    doubles = F.col("plain").try_cast("array<double>")
+    name = F.coalesce(F.get("plain", F.col("name_at").cast("int") - 1), F.lit(""))
+    characters = F.translate(F.array_join(F.array_remove("plain", name), ""), "0123456789+-.eE", "") == ""
+    nameless = F.when(F.col("name_at") > 0, F.get(doubles, F.col("name_at").cast("int") - 1).isNull().cast("int")).otherwise(F.lit(0))
+    typed = characters & (F.size(F.array_compact(doubles)) + nameless == F.size("plain"))
     conforms = ~quoted & F.when(is_row, (F.size("plain") == F.size("cols")) & typed).otherwise((F.get("plain", F.lit(0)) != "") & F.exists(numbers, lambda x: x.isNotNull()))
     read = lines.withColumns({"kind": kind, "body": body}).filter("kind IS NOT NULL").withColumn("plain", split)
-    permissive = read.withColumn("_corrupt_record", F.when(~F.coalesce(conforms, F.lit(False)), F.col("line")))
+    permissive = read.withColumn("_corrupt_record", F.when((F.col("kind") != "file") & ~F.coalesce(conforms, F.lit(False)), F.col("line")))
 
     corrupt = F.col("_corrupt_record").isNotNull()
     # without quotes the plain fields are the legal ones
@@ -128,8 +134,12 @@ def read_permissively(raw: DataFrame) -> DataFrame:
     has_number = F.exists(F.slice("fields", F.lit(2), F.size("fields")), is_number)
     of_measure = F.when(first_empty | ~has_number, "MALFORMED_MEASURE")
     code = F.when(corrupt, F.when(~F.col("quotes_ok"), "BROKEN_QUOTING").when(is_row, of_row).otherwise(of_measure))
-    out = parsed.select("file_id", (F.col("i") + 1).alias("line_number"), "kind", "fields", "cols", "_corrupt_record", code.alias("failure_code"))
-    return whole.unionByName(out)
+    verdict = F.struct(
+        "file_id", F.when(whole, F.lit(0)).otherwise(F.col("i") + 1).alias("line_number"), "kind", F.when(~whole, F.col("fields")).alias("fields"), "cols",
+        "_corrupt_record", F.coalesce("file_code", code).alias("failure_code"),
+    )
+    # a generator, since a filter on the code would otherwise be moved below all of this and compute it again
+    return parsed.select(F.explode(F.array(verdict)).alias("r")).select("r.*")
 
 
 def rejected(lines: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 The cost of a sequence is linear in its tokens plus quadratic in the tokens of each text in it. Texts
 are taken in descending size and go to the cheapest sequence that still has room (one that they fill
 exactly comes first), so sequences fill up evenly and the small texts at the end close the gaps. Texts are
-dealt out to shards of a few thousand by a hash of id and row, so that rows without an id or with the same
+dealt out to shards of a few thousand by a hash of id, size and number of the copy, so that rows without an id or with the same
 one spread too; each shard is packed in one task, and no shard grows with the data.
 """
 
@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflux.llm.tokens import VOCABULARY, token_count
+from strataflux.llm.tokens import VOCABULARY, numbered_copies, token_count
 from strataflux.session import materialize
 
 TEXTS_PER_SHARD = 4_096
@@ -68,8 +68,7 @@ def pack(sizes: DataFrame, limits: DataFrame, texts_per_shard: int = TEXTS_PER_S
 
     Only a text above the capacity is split: into pieces of exactly the capacity, each a full container, and
     a remainder that is packed like a text. Texts without tokens take no room and get container null.
-    Repeated rows are packed as often as they occur; a null doc_id is packed like any other. `sizes` must be a
-    stored table, as `token_sizes` gives it: a text's shard depends on its place in the table. Limits with a
+    Repeated rows are packed as often as they occur; a null doc_id is packed like any other. Limits with a
     null or non-positive capacity raise an error, as do more than `max_limits` of them: the limits are a
     parameter table that is read by the driver. Empty inputs give an empty result.
     """
@@ -85,8 +84,8 @@ def pack(sizes: DataFrame, limits: DataFrame, texts_per_shard: int = TEXTS_PER_S
     options = F.array(
         *[F.struct(F.lit(r.limit_name).alias("limit_name"), F.lit(int(r.capacity_tokens)).alias("capacity_tokens")) for r in parameters]
     )
-    shard = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(shards)).cast("bigint")
-    rows = sizes.select("doc_id", "n_tokens", shard.alias("shard")).select("doc_id", "n_tokens", "shard", F.explode(options).alias("o")).select(
+    shard = F.pmod(F.xxhash64("doc_id", "n_tokens", "copy"), F.lit(shards)).cast("bigint")
+    rows = numbered_copies(sizes, ["doc_id", "n_tokens"]).select("doc_id", "n_tokens", shard.alias("shard")).select("doc_id", "n_tokens", "shard", F.explode(options).alias("o")).select(
         "doc_id", "n_tokens", "shard", "o.*"
     )
     empty = rows.filter("n_tokens = 0").select(

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: where the vocabulary file lies on every node; it is read, never copied
@@ -35,3 +35,10 @@ def token_count(text: Column, vocabulary: str = VOCABULARY) -> Column:
             yield pd.Series([len(encode(x)) if x else 0 for x in texts], dtype="int32")
 
     return count(text)
+
+
+def numbered_copies(sizes: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows with `copy`, 1 and up, over rows that are equal in `columns`; counted before they travel. A hash that takes
+    the copy in spreads equal rows, and doesn't depend on how the table is split."""
+    counted = sizes.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    return counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))

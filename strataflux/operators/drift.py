@@ -28,35 +28,49 @@ def tag_name(tag: Column) -> Column:
     return F.when(tag == 2, "text").when(tag == 1, "decimal").otherwise("int")
 
 
-def distinct_files(parsed: DataFrame) -> DataFrame:
+def _one_of_each(rows: DataFrame, columns: list[str]) -> DataFrame:
     """One row per file_id: rows with the same file_id are one file, the earliest received is kept."""
-    content = F.struct("received_at", "stream_id", "seq", "col_headers", F.map_entries("header_measures").alias("m"), "data_rows")
-    kept = parsed.groupBy("file_id").agg(F.min_by(content, F.struct("received_at", "seq", F.xxhash64("col_headers"))).alias("f"))
-    return kept.select(
-        "file_id", "f.stream_id", "f.seq", "f.col_headers", F.map_from_entries("f.m").alias("header_measures"), "f.data_rows"
-    )
+    kept = rows.groupBy("file_id").agg(F.min_by(F.struct(*columns), F.struct("received_at", "seq", "headers")).alias("f"))
+    return kept.select("file_id", "f.*")
+
+
+def distinct_files(parsed: DataFrame) -> DataFrame:
+    """Whole files, each once."""
+    entries = F.map_entries("header_measures").alias("m")
+    rows = parsed.select("file_id", "received_at", "stream_id", "seq", F.xxhash64("col_headers").alias("headers"), "col_headers", entries, "data_rows")
+    kept = _one_of_each(rows, ["stream_id", "seq", "col_headers", "m", "data_rows"])
+    return kept.select("file_id", "stream_id", "seq", "col_headers", F.map_from_entries("m").alias("header_measures"), "data_rows")
 
 
-def file_schemas(files: DataFrame) -> DataFrame:
-    """(file_id, stream_id, seq, columns, measures); both arrays of struct<field, place, tag>.
+def file_schemas(parsed: DataFrame) -> DataFrame:
+    """(file_id, stream_id, seq, columns, measures), each file once; both arrays of struct<field, place, tags>, the tagged
+    union of the path in this file.
 
-    A column's tag is the widest of its cells (text over decimal over int), int when it has none.
+    `tags` are the alternatives of its cells in order, int alone where it has none; tags are taken before rows travel.
     """
     none = F.array().cast("array<array<string>>")
     rows = F.coalesce("data_rows", none)
     headers = F.coalesce("col_headers", F.array().cast("array<string>"))
+    integer = F.array(F.lit(0))
+
+    def union(tags: Column) -> Column:
+        found = F.array_sort(F.array_distinct(F.array_compact(tags)))
+        return F.when(F.size(found) > 0, found).otherwise(integer)
 
     def column(name: Column, place: Column) -> Column:
-        widest = F.array_max(F.transform(rows, lambda r: type_tag(F.get(r, place))))
-        return F.struct(name.alias("field"), place.alias("place"), F.coalesce(widest, F.lit(0)).alias("tag"))
+        return F.struct(name.alias("field"), place.alias("place"), union(F.transform(rows, lambda r: type_tag(F.get(r, place)))).alias("tags"))
 
     entries = F.coalesce(F.map_entries("header_measures"), F.array().cast("array<struct<key:string,value:string>>"))
-    measures = F.transform(
-        entries, lambda e: F.struct(e["key"].alias("field"), F.lit(-1).alias("place"), F.coalesce(type_tag(e["value"]), F.lit(0)).alias("tag"))
-    )
-    return files.select(
-        "file_id", "stream_id", "seq", F.transform(headers, column).alias("columns"), measures.alias("measures")
+    measures = F.transform(entries, lambda e: F.struct(e["key"].alias("field"), F.lit(-1).alias("place"), union(F.array(type_tag(e["value"]))).alias("tags")))
+    tagged = parsed.select(
+        "file_id", "received_at", "stream_id", "seq", F.xxhash64("col_headers").alias("headers"), F.transform(headers, column).alias("columns"), measures.alias("measures")
     )
+    return _one_of_each(tagged, ["stream_id", "seq", "columns", "measures"])
+
+
+def widest(union: Column) -> Column:
+    """The type of a path in a file: the widest of its alternatives."""
+    return F.array_max(union)
 
 
 def _changes(new: Column, old: Column, part: str) -> Column:
@@ -70,7 +84,7 @@ def _changes(new: Column, old: Column, part: str) -> Column:
     if part == "column":
 
         def partner(x: Column, others: Column) -> Column:
-            return F.filter(others, lambda y: (y["place"] == x["place"]) & (y["tag"] == x["tag"]))
+            return F.filter(others, lambda y: (y["place"] == x["place"]) & (widest(y["tags"]) == widest(x["tags"])))
 
     else:
         single = (F.size(gone) == 1) & (F.size(come) == 1)
@@ -92,7 +106,7 @@ def _changes(new: Column, old: Column, part: str) -> Column:
     )
     added = F.transform(F.filter(come, lambda x: F.size(partner(x, gone)) == 0), lambda x: entry("added", x["field"], blank))
     retyped = F.transform(
-        F.filter(new, lambda x: F.exists(old, lambda y: (y["field"] == x["field"]) & (y["tag"] != x["tag"]))),
+        F.filter(new, lambda x: F.exists(old, lambda y: (y["field"] == x["field"]) & (widest(y["tags"]) != widest(x["tags"])))),
         lambda x: entry("type_changed", x["field"], blank),
     )
     return F.concat(left, added, retyped)
@@ -106,7 +120,7 @@ def schema_changes(parsed: DataFrame) -> DataFrame:
     stream_id form a stream of their own. An empty input gives an empty result; extra columns are ignored.
     """
     schemas = materialize(
-        file_schemas(distinct_files(parsed)).withColumn(
+        file_schemas(parsed).withColumn(
             "bucket", F.coalesce(F.floor(F.col("seq") / FILES_PER_BUCKET), F.lit(-1))
         ),
         "schemas",
@@ -121,19 +135,13 @@ def schema_changes(parsed: DataFrame) -> DataFrame:
 
 
 def fused_schema(parsed: DataFrame) -> DataFrame:
-    """(part_of, field, alternatives, n_files, first_file): the fused schema of all files, one row per path."""
-    schemas = file_schemas(distinct_files(parsed))
-    paths = schemas.select(
-        "file_id",
-        F.explode(
-            F.concat(
-                F.transform("columns", lambda x: F.struct(F.lit("column").alias("part_of"), x["field"].alias("field"), x["tag"].alias("tag"))),
-                F.transform("measures", lambda x: F.struct(F.lit("measure").alias("part_of"), x["field"].alias("field"), x["tag"].alias("tag"))),
-            )
-        ).alias("p"),
-    ).select("file_id", "p.*")
+    """(part_of, field, alternatives, n_files, first_file): the fused schema of all files, one row per path, with every
+    alternative that a cell of any file has."""
+    path = lambda part: F.transform(f"{part}s", lambda x: F.struct(F.lit(part).alias("part_of"), x["field"].alias("field"), x["tags"].alias("tags")))
+    paths = file_schemas(parsed).select("file_id", F.explode(F.concat(path("column"), path("measure"))).alias("p")).select("file_id", "p.*")
+    has = lambda tag, name: F.when(F.max(F.array_contains("tags", tag)), F.lit(name))
     return paths.groupBy("part_of", "field").agg(
-        F.array_join(F.array_sort(F.collect_set(tag_name(F.col("tag")))), "|").alias("alternatives"),
+        F.array_join(F.array_compact(F.array(has(1, "decimal"), has(0, "int"), has(2, "text"))), "|").alias("alternatives"),
         F.count(F.lit(1)).alias("n_files"),
         F.min("file_id").alias("first_file"),
     )

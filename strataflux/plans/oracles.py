@@ -110,15 +110,27 @@ heads AS (SELECT file_id, unnest(col_headers) AS field, generate_subscripts(col_
 rows_ AS (SELECT file_id, unnest(data_rows) AS r FROM f),
 all_ AS (SELECT h.file_id, 'column' AS part_of, h.field, r.r[h.place] AS c FROM heads h LEFT JOIN rows_ r USING (file_id)
          UNION ALL SELECT file_id, 'measure', unnest(map_keys(header_measures)), unnest(map_values(header_measures)) FROM f),
-typed AS (SELECT file_id, part_of, field,
-                 coalesce(max(CASE WHEN regexp_full_match(c, '[0-9]+') THEN 0 WHEN regexp_full_match(c, '[0-9]+\\.[0-9]*|\\.[0-9]+') THEN 1
-                                   WHEN c IS NOT NULL THEN 2 END), 0) AS tag FROM all_ GROUP BY ALL)
-SELECT part_of, field, string_agg(DISTINCT CASE tag WHEN 2 THEN 'text' WHEN 1 THEN 'decimal' ELSE 'int' END, '|'
-         ORDER BY CASE tag WHEN 2 THEN 'text' WHEN 1 THEN 'decimal' ELSE 'int' END) AS alternatives,
-       count(*) AS n_files, min(file_id) AS first_file
-FROM typed GROUP BY part_of, field
+typed AS (SELECT DISTINCT file_id, part_of, field,
+                 CASE WHEN regexp_full_match(c, '[0-9]+') THEN 'int' WHEN regexp_full_match(c, '[0-9]+\\.[0-9]*|\\.[0-9]+') THEN 'decimal'
+                      WHEN c IS NOT NULL THEN 'text' END AS t FROM all_),
+held AS (SELECT file_id, part_of, field, coalesce(t, CASE WHEN count(t) OVER (PARTITION BY file_id, part_of, field) = 0 THEN 'int' END) AS t FROM typed)
+SELECT part_of, field, string_agg(DISTINCT t, '|' ORDER BY t) AS alternatives, count(DISTINCT file_id) AS n_files, min(file_id) AS first_file
+FROM held GROUP BY part_of, field
 """
 
+SQL["p3_consistent_table"] = r"""
+WITH f AS (SELECT DISTINCT ON (file_id) * FROM parsed_files ORDER BY file_id, received_at),
+rows_ AS (SELECT file_id, col_headers, unnest(data_rows) AS r, generate_subscripts(data_rows, 1) AS row_no FROM f),
+cells AS (SELECT file_id, 'column' AS part_of, row_no, col_headers, unnest(r) AS cell, generate_subscripts(r, 1) AS i FROM rows_),
+all_ AS (SELECT file_id, part_of, row_no, coalesce(col_headers[i], '#' || (i - 1)) AS field, cell FROM cells
+         UNION ALL SELECT file_id, 'measure', 0, unnest(map_keys(header_measures)), unnest(map_values(header_measures)) FROM f),
+t AS (SELECT *, CASE WHEN regexp_full_match(cell, '[0-9]+') THEN 'int' WHEN regexp_full_match(cell, '[0-9]+\.[0-9]*|\.[0-9]+') THEN 'decimal' WHEN cell IS NOT NULL THEN 'text' END AS type_tag FROM all_)
+SELECT file_id, part_of, row_no, field, type_tag, CASE WHEN type_tag = 'int' THEN cell END AS as_int, CASE WHEN type_tag = 'decimal' THEN cell::DOUBLE END AS as_decimal,
+       CASE WHEN type_tag = 'text' THEN cell END AS as_text,
+       try_cast(nullif(regexp_extract(cell, '^[^0-9A-Za-z.-]?(-?[0-9]+\.?[0-9]*|-?\.[0-9]+)', 1), '') AS DOUBLE) AS number
+FROM t
+""".replace("\\\\", "\\")
+
 #: lines of raw_stats with their kind, fields and the columns that hold for their file
 LINES = r"""
 l AS (SELECT file_id, source_file, content, unnest(regexp_split_to_array(content, '\r?\n')) AS line,
@@ -240,6 +252,46 @@ s AS (SELECT dataset_version, column_name, count(*) AS n_rows, count(*) FILTER (
 SELECT s.*, shown AS top_value, round(k / (n_rows - n_null), 6) AS top_share FROM s LEFT JOIN t USING (dataset_version, column_name)
 """
 
+#: the hierarchy of expressions over the distinct text values, and the one chosen for each by description length
+INDUCED = rf"""
+{PROFILE},
+v AS (SELECT dataset_version AS load, column_name, txt, count(*) AS k FROM cells WHERE txt IS NOT NULL GROUP BY ALL),
+shaped AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(txt, '[a-z]', 'a', 'g'), '[A-Z]', 'A', 'g'), '[0-9]', 'd', 'g') AS n1 FROM v),
+leaves AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(n1, 'd+', 'd', 'g'), 'a+', 'a', 'g'), 'A+', 'A', 'g') AS n2,
+                  (length(n1) - length(replace(n1, 'd', ''))) * 3.33::DOUBLE + (length(n1) - length(replace(replace(n1, 'a', ''), 'A', ''))) * 4.71::DOUBLE AS opened FROM shaped),
+bits AS (SELECT *, greatest(length(txt), 1) * 8.0::DOUBLE AS b0, opened + length(n2) * 2 * log2(length(txt) + 1.0::DOUBLE) AS b2, length(txt) * 8.0::DOUBLE + 8 AS b3 FROM leaves),
+l1 AS (SELECT load, column_name, n1, n2, sum(b0) AS below, length(n1) * 8 + sum(opened) AS own, sum(b2) AS b2, sum(b3) AS b3 FROM bits GROUP BY load, column_name, n1, n2),
+l2 AS (SELECT load, column_name, n2, sum(least(own, below)) AS below, length(n2) * 16 + sum(b2) AS own, sum(b3) AS b3 FROM l1 GROUP BY load, column_name, n2),
+l3 AS (SELECT load, column_name, sum(least(own, below)) AS below, sum(b3) + 16 AS own FROM l2 GROUP BY load, column_name),
+levelled AS (
+  SELECT b.load, b.column_name, b.txt, b.n1, b.n2, b.k, CASE WHEN l3.own <= l3.below THEN 3 WHEN l2.own <= l2.below THEN 2 WHEN l1.own <= l1.below THEN 1 ELSE 0 END AS level
+  FROM bits b JOIN l3 ON l3.load IS NOT DISTINCT FROM b.load AND l3.column_name = b.column_name
+  JOIN l2 ON l2.load IS NOT DISTINCT FROM b.load AND l2.column_name = b.column_name AND l2.n2 = b.n2
+  JOIN l1 ON l1.load IS NOT DISTINCT FROM b.load AND l1.column_name = b.column_name AND l1.n1 = b.n1),
+chosen AS (SELECT *, CASE level WHEN 3 THEN '.*' WHEN 2 THEN n2 WHEN 1 THEN n1 ELSE txt END AS node FROM levelled)
+"""
+SPECIAL = r"regexp_replace(node, '([\\.\[\]{}()*+?^$|])', '\\\1', 'g')".replace("\\\\", "\\")
+SQL["p5_expressions"] = rf"""
+WITH {INDUCED},
+e AS (SELECT c.*, CASE WHEN value_pattern IS NOT NULL AND NOT regexp_full_match(txt, value_pattern) THEN k ELSE 0 END AS bad FROM chosen c LEFT JOIN profile_baseline b USING (column_name)),
+g AS (SELECT load, column_name, level, node, count(*) AS n_values, sum(k)::BIGINT AS n_rows, sum(bad)::BIGINT AS n_nonconforming FROM e GROUP BY load, column_name, level, node),
+m AS (SELECT *, CASE WHEN level = 2 THEN '+' ELSE '' END AS many, {SPECIAL} AS special FROM g)
+SELECT load, column_name, level, CASE WHEN level = 3 THEN '.*' WHEN level = 0 THEN special
+         ELSE replace(replace(replace(translate(special, 'Aad', chr(1) || chr(2) || chr(3)), chr(1), '[A-Z]' || many), chr(2), '[a-z]' || many), chr(3), '\d' || many) END AS expression,
+       n_values, n_rows, n_nonconforming FROM m
+"""
+SQL["p5_coverage"] = rf"""
+WITH {INDUCED},
+loads AS (SELECT load, column_name, lag(load) OVER (PARTITION BY column_name ORDER BY load) AS previous_load FROM (SELECT DISTINCT load, column_name FROM chosen) t),
+sets AS (SELECT DISTINCT load AS previous_load, column_name, level, node FROM chosen),
+hits AS (SELECT c.load, c.column_name, l.previous_load, c.txt, c.k,
+  EXISTS (SELECT 1 FROM sets s WHERE s.previous_load = l.previous_load AND s.column_name = c.column_name
+          AND s.node = CASE s.level WHEN 3 THEN '.*' WHEN 2 THEN c.n2 WHEN 1 THEN c.n1 ELSE c.txt END) AS hit
+  FROM chosen c JOIN loads l ON l.load = c.load AND l.column_name = c.column_name WHERE l.previous_load IS NOT NULL)
+SELECT load, column_name, previous_load, sum(k)::BIGINT AS n_rows, sum(CASE WHEN hit THEN k ELSE 0 END)::BIGINT AS n_covered, sum(CASE WHEN hit THEN k ELSE 0 END) / sum(k) AS coverage
+FROM hits GROUP BY load, column_name, previous_load
+"""
+
 ORPHANS = """
 parents AS (
   SELECT 'subjects' AS ref_table, lower(trim(subject_id)) AS ref_id, registered_at AS since, withdrawn_at AS until FROM subjects

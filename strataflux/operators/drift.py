@@ -135,13 +135,16 @@ def schema_changes(parsed: DataFrame) -> DataFrame:
 
 
 def fused_schema(parsed: DataFrame) -> DataFrame:
-    """(part_of, field, alternatives, n_files, first_file): the fused schema of all files, one row per path, with every
-    alternative that a cell of any file has."""
+    """(part_of, field, alternatives, branches, n_files, first_file): the fused schema of all files, one row per path.
+
+    `alternatives` are the types that the path has in files, `branches` those of its cells, which the consistent table
+    parts.
+    """
     path = lambda part: F.transform(f"{part}s", lambda x: F.struct(F.lit(part).alias("part_of"), x["field"].alias("field"), x["tags"].alias("tags")))
     paths = file_schemas(parsed).select("file_id", F.explode(F.concat(path("column"), path("measure"))).alias("p")).select("file_id", "p.*")
-    has = lambda tag, name: F.when(F.max(F.array_contains("tags", tag)), F.lit(name))
+    listed = lambda holds: F.array_join(F.array_compact(F.array(*[F.when(F.max(holds(tag)), F.lit(name)) for tag, name in ((1, "decimal"), (0, "int"), (2, "text"))])), "|")
     return paths.groupBy("part_of", "field").agg(
-        F.array_join(F.array_compact(F.array(has(1, "decimal"), has(0, "int"), has(2, "text"))), "|").alias("alternatives"),
+        listed(lambda tag: widest(F.col("tags")) == tag).alias("alternatives"), listed(lambda tag: F.array_contains("tags", tag)).alias("branches"),
         F.count(F.lit(1)).alias("n_files"),
         F.min("file_id").alias("first_file"),
     )

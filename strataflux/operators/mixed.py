@@ -245,6 +245,15 @@ def results_table(fits: DataFrame) -> DataFrame:
     return tested.groupBy(*head).agg(*cells)
 
 
+def family_sizes(fits: DataFrame) -> DataFrame:
+    """(term, n_tests, n_regions, converged_share): tests that enter the correction of each family; fits that didn't converge don't."""
+    families = fits.filter(F.col("term").isin(PRIMARY, *SECONDARY))
+    return families.groupBy("term").agg(
+        F.count_if(F.col("converged") & F.col("p_value").isNotNull()).alias("n_tests"), F.count(F.lit(1)).alias("n_regions"),
+        F.avg(F.col("converged").cast("double")).alias("converged_share"),
+    )
+
+
 def compare_arms(primary: DataFrame, other: DataFrame, alpha: float = 0.05) -> DataFrame:
     """(region, measure_type, estimate, estimate_other, difference, direction_changed, significance_changed, comparable) of two result tables."""
     right = other.select(F.col("region").alias("__r"), F.col("measure_type").alias("__m"), F.col("estimate").alias("estimate_other"), F.col("q_value").alias("q_other"), F.col("converged").alias("c_other"))

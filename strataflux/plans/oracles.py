@@ -113,9 +113,12 @@ all_ AS (SELECT h.file_id, 'column' AS part_of, h.field, r.r[h.place] AS c FROM
 typed AS (SELECT DISTINCT file_id, part_of, field,
                  CASE WHEN regexp_full_match(c, '[0-9]+') THEN 'int' WHEN regexp_full_match(c, '[0-9]+\\.[0-9]*|\\.[0-9]+') THEN 'decimal'
                       WHEN c IS NOT NULL THEN 'text' END AS t FROM all_),
-held AS (SELECT file_id, part_of, field, coalesce(t, CASE WHEN count(t) OVER (PARTITION BY file_id, part_of, field) = 0 THEN 'int' END) AS t FROM typed)
-SELECT part_of, field, string_agg(DISTINCT t, '|' ORDER BY t) AS alternatives, count(DISTINCT file_id) AS n_files, min(file_id) AS first_file
-FROM held GROUP BY part_of, field
+held AS (SELECT file_id, part_of, field, coalesce(t, CASE WHEN count(t) OVER (PARTITION BY file_id, part_of, field) = 0 THEN 'int' END) AS t FROM typed),
+per_file AS (SELECT file_id, part_of, field, max(t) FILTER (t IS NOT NULL) AS any_t, bool_or(t = 'text') AS is_text, bool_or(t = 'decimal') AS is_decimal FROM held GROUP BY ALL),
+wide AS (SELECT part_of, field, string_agg(DISTINCT w, '|' ORDER BY w) AS alternatives
+         FROM (SELECT part_of, field, CASE WHEN is_text THEN 'text' WHEN is_decimal THEN 'decimal' ELSE 'int' END AS w FROM per_file) t GROUP BY part_of, field)
+SELECT part_of, field, any_value(alternatives) AS alternatives, string_agg(DISTINCT t, '|' ORDER BY t) AS branches, count(DISTINCT file_id) AS n_files, min(file_id) AS first_file
+FROM held JOIN wide USING (part_of, field) GROUP BY part_of, field
 """
 
 SQL["p3_consistent_table"] = r"""
@@ -125,11 +128,11 @@ cells AS (SELECT file_id, 'column' AS part_of, row_no, col_headers, unnest(r) AS
 all_ AS (SELECT file_id, part_of, row_no, coalesce(col_headers[i], '#' || (i - 1)) AS field, cell FROM cells
          UNION ALL SELECT file_id, 'measure', 0, unnest(map_keys(header_measures)), unnest(map_values(header_measures)) FROM f),
 t AS (SELECT *, CASE WHEN regexp_full_match(cell, '[0-9]+') THEN 'int' WHEN regexp_full_match(cell, '[0-9]+\.[0-9]*|\.[0-9]+') THEN 'decimal' WHEN cell IS NOT NULL THEN 'text' END AS type_tag FROM all_)
-SELECT file_id, part_of, row_no, field, type_tag, CASE WHEN type_tag = 'int' THEN cell END AS as_int, CASE WHEN type_tag = 'decimal' THEN cell::DOUBLE END AS as_decimal,
+SELECT file_id, part_of, row_no, field, type_tag, CASE WHEN type_tag = 'int' THEN cell::DECIMAL(38, 0) END AS as_int, CASE WHEN type_tag = 'decimal' THEN cell::DOUBLE END AS as_decimal,
        CASE WHEN type_tag = 'text' THEN cell END AS as_text,
        try_cast(nullif(regexp_extract(cell, '^[^0-9A-Za-z.-]?(-?[0-9]+\.?[0-9]*|-?\.[0-9]+)', 1), '') AS DOUBLE) AS number
 FROM t
-""".replace("\\\\", "\\")
+"""
 
 #: lines of raw_stats with their kind, fields and the columns that hold for their file
 LINES = r"""
@@ -270,7 +273,7 @@ levelled AS (
   JOIN l1 ON l1.load IS NOT DISTINCT FROM b.load AND l1.column_name = b.column_name AND l1.n1 = b.n1),
 chosen AS (SELECT *, CASE level WHEN 3 THEN '.*' WHEN 2 THEN n2 WHEN 1 THEN n1 ELSE txt END AS node FROM levelled)
 """
-SPECIAL = r"regexp_replace(node, '([\\.\[\]{}()*+?^$|])', '\\\1', 'g')".replace("\\\\", "\\")
+SPECIAL = r"regexp_replace(node, '([\\.\[\]{}()*+?^$|])', '\\\1', 'g')"
 SQL["p5_expressions"] = rf"""
 WITH {INDUCED},
 e AS (SELECT c.*, CASE WHEN value_pattern IS NOT NULL AND NOT regexp_full_match(txt, value_pattern) THEN k ELSE 0 END AS bad FROM chosen c LEFT JOIN profile_baseline b USING (column_name)),

@@ -112,6 +112,11 @@ def run_harmonize(spark: SparkSession, config: RunConfig, outdir: str) -> DataFr
         max_iterations=h.eb_max_iterations,
     )
     save(params, outdir, "harmonization_parameters")
+    changed = harmonize.n_values_changed(adjusted)
+    skipped = params.filter("skip <> ''").groupBy("skip").agg(F.count(F.lit(1)).alias("n")).select(F.concat(F.lit("skipped: "), "skip").alias("note"), "n")
+    dropped = [(f"covariate {c}: {why}", 1) for c, why in sorted(design.dropped.items())]
+    record = spark.createDataFrame([("values changed", changed), *dropped], "note string, n bigint").unionByName(skipped)
+    save(record, outdir, "harmonization_record")
     out = adjusted.withColumns({"value_original": F.col("value"), "value": F.col("value_adjusted")})
     return save(out.drop("value_adjusted", "batch", "estimable", "estimate_on", *design.names), outdir, "harmonized_observations")
 
@@ -120,7 +125,14 @@ def run_model(spark: SparkSession, config: RunConfig, outdir: str) -> DataFrame:
     """model_results of the harmonized arm, model_results_unharmonized, and arm_comparison."""
     included = F.coalesce("analysis_included", F.lit(False))
     harmonized = load(spark, outdir, "harmonized_observations").filter(included)
-    results = save(mixed.results_table(mixed.fit_regions(harmonized)), outdir, "model_results")
+    fits = mixed.fit_regions(harmonized)
+    results = save(mixed.results_table(fits), outdir, "model_results")
+    save(mixed.family_sizes(fits), outdir, "test_families")
+    changed = listing(spark, f"{outdir}/harmonization_record.parquet") and load(spark, outdir, "harmonization_record").filter("note = 'values changed' AND n > 0").count()
+    if not changed:
+        # both arms have the same numbers, which would be no comparison
+        save(mixed.compare_arms(results, results, config.analysis.alpha).filter(F.lit(False)), outdir, "arm_comparison")
+        return results
     other = save(mixed.results_table(mixed.fit_regions(load(spark, outdir, "qc_observations").filter(included))), outdir, "model_results_unharmonized")
     save(mixed.compare_arms(results, other, config.analysis.alpha), outdir, "arm_comparison")
     return results

@@ -5,9 +5,12 @@ An adapter says where sessions lie and what is known about them; everything afte
 
 from __future__ import annotations
 
+import re
 from abc import ABC, abstractmethod
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflux.operators.canonical import decode, site_from_subject_id
@@ -33,13 +36,37 @@ def listing(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in (found or []))
 
 
+def walk(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(path, size, is_folder) of everything below the folders, and of those that are files; each task walks its share of them."""
+
+    def below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch["folder"]:
+                system, start = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
+                head = folder[: len(folder) - len(start)] if folder.endswith(start) else ""
+                top = system.get_file_info(start)
+                found = [top] if top.type == fs.FileType.File else system.get_file_info(fs.FileSelector(start, recursive=True))
+                yield pd.DataFrame([(head + f.path, f.size or 0, f.type == fs.FileType.Directory) for f in found], columns=["path", "size", "is_folder"])
+
+    seeds = spark.createDataFrame([(f,) for f in folders], "folder string")
+    spread = seeds.repartition(max(1, min(len(folders), 4 * spark.sparkContext.defaultParallelism)))
+    return spread.mapInPandas(below, "path string, size bigint, is_folder boolean")
+
+
 class Adapter(ABC):
     def __init__(self, spark: SparkSession, root: str, subject: str | None = None) -> None:
         self.spark, self.root, self.subject = spark, root.rstrip("/"), subject
+        self._found: DataFrame | None = None
 
     @abstractmethod
-    def sessions(self) -> list[tuple[str, str, str]]:
-        """(subject_id, session_id, folder) of every session that has a folder, with or without files."""
+    def subject_folders(self) -> list[str]:
+        """Full URIs of the subjects' folders, the only names that the driver lists."""
+
+    @abstractmethod
+    def place(self, path: Column) -> tuple[Column, Column]:
+        """(subject_id, session_id) of the path of a `stats` folder."""
 
     @abstractmethod
     def metadata(self, sessions: DataFrame) -> DataFrame:
@@ -49,25 +76,32 @@ class Adapter(ABC):
     def roster(self) -> DataFrame:
         """(subject_id, session_id, missing_cause, site) of every expected session."""
 
-    def accepts(self, name: str) -> bool:
+    def accepts(self, name: Column) -> Column:
         return name.endswith(".stats")
 
     def discover(self) -> DataFrame:
-        """(subject_id, session_id, files array<string>); sessions without files have an empty array."""
-        rows = [
-            (s, v, [f for f in listing(self.spark, f"{folder}/*") if self.accepts(f.rpartition("/")[2])])
-            for s, v, folder in self.sessions()
-            if self.subject in (None, s)
-        ]
-        return self.spark.createDataFrame(rows, "subject_id string, session_id string, files array<string>")
+        """(subject_id, session_id, files array<string>); sessions without files have an empty array. Folders are walked in tasks."""
+        if self._found is None:
+            own = [f for f in self.subject_folders() if self.subject in (None, f.rpartition("/")[2])]
+            tree = walk(self.spark, own)
+            name, parent = F.substring_index("path", "/", -1), F.regexp_replace("path", "/[^/]*$", "")
+            folders = tree.filter(F.col("is_folder") & (name == "stats")).select(F.col("path").alias("folder"), F.lit(None).cast("string").alias("file"))
+            files = tree.filter(~F.col("is_folder") & (F.substring_index(parent, "/", -1) == "stats") & self.accepts(name)).select(parent.alias("folder"), F.col("path").alias("file"))
+            held = folders.unionByName(files).groupBy("folder").agg(F.array_sort(F.collect_set("file")).alias("files"))
+            subject, session = self.place(F.col("folder"))
+            self._found = held.select(subject.alias("subject_id"), session.alias("session_id"), "files").filter("subject_id <> '' AND session_id <> ''")
+        return self._found
 
 
 class NestedAdapter(Adapter):
     """<root>/derivatives/freesurfer/<subject>/<session>/stats, with subjects.parquet and sessions.parquet beside, if there are any."""
 
-    def sessions(self) -> list[tuple[str, str, str]]:
-        found = listing(self.spark, f"{self.root}/derivatives/freesurfer/*/*/stats")
-        return [(p.split("/")[-3], p.split("/")[-2], p) for p in found]
+    def subject_folders(self) -> list[str]:
+        return listing(self.spark, f"{self.root}/derivatives/freesurfer/*")
+
+    def place(self, path: Column) -> tuple[Column, Column]:
+        pattern = r"/derivatives/freesurfer/([^/]+)/([^/]+)/stats$"
+        return F.regexp_extract(path, pattern, 1), F.regexp_extract(path, pattern, 2)
 
     def _truth(self, name: str, schema: str) -> DataFrame:
         present = listing(self.spark, f"{self.root}/{name}.parquet")
@@ -103,11 +137,15 @@ class FlatAdapter(Adapter):
         super().__init__(spark, root, subject)
         self.phenotype_path = phenotype
 
-    def sessions(self) -> list[tuple[str, str, str]]:
-        return [(p.split("/")[-2], "1", p) for p in listing(self.spark, f"{self.root}/*/stats")]
+    def subject_folders(self) -> list[str]:
+        return listing(self.spark, f"{self.root}/*")
+
+    def place(self, path: Column) -> tuple[Column, Column]:
+        own = F.substring_index(F.regexp_replace(path, "/[^/]*/stats$", ""), "/", -1) == F.lit(self.root.rpartition("/")[2])
+        return F.when(own, F.regexp_extract(path, r"/([^/]+)/stats$", 1)).otherwise(""), F.lit("1")
 
-    def accepts(self, name: str) -> bool:
-        return name in CORE_TABLES
+    def accepts(self, name: Column) -> Column:
+        return name.isin(*CORE_TABLES)
 
     def phenotype(self) -> DataFrame:
         """(subject_number, site, age, sex, dx); empty without a usable table. Column names match in any letter case."""
@@ -127,7 +165,7 @@ class FlatAdapter(Adapter):
         return first_rows(table.filter("subject_number IS NOT NULL"), ["subject_number"], ["site", "age", "sex", "dx"])
 
     @staticmethod
-    def number(subject_id: F.Column) -> F.Column:
+    def number(subject_id: Column) -> Column:
         """The number at the end of a subject id, however it is padded."""
         return F.regexp_extract(subject_id, r"(\d+)$", 1).try_cast("bigint")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataflux.operators import rejects
 from strataflux.operators.vocab import name_key, region_aliases
+from strataflux.sources.adapters import listing, walk
 
 VERSION = r"(\d+(?:\.\d+)*)"
 FATAL = ("EMPTY_FILE", "NO_COLHEADERS", "NO_DATA_ROWS", "UNKNOWN_TABLE_TYPE", "TRUNCATED_ROW", "COLUMN_COUNT_MISMATCH")
@@ -18,23 +19,18 @@ ETIV_NAMES = ("EstimatedTotalIntraCranialVol", "eTIV", "IntraCranialVol", "ICV")
 def list_files(spark: SparkSession, root: str, pattern: str = "*.stats") -> DataFrame:
     """(source_file, content, size_bytes) of all files under `root`, zero-byte files included.
 
-    The scan leaves out empty files, so they come from the listing of the file system; both stay distributed
-    by file. Bytes that are no UTF-8 are read as Latin-1.
+    The scan leaves out empty files, so they come from a walk of the folders; both are distributed. Bytes that are no UTF-8 are read as Latin-1.
     """
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
         .select(F.col("path").alias("source_file"), F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.decode("content", "ISO-8859-1")).alias("content"),
                 F.sha2("content", 256).alias("source_file_checksum"), F.col("length").alias("size_bytes"))
     )
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    suffix, empty = pattern.lstrip("*"), []
-    while listing.hasNext():
-        f = listing.next()
-        if f.getLen() == 0 and f.getPath().getName().endswith(suffix):
-            empty.append((f.getPath().toString(), "", None, 0))
-    return found.unionByName(spark.createDataFrame(empty, found.schema)) if empty else found
+    # folders are walked in tasks for the files that the scan leaves out
+    empty = walk(spark, listing(spark, f"{root.rstrip('/')}/*")).filter((F.col("size") == 0) & ~F.col("is_folder") & F.col("path").endswith(pattern.lstrip("*")))
+    return found.unionByName(
+        empty.select(F.col("path").alias("source_file"), F.lit("").alias("content"), F.lit(None).cast("string").alias("source_file_checksum"), F.lit(0).cast("bigint").alias("size_bytes"))
+    )
 
 
 def _name(source_file: Column) -> Column:

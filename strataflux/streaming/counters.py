@@ -28,9 +28,17 @@ def window_counts(stream: DataFrame, width: str = "30 days", late: str = "365 da
     ).select(F.col("w.start").alias("start"), "site", "measure_type", "n", "n_null", "total")
 
 
-def run_counters(stream: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Keep the counters of what has arrived in the in-memory table `name`; for a service, write the same frame to a table sink."""
-    return (
-        window_counts(stream).writeStream.outputMode("complete").format("memory").queryName(name)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+def run_counters(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the counters of what has arrived in the table `path`: each batch adds the rows that it changed, state older than
+    the watermark goes. A batch that is run again replaces its own rows."""
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    return window_counts(stream).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_counters(spark: SparkSession, path: str) -> DataFrame:
+    """The counters as they stand: of each window, site and measure the row of the last batch that changed it."""
+    keys = ["start", "site", "measure_type"]
+    return spark.read.parquet(path).groupBy(*keys).agg(F.max_by(F.struct("n", "n_null", "total"), "batch").alias("c")).select(*keys, "c.*")

@@ -25,8 +25,8 @@ def test_run_from_files_to_report(spark, dataset, tiny, tmp_path):
     rows = {r.boundary: r for r in pipeline.load(spark, str(out), "accounting_funnel").collect()}
     assert rows["expected sessions"]["count"] == 72 and rows["discovered sessions"].causes == "missing_acquisition=1"
     assert rows["sessions with observations"].causes == "missing_derivative=1"
-    # one truncated and one empty subcortical file: their cortical regions are still there
-    assert rows["canonical observations"]["count"] == 70 * 28 - 2 * 14 and rows["canonical observations"].causes == "absent_from_source=28"
+    # one truncated and one empty subcortical file: their regions have no source, the cortical ones are still there
+    assert rows["canonical observations"]["count"] == 70 * 28 - 2 * 14 and rows["canonical observations"].causes == "source_unavailable=28"
     failures = {r.failure_code for r in pipeline.load(spark, str(out), "parse_failures").collect()}
     assert failures == {"EMPTY_FILE", "TRUNCATED_ROW"}
     html = (out / "report.html").read_text()
@@ -85,8 +85,8 @@ def test_stream_counters_equal_the_batch(spark, tiny, tmp_path):
     folder.mkdir()
     shutil.copy(f"{tiny}/observations.parquet", folder / "a.parquet")
     stream = counters.arriving(spark, str(folder))
-    counters.run_counters(stream, "arrived", str(tmp_path / "c1")).awaitTermination()
-    got = {(r.start, r.site, r.measure_type): (r.n, r.n_null) for r in spark.table("arrived").collect()}
+    counters.run_counters(stream, str(tmp_path / "arrived"), str(tmp_path / "c1")).awaitTermination()
+    got = {(r.start, r.site, r.measure_type): (r.n, r.n_null) for r in counters.latest_counters(spark, str(tmp_path / "arrived")).collect()}
     batch = counters.window_counts(spark.read.parquet(f"{tiny}/observations.parquet"))
     assert got == {(r.start, r.site, r.measure_type): (r.n, r.n_null) for r in batch.collect()} and len(got) > 3
 
@@ -117,3 +117,42 @@ def test_report_leaves_no_row_out(spark, monkeypatch):
     assert len(report._rows(spark.range(10))) == 10
     with pytest.raises(ValueError, match="more than 10 rows"):
         report._rows(spark.range(11))
+
+
+def test_ten_thousand_session_folders_are_walked_in_tasks(spark, tmp_path):
+    for i in range(2_000):
+        for v in range(5):
+            (tmp_path / f"derivatives/freesurfer/s{i}/v{v}/stats").mkdir(parents=True)
+        (tmp_path / f"derivatives/freesurfer/s{i}/v0/stats/aseg.stats").write_text("x")
+    (tmp_path / "derivatives/freesurfer/s7/v1/stats/notes.txt").write_text("x")
+    found = build_adapter(spark, "nested", str(tmp_path)).discover()
+    assert found.count() == 10_000 and found.filter("size(files) = 1").count() == 2_000
+    one = build_adapter(spark, "nested", str(tmp_path), "s7").discover().collect()
+    assert sorted((r.session_id, len(r.files)) for r in one) == [("v0", 1), ("v1", 0), ("v2", 0), ("v3", 0), ("v4", 0)]
+
+
+def test_versions_aliases_and_overwritten_measures(spark):
+    from strataflux.operators import rejects
+    from strataflux.sources import stats_files
+
+    head = "# ColHeaders Index SegId NVoxels Volume_mm3 StructName normMean normStdDev normMin normMax normRange\n1 2 3 4 Left-X 5 6 7 8 9\n"
+    texts = [
+        "# cvs_version $Id: mri_segstats.c,v 1.75.2.2 2013/04/12 $\n# Measure IntraCranialVol, ICV, Intracranial Volume, 1549336.5, mm^3\n",
+        "# generating_program_version 9\n# cvs_version 6.0.0\n# Measure Foo, lhSurfaceHoles, d, 12, unitless\n# Measure lhSurfaceHoles, 13, unitless\n",
+        "# annotationfileversion v7\n# cvs_version 6.0.0\n# Measure Cortex, Number of Vertices, 1, unitless\n# Measure Cortex, Area, 2, mm\n# Measure Cortex, 3, mm\n",
+    ]
+    raw = spark.createDataFrame([(i, "aseg.stats", t + head) for i, t in enumerate(texts)], "file_id bigint, source_file string, content string")
+    got = {r.file_id: r for r in stats_files.session_globals(raw, rejects.read_permissively(raw)).collect()}
+    assert got[0].freesurfer_version is None and got[0].version_declaration.startswith("$Id: mri_segstats.c") and got[0].etiv == 1549336.5
+    assert got[1].freesurfer_version == "6.0.0" and got[1].surface_holes_lh == 13.0 and got[1].measures_overwritten == 1
+    assert got[2].freesurfer_version is None and got[2].version_declaration == "v7" and got[2].measures_overwritten == 1
+
+
+def test_site_of_a_subject_id(spark):
+    from pyspark.sql import functions as F
+
+    from strataflux.operators.canonical import site_from_subject_id
+
+    ids = ["NYU_0051", "CMU_a_0050642", "UM_1_0050272", "nonumber", "0051", "_12", "A_b_c_1", None]
+    rows = spark.createDataFrame([(x,) for x in ids], "s string").select("s", site_from_subject_id(F.col("s")).alias("a"), site_from_subject_id(F.col("s"), True).alias("b")).collect()
+    assert [(r.a, r.b) for r in rows] == [("NYU", "NYU"), ("CMU_a", "CMU"), ("UM_1", "UM"), (None, None), (None, None), (None, None), ("A_b_c", "A_b"), (None, None)]

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflux.operators.scaling import grouped_quantiles, null_safe_join
+from strataflux.operators.scaling import null_safe_join, weighted_quantiles
 from strataflux.session import materialize
 
 KEYS = ["load", "column_name"]
@@ -174,8 +174,7 @@ def profile(df: DataFrame, load: str, numeric: Sequence[str], text: Sequence[str
         rows_where(F.col("txt") == F.col("top_value")).alias("n_accepted_top"),
         F.max(F.when(is_value, F.struct(F.col("rows").alias("top_rows"), shown.alias("top_value")))).alias("top"),
     )
-    numbers = long.filter("num IS NOT NULL").select(*KEYS, "num")
-    quartiles = grouped_quantiles(numbers, KEYS, "num", {"q1": 0.25, "median": 0.5, "q3": 0.75}).drop("n")
+    quartiles = weighted_quantiles(counts, KEYS, "num", "rows", {"q1": 0.25, "median": 0.5, "q3": 0.75}).drop("n")
     expressions = expression_report(induced_expressions(counts), accepted)
     text_part = expressions.groupBy(*KEYS).agg(
         F.sum("n_nonconforming").alias("n_nonconforming"), F.count(F.lit(1)).alias("n_expressions")

@@ -190,3 +190,25 @@ def running_total(
     inner = df.withColumn("__within", F.sum(amount).over(within))
     joined = null_safe_join(inner, offsets, [*keys, bucket])
     return joined.withColumn(name, F.col("__within") + F.col("__offset")).drop("__within", "__offset")
+
+
+def weighted_quantiles(counts: DataFrame, keys: Sequence[str], value: str, weight: str, probs: dict[str, float], cuts: int = 256) -> DataFrame:
+    """As `grouped_quantiles`, from one row per group and value with the number of its occurrences in `weight`.
+
+    A group's values are cut into buckets at approximate percentiles of its different values; prefix sums over the buckets
+    find the ranks, so a group with very many values is spread over `cuts` tasks. `counts` should be a stored table.
+    """
+    keys = list(keys)
+    rows = _valued(counts, [*keys, weight], value).withColumnRenamed(weight, "__w")
+    grid = F.percentile_approx("__v", [i / cuts for i in range(1, cuts)], F.lit(10_000))
+    edges = materialize(rows.groupBy(*keys).agg(F.sum("__w").alias("n"), grid.alias("__q")), "cuts")
+    bucket = F.size(F.filter("__q", lambda q: q < F.col("__v"))).alias("__bucket")
+    placed = null_safe_join(rows, edges, keys, "inner").select(*keys, "n", "__v", "__w", bucket)
+    upto = running_total(placed, keys, "__bucket", ["__v"], "__w", "__upto")
+    out = []
+    at = lambda r: F.max(F.when((F.col("__upto") - F.col("__w") <= r) & (r < F.col("__upto")), F.col("__v")))
+    for name, p in probs.items():
+        place = (F.col("n") - 1) * F.lit(float(p))
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        out.append(F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place))).alias(name))
+    return upto.groupBy(*keys, "n").agg(*out)

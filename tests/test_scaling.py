@@ -4,7 +4,7 @@ from statistics import quantiles
 import numpy as np
 from pyspark.sql import functions as F
 
-from strataflux.operators.scaling import grouped_quantiles, null_safe_join, previous_in_group, running_total
+from strataflux.operators.scaling import grouped_quantiles, median_and_mad, null_safe_join, previous_in_group, running_total, weighted_quantiles
 
 
 def test_grouped_quantiles_are_exact(spark):
@@ -46,3 +46,17 @@ def test_null_safe_join_matches_nulls(spark):
     right = spark.createDataFrame([(None, 10)], "k string, b int")
     assert {(r.k, r.b) for r in null_safe_join(left, right, ["k"]).collect()} == {(None, 10), ("x", None)}
     assert null_safe_join(left, right, ["k"], "inner").agg(F.sum("b")).first()[0] == 10
+
+
+def test_weighted_quantiles_and_mad_are_exact(spark):
+    rng = np.random.default_rng(4)
+    rows = [("a", float(x)) for x in rng.normal(size=5_000).round(2)] + [(None, float(x)) for x in range(7)] + [("one", 3.0), ("nan", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, v double")
+    counts = df.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
+    got = {r.k: r for r in weighted_quantiles(counts, ["k"], "v", "c", {"q1": 0.25, "med": 0.5}).collect()}
+    spread = {r.k: r for r in median_and_mad(df, ["k"], "v").collect()}
+    assert set(got) == set(spread) == {"a", None, "one"}
+    for k in got:
+        x = np.array([v for g, v in rows if g == k])
+        assert abs(got[k].q1 - np.percentile(x, 25)) < 1e-12 and abs(got[k].med - np.median(x)) < 1e-12 and got[k].n == len(x)
+        assert abs(spread[k].center - np.median(x)) < 1e-12 and abs(spread[k].mad - np.median(np.abs(x - np.median(x)))) < 1e-12

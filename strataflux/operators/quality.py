@@ -9,6 +9,7 @@ from strataflux.config import AnalysisConfig, QcConfig, QcThresholds
 from strataflux.functions.robust import euler_number, with_robust_z
 from strataflux.operators.scaling import null_safe_join
 from strataflux.schema import QC, QC_FLAGS
+from strataflux.session import materialize
 
 SESSION = ["dataset", "subject_id", "session_id"]
 CLEAN_NOTE = "no QC flag triggered"
@@ -23,7 +24,9 @@ def session_frame(observations: DataFrame) -> DataFrame:
 def session_flags(observations: DataFrame, rules: QcThresholds) -> DataFrame:
     """(SESSION, site, etiv, euler, euler_z, etiv_implausible, euler_low); a check without data raises no flag."""
     euler = F.least(euler_number(F.col("surface_holes_lh")), euler_number(F.col("surface_holes_rh")))
-    scored = with_robust_z(session_frame(observations).withColumn("euler", euler), "euler", ["site"], "euler_z")
+    # stored, since the percentiles read it several times
+    sessions = materialize(session_frame(observations).withColumn("euler", euler), "sessions")
+    scored = with_robust_z(sessions, "euler", ["site"], "euler_z")
     low = (F.col("euler") < rules.euler_min) | (F.col("euler_z") < -rules.euler_mad_z)
     outside = (F.col("etiv") < rules.etiv_min) | (F.col("etiv") > rules.etiv_max)
     return scored.select(
@@ -54,7 +57,7 @@ def asymmetry(observations: DataFrame, rules: QcThresholds) -> DataFrame:
         .filter("structure IS NOT NULL AND measure_type IS NOT NULL AND lh IS NOT NULL AND rh IS NOT NULL")
     )
     mean = (F.col("lh") + F.col("rh")) / 2
-    indexed = pairs.withColumn("asymmetry", F.when(mean != 0, (F.col("lh") - F.col("rh")) / mean))
+    indexed = materialize(pairs.withColumn("asymmetry", F.when(mean != 0, (F.col("lh") - F.col("rh")) / mean)), "pairs")
     scored = with_robust_z(indexed, "asymmetry", ["site", "structure", "measure_type"], "asymmetry_z")
     return scored.withColumn("asymmetry_outlier", F.coalesce(F.abs("asymmetry_z") > rules.asymmetry_mad_z, F.lit(False)))
 

@@ -33,10 +33,12 @@ DIFFERENCE_COVERS = {
 DOCS_PER_BUCKET = 1_000
 #: anchors that one task gathers before it sends them on; bounds its memory
 ANCHORS_PER_FLUSH = 2_000_000
+#: at most this many window places meet in one task
+PLACES_PER_BUCKET = 8_000_000
 #: characters hashed at a time; longer texts go through in overlapping pieces
 PIECE = 262_144
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE, _OTHER_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -49,11 +51,11 @@ def cover_for(length: int) -> tuple[int, tuple[int, ...]]:
 class WindowHasher:
     """64-bit hashes of the windows of a text at given positions, vectorised over a piece of text."""
 
-    def __init__(self) -> None:
-        powers = np.full(2 * PIECE + 1, _BASE, dtype=np.uint64)
+    def __init__(self, base: np.uint64 = _BASE) -> None:
+        powers = np.full(2 * PIECE + 1, base, dtype=np.uint64)
         powers[0] = 1
         self.powers = np.cumprod(powers, dtype=np.uint64)
-        inverse = np.full(PIECE + 1, np.uint64(pow(int(_BASE), -1, 2**64)), dtype=np.uint64)
+        inverse = np.full(PIECE + 1, np.uint64(pow(int(base), -1, 2**64)), dtype=np.uint64)
         inverse[0] = 1
         self.inverse = np.cumprod(inverse, dtype=np.uint64)
 
@@ -196,19 +198,57 @@ def _placed(docs: pd.Series, parts: list[tuple], names: tuple[str, ...]) -> pd.D
     return pd.DataFrame(out)
 
 
-def _in_two_records(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key stands in two or more records; counts first, so that hot keys are combined early."""
-    spread = rows.groupBy(key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    return rows.join(spread.filter("lo <> hi").select(key), key)
+def _in_two_records(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys stand in two or more records; counts first, so that hot keys are combined early."""
+    spread = rows.groupBy(*keys).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    return rows.join(spread.filter("lo <> hi").select(*keys), keys)
+
+
+def _send_places(bucket: np.ndarray, window: np.ndarray, docs: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+    """Arrays of the gathered window places, one row per bucket, and one row without a bucket.
+
+    A window that two of the gathered records hold is known to be shared: its places are results and stay
+    (bucket null), and one mark (place -1) goes to its bucket, where other tasks' places of it learn that.
+    So a window that a third of all records hold is one entry per task.
+    """
+    order = np.lexsort((docs, window, bucket))
+    bucket, window, docs, at = bucket[order], window[order], docs[order], at[order]
+    opens = np.r_[True, (window[1:] != window[:-1]) | (bucket[1:] != bucket[:-1])]
+    first = np.flatnonzero(opens)
+    last = np.r_[first[1:], len(window)] - 1
+    known = (docs[first] != docs[last])[np.cumsum(opens) - 1]
+    here_docs, here_at = docs[known], at[known]
+    at = np.where(known, -1, at)
+    travels = ~known | opens
+    bucket, window, docs, at = bucket[travels], window[travels], docs[travels], at[travels]
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    rows = [bucket[cuts].tolist(), *(np.split(x, cuts[1:]) for x in (window, docs, at))]
+    if len(here_docs):
+        for column, value in zip(rows, (None, here_docs[:0], here_docs, here_at)):
+            column.append(value)
+    return pd.DataFrame(dict(zip(("bucket", "window", "docs", "at"), rows))).astype({"bucket": "Int64"})
+
+
+def _places_in_bucket(rows: pd.DataFrame) -> pd.DataFrame:
+    window, docs, at = (np.concatenate(rows[x].to_list()) for x in ("window", "docs", "at"))
+    order = np.lexsort((docs, window))
+    window, docs, at = window[order], docs[order], at[order]
+    opens = np.r_[True, window[1:] != window[:-1]]
+    first = np.flatnonzero(opens)
+    last = np.r_[first[1:], len(window)] - 1
+    shared = (docs[first] != docs[last]) | (np.minimum.reduceat(at, first) < 0)
+    kept = shared[np.cumsum(opens) - 1] & (at >= 0)
+    return pd.DataFrame({"doc_id": docs[kept], "pos": at[kept]})
 
 
 def shared_windows(documents: DataFrame, length: int = 300, whole_coverage: bool = True) -> DataFrame:
-    """(doc_id, pos, n_chars): windows of `length` characters that also stand in another record.
+    """(doc_id, pos): windows of `length` characters that also stand in another record.
 
     Together they cover every character that lies in a shared span of at least `length` characters; with
-    `whole_coverage=False` they only tell which records have such a span. Windows are compared by their 64-bit hash: n of them
-    have about n * n / 2^65 pairs that are taken for equal and aren't, 3 in 10^10 windows. Rows with the same doc_id are one record, whatever
-    their text; null doc_ids and null or short texts share nothing.
+    `whole_coverage=False` they only tell which records have such a span. A window may come several times. Windows
+    are compared by a 64-bit hash and the bucket that a second, independent hash gives; the buckets grow with the data, so
+    n windows in b buckets have about n * n / (b * 2^65) pairs that are taken for equal and aren't. Rows with the same doc_id are
+    one record, whatever their text; null doc_ids and null or short texts share nothing.
     """
     docs = documents.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = max(32, -(-docs.count() // DOCS_PER_BUCKET))
@@ -237,8 +277,7 @@ def shared_windows(documents: DataFrame, length: int = 300, whole_coverage: bool
     )
     # 1. anchors at which the span goes on for the whole length
     long = materialize(
-        _in_two_records(anchored.filter("fits").select("doc_id", "pos", "n_chars", "window"), "window").select("doc_id", "pos", "n_chars"),
-        "long",
+        _in_two_records(anchored.filter("fits").select("doc_id", "pos", "k", "window"), ["k", "window"]).select("doc_id", "pos"), "long"
     )
 
     # 2. anchors around which characters may belong to a span that no such window covers
@@ -262,32 +301,45 @@ def shared_windows(documents: DataFrame, length: int = 300, whole_coverage: bool
         anchored.join(needy.distinct(), "k", "left_semi").groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("places"))
     )
 
+    # 3. every start around those anchors; the places of a task travel as arrays, once
+    meetings = max(32, -(-anchored.count() * (reach + 1) // PLACES_PER_BUCKET))
+
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WindowHasher()
+        hasher, other = WindowHasher(), WindowHasher(_OTHER_BASE)
+        parts, held = [], 0
         for batch in batches:
-            parts = []
-            for text, places in zip(batch["text"], batch["places"]):
+            for doc, text, places in zip(batch["doc_id"].to_numpy(), batch["text"], batch["places"]):
                 codes = hasher.codes(text)
                 starts = (places[:, None] + np.arange(-reach, 1)[None, :]).ravel()
                 starts = np.unique(starts[(starts >= 0) & (starts + length <= len(codes))])
-                parts.append((starts, hasher.hashes(codes, starts, length).view(np.int64), len(codes)))
-            yield _placed(batch["doc_id"], parts, ("pos", "window"))
+                if len(starts):
+                    bucket = (other.hashes(codes, starts, length) % np.uint64(meetings)).astype(np.int64)
+                    window = hasher.hashes(codes, starts, length).view(np.int64)
+                    parts.append((bucket, window, np.full(len(starts), doc, dtype=np.int64), starts))
+                    held += len(starts)
+                if held >= ANCHORS_PER_FLUSH:
+                    yield _send_places(*(np.concatenate(x) for x in zip(*parts)))
+                    parts, held = [], 0
+        if held:
+            yield _send_places(*(np.concatenate(x) for x in zip(*parts)))
 
-    windows = materialize(
-        candidates.select("doc_id", "text").join(around, "doc_id").mapInPandas(extend, "pos bigint, window bigint, doc_id bigint, n_chars bigint"),
+    sent = materialize(
+        candidates.select("doc_id", "text")
+        .join(around, "doc_id")
+        .mapInPandas(extend, "bucket bigint, window array<bigint>, docs array<bigint>, at array<bigint>"),
         "windows",
     )
-    short = _in_two_records(windows, "window").select("doc_id", "pos", "n_chars")
-    return long.unionByName(short)
+    met = sent.filter("bucket IS NOT NULL").groupBy("bucket").applyInPandas(_places_in_bucket, "doc_id bigint, pos bigint")
+    here = sent.filter("bucket IS NULL").select(F.inline(F.arrays_zip(F.col("docs").alias("doc_id"), F.col("at").alias("pos"))))
+    return long.unionByName(met).unionByName(here)
 
 
 def shared_shares(documents: DataFrame, length: int = 300) -> DataFrame:
     """(doc_id, n_chars, n_shared, share) for every record: how many of its characters stand in shared spans."""
     windows = shared_windows(documents, length)
     by_place = Window.partitionBy("doc_id").orderBy("pos")
-    once = windows.select("doc_id", "pos").distinct()
     gap = F.least(F.coalesce(F.col("pos") - F.lag("pos").over(by_place), F.lit(length)), F.lit(length))
-    covered = once.withColumn("fresh", gap).groupBy("doc_id").agg(F.sum("fresh").alias("n_shared"))
+    covered = windows.withColumn("fresh", gap).groupBy("doc_id").agg(F.sum("fresh").alias("n_shared"))
     sizes = documents.groupBy("doc_id").agg(F.max(F.coalesce(F.length("text"), F.lit(0))).cast("bigint").alias("n_chars"))
     joined = sizes.join(covered, "doc_id", "left").withColumn("n_shared", F.coalesce("n_shared", F.lit(0)).cast("bigint"))
     return joined.withColumn("share", F.coalesce(F.try_divide(F.col("n_shared"), F.col("n_chars")), F.lit(0.0)))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from strataflux.llm import spans
@@ -71,3 +73,18 @@ def test_covers_hold_every_difference():
     for period, cover in spans.DIFFERENCE_COVERS.items():
         assert {(a - b) % period for a in cover for b in cover} == set(range(period))
     assert spans.cover_for(300)[0] == 133 and spans.cover_for(40)[0] == 13 and spans.cover_for(1)[0] == 1
+
+
+def test_places_met_over_tasks_equal_places_met_at_once():
+    rng = np.random.default_rng(3)
+    n = 4_000
+    window, docs, at = rng.integers(0, 900, n), rng.integers(0, 60, n), np.arange(n)
+    window[: n // 3] = 7  # a third of all places are one window
+    bucket = window % 5
+    sent = pd.concat([spans._send_places(bucket[i::8], window[i::8], docs[i::8], at[i::8]) for i in range(8)])
+    here, travels = sent[sent["bucket"].isna()], sent[sent["bucket"].notna()]
+    assert sum((w == 7).sum() for w in travels["window"]) == 8
+    met = [spans._places_in_bucket(g) for _, g in travels.groupby("bucket")]
+    found = sorted([*np.concatenate([m["pos"] for m in met]).tolist(), *np.concatenate(here["at"].to_list()).tolist()])
+    holders = pd.DataFrame({"w": window, "d": docs}).groupby("w")["d"].nunique()
+    assert found == [i for i in range(n) if holders[window[i]] > 1]

@@ -204,12 +204,13 @@ def _in_two_records(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(spread.filter("lo <> hi").select(*keys), keys)
 
 
-def _send_places(bucket: np.ndarray, window: np.ndarray, docs: np.ndarray, at: np.ndarray) -> pd.DataFrame:
-    """Arrays of the gathered window places, one row per bucket, and one row without a bucket.
+def _send_places(bucket: np.ndarray, window: np.ndarray, docs: np.ndarray, at: np.ndarray, meetings: int) -> pd.DataFrame:
+    """Arrays of the gathered window places, one row per bucket, and one row of results.
 
-    A window that two of the gathered records hold is known to be shared: its places are results and stay
-    (bucket null), and one mark (place -1) goes to its bucket, where other tasks' places of it learn that.
-    So a window that a third of all records hold is one entry per task.
+    A window that two of the gathered records hold is known to be shared: its places are results, passed on as runs of
+    successive starts under a negative bucket, and one mark (place -1) goes to the window's bucket, where other tasks' places
+    of it learn that. So a window that a third of all records hold is one entry per task. Within a bucket places are in the
+    order of records and starts, in which they compress well.
     """
     order = np.lexsort((docs, window, bucket))
     bucket, window, docs, at = bucket[order], window[order], docs[order], at[order]
@@ -217,35 +218,47 @@ def _send_places(bucket: np.ndarray, window: np.ndarray, docs: np.ndarray, at: n
     first = np.flatnonzero(opens)
     last = np.r_[first[1:], len(window)] - 1
     known = (docs[first] != docs[last])[np.cumsum(opens) - 1]
-    here_docs, here_at = docs[known], at[known]
+    here = _runs(docs[known], at[known])
     at = np.where(known, -1, at)
-    travels = ~known | opens
-    bucket, window, docs, at = bucket[travels], window[travels], docs[travels], at[travels]
+    travels = np.flatnonzero(~known | opens)
+    order = travels[np.lexsort((at[travels], docs[travels], bucket[travels]))]
+    bucket, window, docs, at = bucket[order], window[order], docs[order], at[order]
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    rows = [bucket[cuts].tolist(), *(np.split(x, cuts[1:]) for x in (window, docs, at))]
-    if len(here_docs):
-        for column, value in zip(rows, (None, here_docs[:0], here_docs, here_at)):
+    rows = [bucket[cuts].tolist(), *(np.split(x, cuts[1:]) for x in (window, docs, at.astype(np.int32)))]
+    if len(here[0]):
+        for column, value in zip(rows, (-1 - int(here[0][0]) % meetings, here[2], here[0], here[1].astype(np.int32))):
             column.append(value)
-    return pd.DataFrame(dict(zip(("bucket", "window", "docs", "at"), rows))).astype({"bucket": "Int64"})
+    return pd.DataFrame(dict(zip(("bucket", "window", "docs", "at"), rows)))
+
+
+def _runs(docs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(record, first, last) of each run of successive starts."""
+    order = np.lexsort((at, docs))
+    docs, at = docs[order], at[order]
+    opens = np.flatnonzero(np.r_[len(at) > 0, (docs[1:] != docs[:-1]) | (at[1:] > at[:-1] + 1)][: len(at)])
+    ends = np.r_[opens[1:], len(at)][: len(opens)] - 1
+    return docs[opens], at[opens], at[ends]
 
 
 def _places_in_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     window, docs, at = (np.concatenate(rows[x].to_list()) for x in ("window", "docs", "at"))
+    if rows["bucket"].iloc[0] < 0:
+        return pd.DataFrame({"doc_id": docs, "pos": at, "last": window})
     order = np.lexsort((docs, window))
-    window, docs, at = window[order], docs[order], at[order]
+    window, docs, at = window[order], docs[order], at[order].astype(np.int64)
     opens = np.r_[True, window[1:] != window[:-1]]
     first = np.flatnonzero(opens)
     last = np.r_[first[1:], len(window)] - 1
     shared = (docs[first] != docs[last]) | (np.minimum.reduceat(at, first) < 0)
     kept = shared[np.cumsum(opens) - 1] & (at >= 0)
-    return pd.DataFrame({"doc_id": docs[kept], "pos": at[kept]})
+    return pd.DataFrame(dict(zip(("doc_id", "pos", "last"), _runs(docs[kept], at[kept]))))
 
 
 def shared_windows(documents: DataFrame, length: int = 300, whole_coverage: bool = True) -> DataFrame:
-    """(doc_id, pos): windows of `length` characters that also stand in another record.
+    """(doc_id, pos, last): runs of starts, pos to last, of windows of `length` characters that also stand in another record.
 
     Together they cover every character that lies in a shared span of at least `length` characters; with
-    `whole_coverage=False` they only tell which records have such a span. A window may come several times. Windows
+    `whole_coverage=False` they only tell which records have such a span. Runs may repeat and overlap. Windows
     are compared by a 64-bit hash and the bucket that a second, independent hash gives; the buckets grow with the data, so
     n windows in b buckets have about n * n / (b * 2^65) pairs that are taken for equal and aren't. Rows with the same doc_id are
     one record, whatever their text; null doc_ids and null or short texts share nothing.
@@ -318,28 +331,27 @@ def shared_windows(documents: DataFrame, length: int = 300, whole_coverage: bool
                     parts.append((bucket, window, np.full(len(starts), doc, dtype=np.int64), starts))
                     held += len(starts)
                 if held >= ANCHORS_PER_FLUSH:
-                    yield _send_places(*(np.concatenate(x) for x in zip(*parts)))
+                    yield _send_places(*(np.concatenate(x) for x in zip(*parts)), meetings)
                     parts, held = [], 0
         if held:
-            yield _send_places(*(np.concatenate(x) for x in zip(*parts)))
+            yield _send_places(*(np.concatenate(x) for x in zip(*parts)), meetings)
 
-    sent = materialize(
+    sent = (
         candidates.select("doc_id", "text")
         .join(around, "doc_id")
-        .mapInPandas(extend, "bucket bigint, window array<bigint>, docs array<bigint>, at array<bigint>"),
-        "windows",
+        .mapInPandas(extend, "bucket bigint, window array<bigint>, docs array<bigint>, at array<int>")
     )
-    met = sent.filter("bucket IS NOT NULL").groupBy("bucket").applyInPandas(_places_in_bucket, "doc_id bigint, pos bigint")
-    here = sent.filter("bucket IS NULL").select(F.inline(F.arrays_zip(F.col("docs").alias("doc_id"), F.col("at").alias("pos"))))
-    return long.unionByName(met).unionByName(here)
+    short = sent.groupBy("bucket").applyInPandas(_places_in_bucket, "doc_id bigint, pos bigint, last bigint")
+    return long.withColumn("last", F.col("pos")).unionByName(short)
 
 
 def shared_shares(documents: DataFrame, length: int = 300) -> DataFrame:
     """(doc_id, n_chars, n_shared, share) for every record: how many of its characters stand in shared spans."""
-    windows = shared_windows(documents, length)
+    runs = shared_windows(documents, length).withColumn("end", F.col("last") + length)
     by_place = Window.partitionBy("doc_id").orderBy("pos")
-    gap = F.least(F.coalesce(F.col("pos") - F.lag("pos").over(by_place), F.lit(length)), F.lit(length))
-    covered = windows.withColumn("fresh", gap).groupBy("doc_id").agg(F.sum("fresh").alias("n_shared"))
+    reached = F.coalesce(F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fresh = F.greatest(F.col("end") - F.greatest(F.col("pos"), reached), F.lit(0))
+    covered = runs.withColumn("fresh", fresh).groupBy("doc_id").agg(F.sum("fresh").alias("n_shared"))
     sizes = documents.groupBy("doc_id").agg(F.max(F.coalesce(F.length("text"), F.lit(0))).cast("bigint").alias("n_chars"))
     joined = sizes.join(covered, "doc_id", "left").withColumn("n_shared", F.coalesce("n_shared", F.lit(0)).cast("bigint"))
     return joined.withColumn("share", F.coalesce(F.try_divide(F.col("n_shared"), F.col("n_chars")), F.lit(0.0)))

@@ -81,10 +81,10 @@ def test_places_met_over_tasks_equal_places_met_at_once():
     window, docs, at = rng.integers(0, 900, n), rng.integers(0, 60, n), np.arange(n)
     window[: n // 3] = 7  # a third of all places are one window
     bucket = window % 5
-    sent = pd.concat([spans._send_places(bucket[i::8], window[i::8], docs[i::8], at[i::8]) for i in range(8)])
-    here, travels = sent[sent["bucket"].isna()], sent[sent["bucket"].notna()]
+    sent = pd.concat([spans._send_places(bucket[i::8], window[i::8], docs[i::8], at[i::8], 5) for i in range(8)])
+    travels = sent[sent["bucket"] >= 0]
     assert sum((w == 7).sum() for w in travels["window"]) == 8
-    met = [spans._places_in_bucket(g) for _, g in travels.groupby("bucket")]
-    found = sorted([*np.concatenate([m["pos"] for m in met]).tolist(), *np.concatenate(here["at"].to_list()).tolist()])
+    met = pd.concat([spans._places_in_bucket(g) for _, g in sent.groupby("bucket")])
+    found = sorted(p for a, b in zip(met["pos"], met["last"]) for p in range(a, b + 1))
     holders = pd.DataFrame({"w": window, "d": docs}).groupby("w")["d"].nunique()
     assert found == [i for i in range(n) if holders[window[i]] > 1]

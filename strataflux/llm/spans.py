@@ -212,17 +212,15 @@ def _send_places(bucket: np.ndarray, window: np.ndarray, docs: np.ndarray, at: n
     of it learn that. So a window that a third of all records hold is one entry per task. Within a bucket places are in the
     order of records and starts, in which they compress well.
     """
-    order = np.lexsort((docs, window, bucket))
-    bucket, window, docs, at = bucket[order], window[order], docs[order], at[order]
-    opens = np.r_[True, (window[1:] != window[:-1]) | (bucket[1:] != bucket[:-1])]
-    first = np.flatnonzero(opens)
-    last = np.r_[first[1:], len(window)] - 1
-    known = (docs[first] != docs[last])[np.cumsum(opens) - 1]
-    here = _runs(docs[known], at[known])
-    at = np.where(known, -1, at)
-    travels = np.flatnonzero(~known | opens)
-    order = travels[np.lexsort((at[travels], docs[travels], bucket[travels]))]
-    bucket, window, docs, at = bucket[order], window[order], docs[order], at[order]
+    order = np.argsort(window, kind="stable")
+    known, opens = _held_by_two(window[order], docs[order], bucket[order])
+    places = np.sort(order[known])
+    here = _runs(docs[places], at[places])
+    at = at.copy()
+    at[places] = -1
+    travels = np.sort(order[~known | opens])  # as gathered: by record and start
+    travels = travels[np.argsort(bucket[travels], kind="stable")]
+    bucket, window, docs, at = bucket[travels], window[travels], docs[travels], at[travels]
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     rows = [bucket[cuts].tolist(), *(np.split(x, cuts[1:]) for x in (window, docs, at.astype(np.int32)))]
     if len(here[0]):
@@ -231,6 +229,16 @@ def _send_places(bucket: np.ndarray, window: np.ndarray, docs: np.ndarray, at: n
     return pd.DataFrame(dict(zip(("bucket", "window", "docs", "at"), rows)))
 
 
+def _held_by_two(window: np.ndarray, docs: np.ndarray, bucket: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For places sorted by window: whether two records hold the window, and whether the place is the first of it."""
+    opens = np.r_[True, window[1:] != window[:-1]]
+    if bucket is not None:
+        opens[1:] |= bucket[1:] != bucket[:-1]
+    first = np.flatnonzero(opens)
+    two = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)
+    return two[np.cumsum(opens) - 1], opens
+
+
 def _runs(docs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(record, first, last) of each run of successive starts."""
     order = np.lexsort((at, docs))
@@ -244,13 +252,11 @@ def _places_in_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     window, docs, at = (np.concatenate(rows[x].to_list()) for x in ("window", "docs", "at"))
     if rows["bucket"].iloc[0] < 0:
         return pd.DataFrame({"doc_id": docs, "pos": at, "last": window})
-    order = np.lexsort((docs, window))
-    window, docs, at = window[order], docs[order], at[order].astype(np.int64)
-    opens = np.r_[True, window[1:] != window[:-1]]
-    first = np.flatnonzero(opens)
-    last = np.r_[first[1:], len(window)] - 1
-    shared = (docs[first] != docs[last]) | (np.minimum.reduceat(at, first) < 0)
-    kept = shared[np.cumsum(opens) - 1] & (at >= 0)
+    order = np.argsort(window, kind="stable")
+    docs, at = docs[order], at[order].astype(np.int64)
+    held, opens = _held_by_two(window[order], docs)
+    marked = (np.minimum.reduceat(at, np.flatnonzero(opens)) < 0)[np.cumsum(opens) - 1]
+    kept = (held | marked) & (at >= 0)
     return pd.DataFrame(dict(zip(("doc_id", "pos", "last"), _runs(docs[kept], at[kept]))))
 
 

@@ -130,26 +130,48 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
     return found.select(*keys, "n", *[F.col("r")[i].alias(n) for i, n in enumerate(names)])
 
 
+def _middle(x: Column) -> Column:
+    """The interpolated median of a sorted array, null of an empty one."""
+    place = (F.size(x) - 1) / 2
+    low, high = F.get(x, F.floor(place).cast("int")), F.get(x, F.ceil(place).cast("int"))
+    return F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place)))
+
+
+def _whole_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n, center, mad) of groups that are known to hold fewer than SMALL_GROUP values, each sorted as one array."""
+    sorted_ = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("__v")).alias("__x")).withColumn("center", _middle(F.col("__x")))
+    away = F.filter(F.transform("__x", lambda x: F.abs(x - F.col("center"))), lambda d: ~F.isnan(d))
+    apart = sorted_.withColumn("__d", F.sort_array(away))
+    return apart.select(*keys, F.size("__x").cast("bigint").alias("n"), "center", _middle(F.col("__d")).alias("mad"))
+
+
 def median_and_mad(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = 10_000, null_keys: bool = True) -> DataFrame:
     """(keys, n, center, mad): exact median, and exact median of the distances from it, per group.
 
-    One sketch brackets both: distances of its grid of percentiles from the median tell where the median distance
-    lies. The small tables between the passes, of which there are five over `df`, are stored. `null_keys=False` promises keys without nulls.
+    Groups under SMALL_GROUP values are sorted whole. For the others one sketch brackets both: distances of its grid of
+    percentiles from the median tell where the median distance lies. The small tables between the passes, of which there are
+    five over `df` beside that over small groups, are stored. `null_keys=False` promises keys without nulls.
     """
     keys, grid = list(keys), accuracy // 10
     match = null_safe_join if null_keys else (lambda left, right, on, how="left": left.join(right, on, how))
-    rows, half, small = _valued(df, keys, value), accuracy // 20, F.col("n") < SMALL_GROUP
+    rows, half = _valued(df, keys, value), accuracy // 20
     sketch = materialize(_sketch(rows, keys, [k / grid for k in range(grid + 1)], accuracy), "sketch")
-    pair = lambda low, high, whole_low, whole_high: F.array(F.struct(F.when(small, whole_low).otherwise(low).alias("low"), F.when(small, whole_high).otherwise(high).alias("high")))
-    first = materialize(sketch.select(*keys, "n", pair(F.col("__q")[half - 3], F.col("__q")[half + 3], F.col("__low"), F.col("__high")).alias("__b")), "brackets")
-    centers = materialize(match(sketch, _ranked(rows, keys, first, [0.5], null_keys).select(*keys, F.col("r")[0].alias("center")), keys, "inner"), "centers")
+    few = sketch.filter(F.col("n") < SMALL_GROUP).select(*keys)
+    many = sketch.filter(F.col("n") >= SMALL_GROUP)
+    small = _whole_groups(match(rows, few, keys, "inner"), keys)
+    if many.isEmpty():
+        out = materialize(small, "spread")
+        release(sketch)
+        return out
+    pair = lambda low, high: F.array(F.struct(low.alias("low"), high.alias("high")))
+    first = materialize(many.select(*keys, "n", pair(F.col("__q")[half - 3], F.col("__q")[half + 3]).alias("__b")), "brackets")
+    centers = materialize(match(many, _ranked(rows, keys, first, [0.5], null_keys).select(*keys, F.col("r")[0].alias("center")), keys, "inner"), "centers")
     off = F.array_sort(F.transform("__q", lambda x: F.abs(x - F.col("center"))))
-    widest = F.greatest(F.col("__high") - F.col("center"), F.col("center") - F.col("__low"))
-    second = materialize(centers.select(*keys, "n", pair(off[half - 8], off[half + 8], F.lit(0.0), widest).alias("__b")), "brackets")
+    second = materialize(centers.select(*keys, "n", pair(off[half - 8], off[half + 8]).alias("__b")), "brackets")
     center = materialize(centers.select(*keys, "center"), "center")
     away = match(rows, center, keys, "inner").select(*keys, F.abs(F.col("__v") - F.col("center")).alias("__v"))
     spread = _ranked(away.filter(~F.isnan("__v")), keys, second, [0.5], null_keys).select(*keys, F.col("r")[0].alias("mad"))
-    out = materialize(match(centers.select(*keys, "n", "center"), spread, keys), "spread")
+    out = materialize(match(centers.select(*keys, "n", "center"), spread, keys).unionByName(small), "spread")
     release(sketch, first, centers, center, second)
     return out
 

@@ -51,12 +51,20 @@ def test_null_safe_join_matches_nulls(spark):
 def test_weighted_quantiles_and_mad_are_exact(spark):
     rng = np.random.default_rng(4)
     rows = [("a", float(x)) for x in rng.normal(size=5_000).round(2)] + [(None, float(x)) for x in range(7)] + [("one", 3.0), ("nan", float("nan"))]
+    rows += [(f"n{n}", float(x * x)) for n in range(2, 9) for x in range(n)] + [("ties", 2.0)] * 1_999 + [("many ties", 2.0)] * 2_000
     df = spark.createDataFrame(rows, "k string, v double")
     counts = df.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
     got = {r.k: r for r in weighted_quantiles(counts, ["k"], "v", "c", {"q1": 0.25, "med": 0.5}).collect()}
     spread = {r.k: r for r in median_and_mad(df, ["k"], "v").collect()}
-    assert set(got) == set(spread) == {"a", None, "one"}
+    assert set(got) == set(spread) == {k for k, _ in rows} - {"nan"}
     for k in got:
         x = np.array([v for g, v in rows if g == k])
         assert abs(got[k].q1 - np.percentile(x, 25)) < 1e-12 and abs(got[k].med - np.median(x)) < 1e-12 and got[k].n == len(x)
         assert abs(spread[k].center - np.median(x)) < 1e-12 and abs(spread[k].mad - np.median(np.abs(x - np.median(x)))) < 1e-12
+
+
+def test_mad_of_small_groups_only_and_of_nothing(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 4.0), (None, float("inf")), ("b", None)], "k string, v double")
+    got = {r.k: (r.n, r.center, r.mad) for r in median_and_mad(df, ["k"], "v").collect()}
+    assert got == {"a": (2, 2.5, 1.5), None: (1, float("inf"), None)}
+    assert median_and_mad(df.filter("k = 'c'"), ["k"], "v").count() == 0

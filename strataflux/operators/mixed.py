@@ -1,15 +1,16 @@
 """Longitudinal mixed models per region: restricted likelihood with a random intercept and slope per subject.
 
 Every fixed effect is a constant of the subject times 1 or time, so a subject enters by six sums. The likelihood
-of a set of candidate variance parameters is a sum over subjects; one pass over the sums evaluates all
-candidates of all regions, the driver only sees one small matrix per region and candidate, and picks the next ones.
+of a set of candidate variance parameters is a sum over subjects. Regions of at most WHOLE_REGION subjects are searched
+in one task each, all of them in one job. For greater ones one pass over the sums evaluates all candidates of all
+regions; the driver only sees one small matrix per region and candidate, and picks the next ones. Both take the same steps.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -26,19 +27,25 @@ P = len(TERMS)
 MIN_SUBJECTS = 3
 SEARCH_PASSES = 30
 REGION_LIMIT = 10_000
+#: subjects of a region that one task searches; with two arms 16 numbers each, 32 MB
+WHOLE_REGION = 250_000
+CHUNK = 2_048
+SUMS = ("n", "t", "tt", "y", "ty", "yy")
+UNIT = ("age", "dx", "sex", "etiv")
 
 
-def model_rows(observations: DataFrame) -> DataFrame:
-    """(region, measure_type, subject_id, value, time, age, dx, sex, etiv) of rows that are complete; eTIV in 1e6, dx and sex as 0/1.
+def model_rows(observations: DataFrame, values: Sequence[str] = ("value",)) -> DataFrame:
+    """(region, measure_type, subject_id, `values`, time, age, dx, sex, etiv) of rows that are complete; eTIV in 1e6, dx and sex as 0/1.
 
-    Other diagnoses than patient and control, and other sexes than F and M, are incomplete.
+    Other diagnoses than patient and control, and other sexes than F and M, are incomplete. Of several values one has to be there.
     """
     dx = F.when(F.col("dx_baseline") == "patient", 1.0).when(F.col("dx_baseline") == "control", 0.0)
     sex = F.when(F.col("sex") == "M", 1.0).when(F.col("sex") == "F", 0.0)
-    return observations.select(
-        "region", "measure_type", "subject_id", "value", F.col("time_from_baseline_years").alias("time"), F.col("age_baseline").alias("age"),
+    rows = observations.select(
+        "region", "measure_type", "subject_id", *values, F.col("time_from_baseline_years").alias("time"), F.col("age_baseline").alias("age"),
         dx.alias("dx"), sex.alias("sex"), (F.col("etiv_baseline") / 1e6).alias("etiv"),
-    ).dropna()
+    )
+    return rows.dropna(subset=[c for c in rows.columns if c not in values]).dropna(how="all", subset=list(values))
 
 
 def is_complete() -> Column:
@@ -50,50 +57,62 @@ def is_complete() -> Column:
     return F.coalesce(known, F.lit(False)) & F.col("region").isNotNull() & F.col("measure_type").isNotNull() & F.col("subject_id").isNotNull()
 
 
-def subject_sums(rows: DataFrame) -> DataFrame:
-    """Six sums per region, subject and covariate values; values are centred per region.
+def _of_arm(i: int) -> list[str]:
+    """The names of the sums of the i-th value."""
+    return [f"{c}_{i}" if i else c for c in SUMS]
+
+
+def subject_sums(rows: DataFrame, values: Sequence[str] = ("value",)) -> DataFrame:
+    """Six sums per value, region, subject and covariate values; values are centred per region, all by the means of the first.
 
     Covariates are constants of a subject; where they aren't, the subject falls apart into one unit per value set.
     """
-    centers = rows.groupBy("region", "measure_type").agg(F.avg("value").alias("center"))
-    v = F.col("value") - F.col("center")
-    return (
-        rows.join(centers, ["region", "measure_type"])
-        .groupBy("region", "measure_type", "center", "subject_id", "age", "dx", "sex", "etiv")
-        .agg(
-            F.count(F.lit(1)).cast("double").alias("n"), F.sum("time").alias("t"), F.sum(F.col("time") * F.col("time")).alias("tt"),
-            F.sum(v).alias("y"), F.sum(v * F.col("time")).alias("ty"), F.sum(v * v).alias("yy"),
-        )
-    )
+    time = F.col("time")
+    known = {c: F.when(~F.isnan(c), F.col(c)) for c in values}
+    # stored, so that its size is known and the rows don't travel for it
+    centers = materialize(rows.groupBy("region", "measure_type").agg(F.coalesce(*[F.avg(v) for v in known.values()]).alias("center")), "centers")
+    sums = []
+    for i, value in enumerate(known.values()):
+        v = value - F.col("center")
+        there = F.when(v.isNotNull(), time)
+        parts = (F.count(v).cast("double"), F.sum(there), F.sum(there * time), F.sum(v), F.sum(v * time), F.sum(v * v))
+        sums += [p.alias(name) for p, name in zip(parts, _of_arm(i))]
+    return rows.join(centers, ["region", "measure_type"]).groupBy("region", "measure_type", "center", "subject_id", *UNIT).agg(*sums)
 
 
 def partial_likelihood(s: pd.DataFrame, factors: np.ndarray) -> np.ndarray:
-    """For each candidate factor (l11, l21, l22): log determinant, yVy, XVX (P x P) and XVy, summed over the subjects of `s`."""
-    n, t, tt = (s[c].to_numpy(float) for c in ("n", "t", "tt"))
-    y, ty, yy = (s[c].to_numpy(float) for c in ("y", "ty", "yy"))
-    age, dx, sex, etiv = (s[c].to_numpy(float) for c in ("age", "dx", "sex", "etiv"))
-    one, zero = np.ones_like(n), np.zeros_like(n)
-    # a fixed effect is a + b * time with constants a and b per subject
-    a = np.stack([one, age, zero, dx, zero, sex, etiv], axis=1)
-    b = np.stack([zero, zero, one, zero, dx, zero, zero], axis=1)
-    z = np.stack([np.stack([n, t], 1), np.stack([t, tt], 1)], 1)
-    zx = np.stack([a * n[:, None] + b * t[:, None], a * t[:, None] + b * tt[:, None]], axis=1)
-    zy = np.stack([y, ty], axis=1)
-    xx = np.einsum("si,sj->ij", a * n[:, None] + b * t[:, None], a) + np.einsum("si,sj->ij", a * t[:, None] + b * tt[:, None], b)
-    xy = a.T @ y + b.T @ ty
-    out = np.empty((len(factors), 2 + P * P + P))
-    for c, (l11, l21, l22) in enumerate(factors):
-        low = np.array([[l11, 0.0], [l21, l22]])
-        inner = np.eye(2) + np.einsum("ki,skl,lj->sij", low, z, low)
-        det = inner[:, 0, 0] * inner[:, 1, 1] - inner[:, 0, 1] ** 2
-        inverse = np.stack([np.stack([inner[:, 1, 1], -inner[:, 0, 1]], 1), np.stack([-inner[:, 0, 1], inner[:, 0, 0]], 1)], 1) / det[:, None, None]
-        m = np.einsum("ik,skl,jl->sij", low, inverse, low)
-        mzx = np.einsum("sij,sjp->sip", m, zx)
-        out[c, 0] = np.log(det).sum()
-        out[c, 1] = yy.sum() - np.einsum("si,sij,sj->", zy, m, zy)
-        out[c, 2 : 2 + P * P] = (xx - np.einsum("sip,siq->pq", zx, mzx)).ravel()
-        out[c, 2 + P * P :] = xy - np.einsum("sip,si->p", mzx, zy)
-    return out
+    """For each candidate factor (l11, l21, l22): log determinant, yVy, XVX (P x P) and XVy, summed over the subjects of `s`.
+
+    Let Z be a subject's [[n, t], [t, tt]], and L the factor with LL' = psi. The determinant is det(I + L'ZL) = 1 + tr(psi Z) + det(psi) det(Z),
+    and L (I + L'ZL)^-1 L' = (psi + det(psi) adj(Z)) / det, so all candidates weigh the same products of the subject by 1 / det.
+    """
+    l11, l21, l22 = np.asarray(factors, dtype=float).T
+    psi = (l11 * l11, l11 * l21, l21 * l21 + l22 * l22, l11 * l11 * l22 * l22)
+    of_det = np.stack([np.ones_like(l11), psi[0], 2 * psi[1], psi[2], psi[3]], axis=1)
+    i, j = np.triu_indices(P + 1)
+    logs, plain, weighed = np.zeros(len(l11)), np.zeros(len(i)), np.zeros((len(l11), 4 * len(i)))
+    columns = s[[*SUMS, *UNIT]].to_numpy(float).T
+    for at in range(0, columns.shape[1], CHUNK):
+        n, t, tt, y, ty, yy, age, dx, sex, etiv = np.ascontiguousarray(columns[:, at : at + CHUNK])
+        one, zero = np.ones_like(n), np.zeros_like(n)
+        # a fixed effect is a + b * time with constants a and b per subject
+        a = np.stack([one, age, zero, dx, zero, sex, etiv])
+        b = np.stack([zero, zero, one, zero, dx, zero, zero])
+        # Z'X and, as its last row, Z'y
+        u, v = np.vstack([a * n + b * t, y]), np.vstack([a * t + b * tt, ty])
+        square = np.vstack([a, zero])[i] * u[j] + np.vstack([b, zero])[i] * v[j]  # X'X and X'y
+        spread = np.maximum(n * tt - t * t, 0.0)
+        turned = square * spread  # adj(Z) Z = det(Z) I
+        turned[-1] = tt * y * y - 2 * t * y * ty + n * ty * ty
+        square[-1] = yy
+        det = of_det @ np.stack([one, n, t, tt, spread])
+        logs += np.log(det).sum(axis=1)
+        plain += square.sum(axis=1)
+        weighed += (1 / det) @ np.concatenate([u[i] * u[j], u[i] * v[j] + v[i] * u[j], v[i] * v[j], turned]).T
+    left = plain - sum(p[:, None] * w for p, w in zip(psi, np.split(weighed, 4, axis=1)))
+    both = np.empty((len(l11), P + 1, P + 1))
+    both[:, i, j] = both[:, j, i] = left
+    return np.concatenate([logs[:, None], both[:, P, P, None], both[:, :P, :P].reshape(len(l11), P * P), both[:, :P, P]], axis=1)
 
 
 def objective(total: np.ndarray, n: float) -> tuple[float, np.ndarray, np.ndarray, float]:
@@ -162,6 +181,131 @@ FITS = (
 )
 
 
+START = np.array([(a, b, c) for a in (0.3, 1.0, 3.0) for b in (0.0,) for c in (0.03, 0.3, 1.0)] + [(0.0, 0.0, 0.0), (1.0, 0.0, 0.0)])
+MOVES = np.array(list(itertools.product((0, -1, 1), repeat=3)), dtype=float)  # the centre itself comes first
+
+
+class Search:
+    """The search of one fit: `asks` gives the candidates of a pass, or None at its end, `learns` takes their totals."""
+
+    def __init__(self, region: str, measure: str, n: float, subjects: int, center: float) -> None:
+        self.key, self.n, self.subjects, self.center = (region, measure), n, subjects, center
+        self.best, self.at, self.aim, self.step, self.sum = math.inf, None, None, 1.0, None
+
+    def asks(self, step: int) -> np.ndarray | None:
+        if step == 0:
+            return START
+        # without a likelihood at any starting point there is nothing to aim at
+        if self.step > 2e-3 and self.aim is not None:
+            return _allowed(self.aim + MOVES * self.step * np.maximum(np.abs(self.aim), 0.05))
+        return None
+
+    def learns(self, step: int, asked: np.ndarray, totals: np.ndarray) -> None:
+        values = np.array([objective(t, self.n)[0] if np.isfinite(t).all() else math.inf for t in totals])
+        i = int(np.argmin(values))
+        if values[i] < self.best - 1e-9:
+            self.best, self.at, self.sum = values[i], asked[i].copy(), totals[i]
+        if step == 0:
+            self.aim, self.step = self.at, 0.6
+        elif self.at is not None:
+            self.aim, self.step = _next_center(asked, values, self.at, self.step)
+
+    def rows(self) -> list[tuple]:
+        """The fit as rows of FITS."""
+        if not math.isfinite(self.best):
+            return [(*self.key, 0, self.subjects, False, False, False, "singular_design", *[None] * 8)]
+        _, beta, cov, sigma2 = objective(self.sum, self.n)
+        l11, l21, l22 = (float(x) for x in self.at)
+        beta = beta + np.array([self.center] + [0.0] * (P - 1))
+        slope = (l21 * l21 + l22 * l22) * sigma2
+        out = []
+        for term, estimate, variance in zip(TERMS, beta, np.diag(cov)):
+            se = math.sqrt(max(variance, 0.0))
+            p = math.erfc(abs(estimate / se) / math.sqrt(2)) if se > 0 else None
+            out.append((*self.key, int(self.n), self.subjects, True, self.step < 0.05, slope == 0.0, "", sigma2, l11 * l11 * sigma2, l11 * l21 * sigma2, slope, term, float(estimate), se, p))
+        return out
+
+
+def _search_whole(sums: DataFrame, searches: list[dict[tuple[str, str], Search]], passes: int) -> list[list[tuple]]:
+    """The rows of the fits of each value; `sums` only has regions that fit into a task each."""
+    keys = {k for s in searches for k in s}
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        key, out = (rows["region"].iloc[0], rows["measure_type"].iloc[0]), []
+        for arm, state in enumerate(searches):
+            if key in state:
+                s, own = state[key], rows[[*UNIT, *_of_arm(arm)]].set_axis([*UNIT, *SUMS], axis=1)
+                own = own[own["n"] > 0]
+                for step in range(passes):
+                    asked = s.asks(step)
+                    if asked is None:
+                        break
+                    s.learns(step, asked, partial_likelihood(own, asked))
+                out += [(arm, *r) for r in s.rows()]
+        return pd.DataFrame(out, columns=names)
+
+    kinds = "arm int, " + FITS
+    names = [c.split()[0] for c in kinds.split(", ")]
+    needed = [*UNIT, *[c for arm in range(len(searches)) for c in _of_arm(arm)]]
+    # a fixed number of partitions, since small sums would be put together into few tasks
+    spread = sums.select("region", "measure_type", *needed).repartition(min(2 * len(keys), 1_000), "region", "measure_type")
+    found: list[list[tuple]] = [[] for _ in searches]
+    for r in spread.groupBy("region", "measure_type").applyInPandas(fit, kinds).collect():
+        found[r.arm].append(tuple(None if isinstance(x, float) and math.isnan(x) else x for x in r[1:]))
+    return found
+
+
+def _search_passes(sums: DataFrame, arm: int, state: dict[tuple[str, str], Search], passes: int) -> list[tuple]:
+    """The rows of the fits of one value, by one pass over `sums` per step."""
+    own = sums.select("region", "measure_type", *UNIT, *[F.col(c).alias(to) for c, to in zip(_of_arm(arm), SUMS)]).filter("n > 0")
+    for step in range(passes):
+        asked = {k: a for k, s in state.items() if (a := s.asks(step)) is not None}
+        if not asked:
+            break
+        for key, totals in _evaluate(own, asked).items():
+            state[key].learns(step, asked[key], totals)
+    return [r for s in state.values() for r in s.rows()]
+
+
+def fit_arms(observations: DataFrame, values: Mapping[str, str], passes: int = SEARCH_PASSES, whole: int = WHOLE_REGION) -> dict[str, DataFrame]:
+    """`fit_regions` for several columns of values of the same rows: name of the arm -> its fits, from one pass over the rows."""
+    columns = list(values.values())
+    sums = materialize(subject_sums(model_rows(observations, columns), columns), "subject-sums")
+    spark = observations.sparkSession
+    arms = range(len(columns))
+    per = sums.groupBy("region", "measure_type", "subject_id").agg(
+        F.first("center").alias("center"), F.count(F.lit(1)).alias("units"), *[F.sum(c).alias(c) for i in arms for c in _of_arm(i)[:3]]
+    )
+    facts = [F.struct(F.sum(n).alias("n"), F.count_if(F.col(n) > 0).alias("subjects"), (F.sum(tt) - F.try_divide(F.sum(t) * F.sum(t), F.sum(n))).alias("time_ss")).alias(f"arm_{i}")
+             for i in arms for n, t, tt in [_of_arm(i)[:3]]]
+    overview = per.groupBy("region", "measure_type").agg(F.first("center").alias("center"), F.sum("units").alias("units"), *facts).limit(REGION_LIMIT + 1).collect()
+    if len(overview) > REGION_LIMIT:
+        raise ValueError(f"more than {REGION_LIMIT} regions")
+    rows: list[list[tuple]] = [[] for _ in arms]
+    small: list[dict[tuple[str, str], Search]] = [{} for _ in arms]
+    great: list[dict[tuple[str, str], Search]] = [{} for _ in arms]
+    for r in overview:
+        for i in arms:
+            a = r[f"arm_{i}"]
+            if not a.n:
+                continue
+            reason = "too_few_subjects" if a.subjects < MIN_SUBJECTS else "constant_time" if a.time_ss <= 1e-12 else "too_few_rows" if a.n <= P else ""
+            if reason:
+                n = 0 if reason == "constant_time" else int(a.n)
+                rows[i].append((r.region, r.measure_type, n, a.subjects, False, False, False, reason, *[None] * 8))
+            else:
+                of = small if r.units <= whole else great
+                of[i][r.region, r.measure_type] = Search(r.region, r.measure_type, a.n, a.subjects, r.center)
+    if any(small):
+        apart = [(r.region, r.measure_type) for r in overview if r.units > whole]
+        rest = sums.join(spark.createDataFrame(apart, "region string, measure_type string"), ["region", "measure_type"], "left_anti") if apart else sums
+        rows = [a + b for a, b in zip(rows, _search_whole(rest, small, passes))]
+    for i in arms:
+        if great[i]:
+            rows[i] += _search_passes(sums, i, great[i], passes)
+    return {name: spark.createDataFrame(rows[i], FITS) for i, name in enumerate(values)}
+
+
 def fit_regions(observations: DataFrame, passes: int = SEARCH_PASSES) -> DataFrame:
     """One row per region and term of the fixed effects: estimate, standard error, Wald p, and the fit's state.
 
@@ -171,63 +315,7 @@ def fit_regions(observations: DataFrame, passes: int = SEARCH_PASSES) -> DataFra
     the grid; a fit converges when the grid is small.
     A slope whose variance ends at zero counts as dropped.
     """
-    sums = materialize(subject_sums(model_rows(observations)), "subject-sums")
-    spark = observations.sparkSession
-    overview = (
-        sums.groupBy("region", "measure_type")
-        .agg(
-            F.sum("n").alias("n"), F.countDistinct("subject_id").alias("subjects"), F.first("center").alias("center"),
-            (F.sum("tt") - F.sum("t") * F.sum("t") / F.sum("n")).alias("time_ss"),
-        )
-        .limit(REGION_LIMIT + 1)
-        .collect()
-    )
-    if len(overview) > REGION_LIMIT:
-        raise ValueError(f"more than {REGION_LIMIT} regions")
-    rows: list[tuple] = []
-    state: dict[tuple[str, str], dict] = {}
-    for r in overview:
-        reason = "too_few_subjects" if r.subjects < MIN_SUBJECTS else "constant_time" if r.time_ss <= 1e-12 else "too_few_rows" if r.n <= P else ""
-        if reason:
-            n = 0 if reason == "constant_time" else int(r.n)
-            rows.append((r.region, r.measure_type, n, r.subjects, False, False, False, reason, *[None] * 8))
-        else:
-            state[(r.region, r.measure_type)] = {"n": r.n, "subjects": r.subjects, "center": r.center, "best": math.inf, "at": None, "aim": None, "step": 1.0, "sum": None}
-    start = np.array([(a, b, c) for a in (0.3, 1.0, 3.0) for b in (0.0,) for c in (0.03, 0.3, 1.0)] + [(0.0, 0.0, 0.0), (1.0, 0.0, 0.0)])
-    moves = np.array(list(itertools.product((0, -1, 1), repeat=3)), dtype=float)  # the centre itself comes first
-    for step in range(passes):
-        asked = {}
-        for key, s in state.items():
-            if step == 0:
-                asked[key] = start
-            elif s["step"] > 2e-3:
-                asked[key] = _allowed(s["aim"] + moves * s["step"] * np.maximum(np.abs(s["aim"]), 0.05))
-        if not asked:
-            break
-        for key, totals in _evaluate(sums, asked).items():
-            s = state[key]
-            values = np.array([objective(t, s["n"])[0] if np.isfinite(t).all() else math.inf for t in totals])
-            i = int(np.argmin(values))
-            if values[i] < s["best"] - 1e-9:
-                s.update(best=values[i], at=asked[key][i].copy(), sum=totals[i])
-            if step == 0:
-                s.update(aim=s["at"], step=0.6)
-            elif s["at"] is not None:
-                s["aim"], s["step"] = _next_center(asked[key], values, s["at"], s["step"])
-    for (region, measure), s in state.items():
-        if not math.isfinite(s["best"]):
-            rows.append((region, measure, 0, s["subjects"], False, False, False, "singular_design", *[None] * 8))
-            continue
-        _, beta, cov, sigma2 = objective(s["sum"], s["n"])
-        l11, l21, l22 = s["at"]
-        beta = beta + np.array([s["center"]] + [0.0] * (P - 1))
-        slope = float((l21 * l21 + l22 * l22) * sigma2)
-        for term, estimate, variance in zip(TERMS, beta, np.diag(cov)):
-            se = math.sqrt(max(variance, 0.0))
-            p = math.erfc(abs(estimate / se) / math.sqrt(2)) if se > 0 else None
-            rows.append((region, measure, int(s["n"]), s["subjects"], True, s["step"] < 0.05, slope == 0.0, "", sigma2, float(l11 * l11 * sigma2),
-                         float(l11 * l21 * sigma2), slope, term, float(estimate), se, p))
-    return spark.createDataFrame(rows, FITS)
+    return fit_arms(observations, {"": "value"}, passes)[""]
 
 
 def results_table(fits: DataFrame) -> DataFrame:

@@ -256,8 +256,8 @@ def arms_compare(spark: SparkSession, folder: str) -> DataFrame:
     """The primary effect with and without harmonization."""
     rows = _included(spark, folder)
     adjusted, _, _ = harmonize.combat(rows, COVARIATES, estimate_on="estimable")
-    other = adjusted.withColumn("value", F.col("value_adjusted"))
-    return mixed.compare_arms(mixed.results_table(mixed.fit_regions(other)), mixed.results_table(mixed.fit_regions(rows)))
+    fits = mixed.fit_arms(adjusted, {"harmonized": "value_adjusted", "as_is": "value"})
+    return mixed.compare_arms(mixed.results_table(fits["harmonized"]), mixed.results_table(fits["as_is"]))
 
 
 def bh_fdr(spark: SparkSession, folder: str) -> DataFrame:

@@ -152,6 +152,24 @@ def test_mixed_model_recovers_slopes(spark):
     assert len(table) == 8 and table.q_value.notna().sum() == 6 and (table.q_value.dropna() >= table.p_value.dropna()).all()
 
 
+def test_fits_take_few_jobs_and_arms_equal_single_fits(spark):
+    rows = spark.createDataFrame(cohort(40, 4, seed=17), SCHEMA).filter("region < 'lh-t'")
+    rows = rows.unionByName(rows.filter("region = 'lh-putamen'").withColumns({"region": F.lit("flat"), "sex": F.lit("M")}))
+    rows = rows.withColumn("other", F.when(F.col("subject_id") != "s001", F.col("value") * 2 + F.col("time_from_baseline_years") * (F.col("dx_baseline") == "patient").cast("double")))
+    spark.sparkContext.setJobGroup("fits", "jobs of one fit")
+    single = mixed.fit_regions(rows)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("fits"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 15  # a job or more for each of some 15 passes before
+    frame = lambda df: df.toPandas().sort_values(["region", "term"]).reset_index(drop=True)
+    want = {"a": frame(single), "b": frame(mixed.fit_regions(rows.withColumn("value", F.col("other"))))}
+    assert set(want["a"].reason[want["a"].region == "flat"]) == {"singular_design"} and want["a"].converged.sum() == 14
+    for whole in (mixed.WHOLE_REGION, 0):
+        for arm, fits in mixed.fit_arms(rows, {"a": "value", "b": "other"}, whole=whole).items():
+            pd.testing.assert_frame_equal(frame(fits), want[arm], rtol=1e-5, atol=1e-7, check_dtype=False)
+    assert (want["b"].n_subjects == 39).all() and (want["a"].n_subjects == 40).all()
+
+
 def test_fdr_known_values_and_families(spark):
     p = [0.01, 0.04, 0.03, 0.005, 0.03]
     rows = [("a", x, True) for x in p] + [("a", 0.0001, False), ("a", None, True), ("b", 0.2, True)]

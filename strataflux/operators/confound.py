@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflux.session import materialize
+
 TIME = "time_from_baseline_years"
 # fixed values: R2 of time by batch -> severity
 SEVERITIES = ((0.5, "severe"), (0.2, "moderate"), (0.05, "mild"))
@@ -110,10 +112,11 @@ def batch_policy(df: DataFrame, batch: str, min_size: int, policy: str) -> DataF
     report_and_exclude: small batches are not estimable. pool: small batches with the same scanner signature
     become one batch; one that stays alone is not estimable. passthrough: all are estimable.
     """
-    sizes = batch_sizes(df, batch, min_size).withColumnRenamed("batch", "__b")
-    labelled = df.join(sizes.select("__b", "small"), F.col(batch) == F.col("__b"), "left").drop("__b")
     if policy == "passthrough":
-        return labelled.withColumns({"batch": F.col(batch), "estimable": F.col(batch).isNotNull()}).drop("small")
+        return df.withColumns({"batch": F.col(batch), "estimable": F.col(batch).isNotNull()})
+    # stored, since every reader of the labels would count again
+    sizes = materialize(batch_sizes(df, batch, min_size).withColumnRenamed("batch", "__b").select("__b", "small"), "batch-sizes")
+    labelled = df.join(sizes, F.col(batch) == F.col("__b"), "left").drop("__b")
     if policy == "report_and_exclude":
         return labelled.withColumns({"batch": F.col(batch), "estimable": ~F.coalesce("small", F.lit(True))}).drop("small")
     pools = pool_labels(df, batch, min_size).select(F.col("batch").alias("__b"), "pool")
